@@ -114,10 +114,10 @@ def strip_iso_marks(col: Column) -> Column:
 
 
 def lenient_timestamp(col: Column) -> Column:
-    """Timestamp of a date text, null when it cannot be parsed."""
-    return F.try_to_timestamp(col)
+    """Local timestamp of a date text, null when it cannot be parsed."""
+    return col.try_cast("timestamp_ntz")
 
 
 def format_date(col: Column) -> Column:
     """``yyyy-MM-dd`` of a date text, null when it cannot be parsed."""
-    return F.date_format(lenient_timestamp(col), "yyyy-MM-dd")
+    return lenient_timestamp(col).cast("date").cast("string")

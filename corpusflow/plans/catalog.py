@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusflow.plans import text_queries
+from corpusflow.plans import text_queries, topic_queries
 
-_MODULES = (text_queries,)
+_MODULES = (text_queries, topic_queries)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
