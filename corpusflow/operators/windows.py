@@ -44,12 +44,11 @@ def assign_ids(
     of each partition is collected.  Rows equal in ``order`` are ordered by their
     content; identical rows, which may be many, are spread by a random value.
     """
-    rows = df.drop(key)
-    tie = F.xxhash64(*(f"`{name}`" for name in rows.columns))
-    salted = rows.withColumns({"_tie": tie, "_salt": F.rand(0)})
+    tie = F.xxhash64(*(f"`{name}`" for name in df.columns))
+    salted = df.withColumns({"_tie": tie, "_salt": F.rand(0)})
     columns = [F.col(f"`{name}`") for name in (*order, "_tie", "_salt")]
     ordered = salted.repartitionByRange(*columns).sortWithinPartitions(*columns)
-    ordered = ordered.drop("_tie", "_salt")
+    ordered = ordered.drop("_tie", "_salt", key)
     fixed = cut_lineage(ordered)
     # The generated id holds the partition above bit 33 and the row below it.
     row = F.monotonically_increasing_id()
