@@ -11,9 +11,13 @@ from corpusflow.functions.text import (
     WORD,
     processed_text,
     split_words,
+    stem_text,
     trim_space,
     word_count,
 )
+from corpusflow.functions.words import STOP_WORDS
+
+NOT_WORD_OR_MARK = r"[^\p{L}\p{N}_\x01]+"
 
 # A sentence ends at '.', '?' or '!' followed by white space, unless the mark
 # closes an abbreviation of the kind "U.S." or "Dr.".
@@ -42,7 +46,10 @@ def split_sentences(col: Column) -> Column:
 def max_sentences(col: Column) -> Column:
     """Cheap upper bound on ``size(split_sentences(col))``: marks plus one."""
     text = F.coalesce(col, F.lit(""))
-    return F.length(text) - F.length(F.translate(text, ".?!", "")) + 1
+    unmarked = text
+    for mark in ".?!":
+        unmarked = F.replace(unmarked, F.lit(mark), F.lit(""))
+    return F.length(text) - F.length(unmarked) + 1
 
 
 def _timestamps(sentence: Column) -> Column:
@@ -112,6 +119,28 @@ def sentence_tokens(sentence: Column) -> Column:
     return F.array_distinct(split_words(processed_text(sentence)))
 
 
+def token_sets(sentences: Column) -> Column:
+    """``sentence_tokens`` of each sentence: ``array<array<string>>``.
+
+    The sentences go through the token steps as one text, kept apart by a mark
+    that no step removes, so a step runs once per article and not per sentence.
+    """
+    mark = "\x01"
+
+    def sets(parts: Column) -> Column:
+        unmarked = F.transform(parts, lambda s: F.translate(s, mark, " "))
+        text = F.lower(F.array_join(unmarked, f" {mark} "))
+        words = F.split(F.regexp_replace(text, NOT_WORD_OR_MARK, " "), " ")
+        kept = F.array_join(F.filter(words, lambda w: ~w.isin("", *STOP_WORDS)), " ")
+        return F.transform(
+            F.split(stem_text(kept), mark),
+            lambda tokens: F.array_distinct(split_words(F.trim(tokens))),
+        )
+
+    none = F.array().cast("array<array<string>>")
+    return let(sentences, lambda s: F.when(F.size(s) == 0, none).otherwise(sets(s)))
+
+
 def jaccard(left: Column, right: Column) -> Column:
     """Jaccard similarity of two token sets; 0.0 when they share nothing."""
     shared = F.size(F.array_intersect(left, right))

@@ -19,11 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.expr import let, run_bounds, total
-from corpusflow.functions.sentences import (
-    max_sentences,
-    sentence_tokens,
-    split_sentences,
-)
+from corpusflow.functions.sentences import max_sentences, split_sentences
+from corpusflow.functions.sentences import token_sets as sentence_sets
 
 # --- fixed values: graph and ranking rules ---------------------------------
 MIN_SIMILARITY = 0.1  # an edge needs strictly more
@@ -45,7 +42,18 @@ def sentences(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFram
 
 def token_sets(text: Column) -> Column:
     """Distinct processed tokens per sentence: ``array<array<string>>``."""
-    return F.transform(split_sentences(text), sentence_tokens)
+    return sentence_sets(split_sentences(text))
+
+
+def _entries(sets: Column) -> Column:
+    """All ``struct<token, node>`` of a graph, sorted."""
+    per_node = F.transform(
+        sets,
+        lambda tokens, i: F.transform(
+            tokens, lambda t: F.struct(t.alias("token"), i.alias("node"))
+        ),
+    )
+    return F.sort_array(F.flatten(per_node))
 
 
 def edges_of(sets: Column) -> Column:
@@ -56,16 +64,6 @@ def edges_of(sets: Column) -> Column:
     give the number of shared tokens as a run length.  Pairs without a shared
     token are never looked at.
     """
-    entries = F.sort_array(
-        F.flatten(
-            F.transform(
-                sets,
-                lambda tokens, i: F.transform(
-                    tokens, lambda t: F.struct(t.alias("token"), i.alias("node"))
-                ),
-            )
-        )
-    )
     n = F.size(sets).cast("bigint")
 
     def pair_codes(entry: Column) -> Column:
@@ -125,7 +123,7 @@ def edges_of(sets: Column) -> Column:
             )
             return F.filter(similar, lambda e: e["weight"] > F.lit(MIN_SIMILARITY))
 
-        return let(F.sort_array(let(entries, pair_codes)), with_codes)
+        return let(F.sort_array(let(_entries(sets), pair_codes)), with_codes)
 
     return let(F.transform(sets, lambda tokens: F.size(tokens)), weighted)
 
@@ -277,76 +275,142 @@ def is_row_local(text: Column) -> Column:
 # --- long articles ---------------------------------------------------------
 
 
-def sentence_nodes(df: DataFrame, text: str, key: str) -> DataFrame:
-    """``(key, node, tokens)`` with tokens longest first.
+def shared_ids(sets: Column) -> Column:
+    """Tokens as numbers, rarest first: ``array<struct<node, size, ids>>``.
 
-    Long words are rare words, so this order puts the tokens most sentences
-    share last, where the prefix rule of ``joined_edges`` leaves them out.  Any
-    fixed order is correct; this one needs no counting pass.
+    ``size`` counts all tokens of the sentence.  Only tokens of at least two sentences get a number, in order of how many
+    sentences have them; a sentence without such a token is left out.
     """
-    nodes = df.select(key, F.posexplode(token_sets(F.col(text))).alias("node", "tokens"))
-    by_length = F.sort_array(
-        F.transform(
-            "tokens",
-            lambda t: F.struct((-F.length(t)).alias("rank"), t.alias("token")),
+
+    def numbered(entry: Column) -> Column:
+        runs = F.filter(run_bounds(entry["token"]), lambda run: run["length"] > 1)
+        rarest_first = F.sort_array(
+            F.transform(
+                runs,
+                lambda run: F.struct(
+                    run["length"].alias("length"), run["start"].alias("start")
+                ),
+            )
         )
-    )
-    return nodes.withColumn("tokens", by_length["token"])
+        pairs = F.transform(
+            rarest_first,
+            lambda run, i: F.transform(
+                F.slice(entry, run["start"] + 1, run["length"]),
+                lambda e: F.struct(e["node"].alias("node"), i.alias("id")),
+            ),
+        )
+        return F.sort_array(F.flatten(pairs))
+
+    def per_node(columns: Column) -> Column:
+        def of_run(run: Column) -> Column:
+            node = F.get(columns["nodes"], run["start"])
+            ids = F.slice(columns["ids"], run["start"] + 1, run["length"])
+            return F.struct(
+                node.alias("node"),
+                F.size(F.get(sets, node)).alias("size"),
+                ids.alias("ids"),
+            )
+
+        return F.transform(run_bounds(columns["nodes"]), of_run)
+
+    def by_columns(pairs: Column) -> Column:
+        return F.struct(pairs["node"].alias("nodes"), pairs["id"].alias("ids"))
+
+    return let(let(let(_entries(sets), numbered), by_columns), per_node)
+
+
+def sentence_nodes(df: DataFrame, text: str, key: str) -> DataFrame:
+    """``(key, sets)``: the token sets of each article."""
+    return df.select(key, token_sets(F.col(text)).alias("sets"))
 
 
 def joined_edges(nodes: DataFrame, key: str) -> DataFrame:
     """``(key, src, dst, weight)``, each edge once with ``src < dst``.
 
-    A prefix join.  Similarity above 0.1 means more than a tenth of the larger
-    token set is shared, so the first ``size - floor(size / 10)`` tokens, in an
-    order common to all sentences, must contain the first shared token of any
-    edge.  Joining on those tokens and accepting a pair only at its *first*
-    shared token finds each edge exactly once; the similarity test is part of
+    A prefix join.  Similarity above 0.1 means that more than a tenth of the
+    larger token set is shared.  So in any order common to all sentences, the
+    first shared token of an edge is among the first ``size - floor(size / 10)``
+    tokens of both ends; with the rarest token first, the tokens most sentences
+    have are the ones left out.  A pair is accepted only at its *first* shared
+    token, so each edge is found exactly once, and the similarity test is part of
     the join condition, so pairs that are not edges never leave the join.
     """
-    size = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), size - F.floor(size / 10).cast("int"))
-    entries = nodes.withColumn("token", F.explode(prefix))
-    a, b = entries.alias("a"), entries.alias("b")
-    shared = F.array_intersect("a.tokens", "b.tokens")
-    overlap = F.size(shared)
-    weight = overlap / (F.size("a.tokens") + F.size("b.tokens") - overlap)
+    ids = let(F.col("sets"), shared_ids)
+    listed = nodes.select(key, F.inline(ids).alias("node", "size", "ids"))
+    # Tokens of one sentence only come first and match nothing: skip them.
+    prefix = F.size("ids") - F.floor(F.col("size") / 10).cast("int")
+    entries = listed.withColumn(
+        "token", F.explode(F.slice("ids", F.lit(1), F.greatest(prefix, F.lit(0))))
+    )
+    # Never broadcast: the size of the exploded side is not known when planning.
+    a, b = entries.alias("a").hint("merge"), entries.alias("b")
+    shared = F.array_intersect("a.ids", "b.ids")
+    sizes = F.col("a.size") + F.col("b.size")
+    # shared / (sizes - shared) > 0.1, in whole numbers
     condition = (
         (F.col(f"a.{key}") == F.col(f"b.{key}"))
         & (F.col("a.token") == F.col("b.token"))
         & (F.col("a.node") < F.col("b.node"))
         & (F.get(shared, F.lit(0)) == F.col("a.token"))
-        & (weight > F.lit(MIN_SIMILARITY))
+        & (F.size(shared) * 11 > sizes)
     )
+    overlap = F.size(shared)
     return a.join(b, condition).select(
         F.col(f"a.{key}").alias(key),
         F.col("a.node").alias("src"),
         F.col("b.node").alias("dst"),
-        weight.alias("weight"),
+        (overlap / (sizes - overlap)).alias("weight"),
     )
 
 
 def joined_links(nodes: DataFrame, key: str) -> DataFrame:
-    """``(key, links)``: the adjacency array of each article, all nodes present."""
-    edges = joined_edges(nodes, key)
+    """``(key, linked)``: neighbours of the nodes that have any.
 
-    def half(start: str, end: str) -> DataFrame:
-        link = F.struct(F.col(end).alias("node"), F.col("weight"))
-        return edges.select(key, F.col(start).alias("node"), link.alias("link"))
+    ``linked`` is ``array<struct<node, near>>`` by node; ``dense_links`` adds the
+    other nodes.
+    """
 
-    # A null link keeps a node without edges; collect_list skips the null.
-    bare = nodes.select(
-        key, "node", F.lit(None).cast("struct<node:int,weight:double>").alias("link")
-    )
+    def half(start: str, end: str) -> Column:
+        link = F.struct(F.col(end).alias("node"), F.col("weight").alias("weight"))
+        return F.struct(F.col(start).alias("node"), link.alias("link"))
+
+    both = F.inline(F.array(half("src", "dst"), half("dst", "src")))
     per_node = (
-        half("src", "dst")
-        .unionByName(half("dst", "src"))
-        .unionByName(bare)
+        joined_edges(nodes, key)
+        .select(key, both)
         .groupBy(key, "node")
         .agg(F.sort_array(F.collect_list("link")).alias("near"))
     )
-    ordered = F.sort_array(F.collect_list(F.struct("node", "near")))
-    return per_node.groupBy(key).agg(ordered["near"].alias("links"))
+    linked = F.sort_array(F.collect_list(F.struct("node", "near")))
+    return per_node.groupBy(key).agg(linked.alias("linked"))
+
+
+def dense_links(n: Column, linked: Column) -> Column:
+    """Neighbours of each of ``n`` nodes; ``linked`` as in ``joined_links``."""
+    places = F.transform(F.array_repeat(F.lit(0), n), lambda _, i: i)
+    bare = F.transform(
+        places,
+        lambda i: F.struct(
+            i.alias("node"), F.lit(1).alias("bare"), no_links().alias("near")
+        ),
+    )
+    known = F.transform(
+        F.coalesce(linked, F.array().cast(_LINKED)),
+        lambda e: F.struct(
+            e["node"].alias("node"), F.lit(0).alias("bare"), e["near"].alias("near")
+        ),
+    )
+    # By node, a known entry before the bare one: the first of each node counts.
+    return let(
+        F.sort_array(F.concat(known, bare)),
+        lambda every: F.transform(
+            run_bounds(every["node"]),
+            lambda run: F.get(every, run["start"])["near"],
+        ),
+    )
+
+
+_LINKED = "array<struct<node:int,near:array<struct<node:int,weight:double>>>>"
 
 
 # --- operators -------------------------------------------------------------
@@ -366,8 +430,11 @@ def graph_links(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFr
     local = is_row_local(F.col(text))
     links = let(token_sets(F.col(text)), links_of)
     short = df.filter(local).select(key, links.alias("links"))
-    long = joined_links(sentence_nodes(df.filter(~local), text, key), key)
-    return short.unionByName(long)
+    rest = df.filter(~local)
+    linked = joined_links(sentence_nodes(rest, text, key), key)
+    sizes = rest.select(key, F.size(split_sentences(F.col(text))).alias("n"))
+    dense = dense_links(F.col("n"), F.col("linked")).alias("links")
+    return short.unionByName(sizes.join(linked, key, "left").select(key, dense))
 
 
 def pagerank_by_doc(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
