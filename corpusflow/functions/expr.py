@@ -1,4 +1,8 @@
-"""Small helpers for building Column expressions."""
+"""Helpers for expressions over arrays inside one row.
+
+Longer array expressions are written as SQL text: one text is one call to the
+JVM, while the same expression built from Column functions takes hundreds.
+"""
 
 from __future__ import annotations
 
@@ -18,32 +22,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def total(array: Column) -> Column:
-    """Sum of an ``array<double>``; 0.0 when empty."""
-    return F.aggregate(array, F.lit(0.0), lambda acc, x: acc + x)
+def bind(value: Column, name: str, body: str) -> Column:
+    """``let`` with the body as SQL text over ``name``."""
+    bound = F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}"))
+    return F.get(bound, F.lit(0))
 
 
-def run_bounds(keys: Column) -> Column:
-    """Runs of equal values in a sorted array: ``array<struct<start, length>>``."""
+def sql_let(value: str, name: str, body: str) -> str:
+    """``let`` with both parts as SQL text."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-    def bounds(sorted_keys: Column) -> Column:
-        last = F.filter(
-            F.transform(
-                sorted_keys,
-                lambda key, i: F.when(
-                    ~key.eqNullSafe(F.get(sorted_keys, i + 1)), i
-                ),
-            ),
-            lambda i: i.isNotNull(),
-        )
 
-        def lengths(ends: Column) -> Column:
-            def run(end: Column, r: Column) -> Column:
-                start = F.coalesce(F.get(ends, r - 1) + 1, F.lit(0))
-                return F.struct(start.alias("start"), (end - start + 1).alias("length"))
+def sql_sum(array: str) -> str:
+    """Sum of an ``array<double>``; 0.0 when empty."""
+    return f"aggregate({array}, 0.0D, (acc, x) -> acc + x)"
 
-            return F.transform(ends, run)
 
-        return let(last, lengths)
+def sql_runs(keys: str, p: str) -> str:
+    """Runs of equal values in a sorted array: ``array<struct<start, length>>``.
 
-    return let(keys, bounds)
+    ``p`` makes the variable names unique where expressions are nested.
+    """
+    ends = f"""filter(
+        transform({p}k, ({p}x, {p}i) -> if({p}x <=> get({p}k, {p}i + 1), null, {p}i)),
+        {p}i -> {p}i is not null)"""
+    runs = f"""transform({p}e, ({p}x, {p}r) -> named_struct(
+        'start', coalesce(get({p}e, {p}r - 1) + 1, 0),
+        'length', {p}x - coalesce(get({p}e, {p}r - 1), -1)))"""
+    return sql_let(keys, f"{p}k", sql_let(ends, f"{p}e", runs))
+
+
+def total(array: Column) -> Column:
+    """Sum of an ``array<double>``; 0.0 when empty."""
+    return F.aggregate(array, F.lit(0.0), lambda acc, x: acc + x)

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusflow.functions.expr import let
+from corpusflow.functions.expr import bind, let
 from corpusflow.functions.text import (
+    NOT_SPACE,
     SPACE,
+    SPACE_CHARS,
+    SUFFIX_IN_TEXT,
     WORD,
     processed_text,
     split_words,
-    stem_text,
     trim_space,
-    word_count,
 )
 from corpusflow.functions.words import STOP_WORDS
 
@@ -27,10 +28,11 @@ BOUNDARY = rf"(?<=[.?!])(?<!{WORD}\.{WORD}.)(?<![A-Z][a-z]\.){SPACE}+"
 MIN_WORDS = 10
 MIN_WORDS_WITH_TIMESTAMP = 20
 MIN_WORDS_COMMENT = 15
-COMMENT_START = "Here's"
+# \x27 is the apostrophe, which would end a SQL string.
+COMMENT_START = r"^Here\x27s"
 TIMESTAMP = rf"\p{{Nd}}+\.\p{{Nd}}+pm?{SPACE}+BST"
 TIMESTAMP_START = rf"^(?:Updated at )?{TIMESTAMP}"
-FRAGMENT_START = r"^(?:Here's|Updated at|Judges'|Best dance)"
+FRAGMENT_START = r"^(?:Here\x27s|Updated at|Judges\x27|Best dance)"
 POINTS_PER_WORD = 0.1
 MAX_LENGTH_POINTS = 5.0
 TIMESTAMP_PENALTY = 0.5
@@ -52,34 +54,32 @@ def max_sentences(col: Column) -> Column:
     return F.length(text) - F.length(unmarked) + 1
 
 
-def _timestamps(sentence: Column) -> Column:
-    found = F.regexp_count(sentence, F.lit(TIMESTAMP))
-    return F.when(F.contains(sentence, F.lit("BST")), found).otherwise(0)
-
-
-def _is_readable(s: Column) -> Column:
-    text, words, stamps = s["sentence"], s["words"], s["stamps"]
-    short_update = (stamps > 0) & (
-        (words < MIN_WORDS_WITH_TIMESTAMP) | text.rlike(TIMESTAMP_START)
-    )
-    short_comment = (words < MIN_WORDS_COMMENT) & text.startswith(COMMENT_START)
-    return (words >= MIN_WORDS) & ~short_update & ~short_comment
-
-
-def _points(s: Column) -> Column:
-    text = s["sentence"]
-    by_length = F.least(s["words"] * F.lit(POINTS_PER_WORD), F.lit(MAX_LENGTH_POINTS))
-
-    def bonus(condition: Column) -> Column:
-        return F.when(condition, 1.0).otherwise(0.0)
-
-    return (
-        by_length
-        + bonus(text.rlike(r"^\p{IsUppercase}"))
-        + bonus(text.rlike(r"[.!?]$"))
-        - s["stamps"] * F.lit(TIMESTAMP_PENALTY)
-        + bonus(~text.rlike(FRAGMENT_START))
-    )
+def sql_split(text: str) -> str:
+    """``split_sentences`` as SQL text."""
+    trimmed = f"btrim(coalesce({text}, ''), '{SPACE_CHARS}')"
+    return f"filter(split({trimmed}, r'{BOUNDARY}'), s -> s <> '')"
+
+
+def sql_scored(sentences: str) -> str:
+    """``score_sentences`` as SQL text."""
+    described = f"""transform({sentences}, (s, i) -> named_struct(
+        'pos', i,
+        'sentence', s,
+        'words', regexp_count(s, r'{NOT_SPACE}+'),
+        'stamps', if(contains(s, 'BST'), regexp_count(s, r'{TIMESTAMP}'), 0)))"""
+    readable = f"""filter({described}, s ->
+        s.words >= {MIN_WORDS}
+        and not (s.stamps > 0 and (s.words < {MIN_WORDS_WITH_TIMESTAMP}
+                                   or s.sentence rlike r'{TIMESTAMP_START}'))
+        and not (s.words < {MIN_WORDS_COMMENT}
+                 and s.sentence rlike r'{COMMENT_START}'))"""
+    points = f"""least(s.words * {POINTS_PER_WORD}D, {MAX_LENGTH_POINTS}D)
+        + if(s.sentence rlike r'^\\p{{IsUppercase}}', 1.0D, 0.0D)
+        + if(s.sentence rlike r'[.!?]$', 1.0D, 0.0D)
+        - s.stamps * {TIMESTAMP_PENALTY}D
+        + if(s.sentence rlike r'{FRAGMENT_START}', 0.0D, 1.0D)"""
+    return f"""sort_array(transform({readable}, s -> named_struct(
+        'rank_key', -({points}), 'pos', s.pos, 'sentence', s.sentence)))"""
 
 
 def score_sentences(sentences: Column) -> Column:
@@ -89,24 +89,7 @@ def score_sentences(sentences: Column) -> Column:
     ``rank_key`` is the negated score, so the natural sort order is the order
     wanted.
     """
-    described = F.transform(
-        sentences,
-        lambda s, i: F.struct(
-            i.alias("pos"),
-            s.alias("sentence"),
-            word_count(s).alias("words"),
-            _timestamps(s).alias("stamps"),
-        ),
-    )
-    scored = F.transform(
-        F.filter(described, _is_readable),
-        lambda s: F.struct(
-            (-_points(s)).alias("rank_key"),
-            s["pos"].alias("pos"),
-            s["sentence"].alias("sentence"),
-        ),
-    )
-    return F.sort_array(scored)
+    return bind(sentences, "ss", sql_scored("ss"))
 
 
 def readable_sentences(sentences: Column) -> Column:
@@ -119,26 +102,29 @@ def sentence_tokens(sentence: Column) -> Column:
     return F.array_distinct(split_words(processed_text(sentence)))
 
 
+def sql_token_sets(sentences: str) -> str:
+    """``token_sets`` as SQL text; ``sentences`` is the name of a bound value."""
+    mark = "\x01"
+    stop = ", ".join(f"'{word}'" for word in ("", *STOP_WORDS))
+    unmarked = f"transform({sentences}, s -> translate(s, '{mark}', ' '))"
+    text = f"lower(array_join({unmarked}, ' {mark} '))"
+    words = f"split(regexp_replace({text}, r'{NOT_WORD_OR_MARK}', ' '), ' ')"
+    kept = f"array_join(filter({words}, w -> w not in ({stop})), ' ')"
+    stems = f"regexp_replace({kept}, r'{SUFFIX_IN_TEXT}', '')"
+    sets = f"""transform(split({stems}, '{mark}'), s -> if(
+        trim(s) = '', cast(array() as array<string>),
+        array_distinct(split(trim(s), ' '))))"""
+    none = "cast(array() as array<array<string>>)"
+    return f"if(size({sentences}) = 0, {none}, {sets})"
+
+
 def token_sets(sentences: Column) -> Column:
     """``sentence_tokens`` of each sentence: ``array<array<string>>``.
 
     The sentences go through the token steps as one text, kept apart by a mark
     that no step removes, so a step runs once per article and not per sentence.
     """
-    mark = "\x01"
-
-    def sets(parts: Column) -> Column:
-        unmarked = F.transform(parts, lambda s: F.translate(s, mark, " "))
-        text = F.lower(F.array_join(unmarked, f" {mark} "))
-        words = F.split(F.regexp_replace(text, NOT_WORD_OR_MARK, " "), " ")
-        kept = F.array_join(F.filter(words, lambda w: ~w.isin("", *STOP_WORDS)), " ")
-        return F.transform(
-            F.split(stem_text(kept), mark),
-            lambda tokens: F.array_distinct(split_words(F.trim(tokens))),
-        )
-
-    none = F.array().cast("array<array<string>>")
-    return let(sentences, lambda s: F.when(F.size(s) == 0, none).otherwise(sets(s)))
+    return bind(sentences, "ss", sql_token_sets("ss"))
 
 
 def jaccard(left: Column, right: Column) -> Column:

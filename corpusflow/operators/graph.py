@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.expr import let, run_bounds, total
+from corpusflow.functions.expr import bind, sql_let, sql_runs, sql_sum
 from corpusflow.functions.sentences import max_sentences, split_sentences
 from corpusflow.functions.sentences import token_sets as sentence_sets
 
@@ -45,15 +45,30 @@ def token_sets(text: Column) -> Column:
     return sentence_sets(split_sentences(text))
 
 
-def _entries(sets: Column) -> Column:
+def _sql_entries(sets: str) -> str:
     """All ``struct<token, node>`` of a graph, sorted."""
-    per_node = F.transform(
-        sets,
-        lambda tokens, i: F.transform(
-            tokens, lambda t: F.struct(t.alias("token"), i.alias("node"))
-        ),
-    )
-    return F.sort_array(F.flatten(per_node))
+    return f"""sort_array(flatten(transform({sets}, (ts, i) ->
+        transform(ts, t -> named_struct('token', t, 'node', i)))))"""
+
+
+def sql_edges(sets: str) -> str:
+    """``edges_of`` as SQL text."""
+    n = f"cast(size({sets}) as bigint)"
+    pairs = """flatten(transform(near, (u, k) ->
+        transform(slice(near, k + 2, size(near)), v -> u * nn + v)))"""
+    near = sql_let("slice(ns, r.start + 1, r.length)", "near", pairs)
+    shared_tokens = f"filter({sql_runs('es.token', 'a')}, r -> r.length > 1)"
+    codes = f"flatten(transform({shared_tokens}, r -> {near}))"
+    codes = sql_let(_sql_entries(sets), "es", sql_let("es.node", "ns", codes))
+    pair = """named_struct('src', cast(c div nn as int), 'dst', cast(c % nn as int),
+                           'shared', r.length)"""
+    overlaps = f"""transform({sql_runs('cs', 'b')}, r ->
+        {sql_let('get(cs, r.start)', 'c', pair)})"""
+    weighted = f"""transform({overlaps}, o -> named_struct(
+        'src', o.src, 'dst', o.dst, 'weight',
+        o.shared / (size({sets}[o.src]) + size({sets}[o.dst]) - o.shared)))"""
+    edges = f"filter({weighted}, e -> e.weight > {MIN_SIMILARITY}D)"
+    return sql_let(n, "nn", sql_let(f"sort_array({codes})", "cs", edges))
 
 
 def edges_of(sets: Column) -> Column:
@@ -64,113 +79,66 @@ def edges_of(sets: Column) -> Column:
     give the number of shared tokens as a run length.  Pairs without a shared
     token are never looked at.
     """
-    n = F.size(sets).cast("bigint")
-
-    def pair_codes(entry: Column) -> Column:
-        shared_tokens = F.filter(
-            run_bounds(entry["token"]), lambda run: run["length"] > 1
-        )
-
-        def of_run(near: Column) -> Column:
-            return F.flatten(
-                F.transform(
-                    near,
-                    lambda a, k: F.transform(
-                        F.slice(near, k + 2, F.size(near)), lambda b: a * n + b
-                    ),
-                )
-            )
-
-        return let(
-            entry["node"],
-            lambda node: F.flatten(
-                F.transform(
-                    shared_tokens,
-                    lambda run: let(
-                        F.slice(node, run["start"] + 1, run["length"]), of_run
-                    ),
-                )
-            ),
-        )
-
-    def weighted(sizes: Column) -> Column:
-        def with_codes(codes: Column) -> Column:
-            overlaps = F.transform(
-                run_bounds(codes),
-                lambda run: let(
-                    F.get(codes, run["start"]),
-                    lambda code: F.struct(
-                        F.floor(code / n).cast("int").alias("src"),
-                        (code % n).cast("int").alias("dst"),
-                        run["length"].alias("shared"),
-                    ),
-                ),
-            )
-            similar = F.transform(
-                overlaps,
-                lambda e: F.struct(
-                    e["src"].alias("src"),
-                    e["dst"].alias("dst"),
-                    (
-                        e["shared"]
-                        / (
-                            F.get(sizes, e["src"])
-                            + F.get(sizes, e["dst"])
-                            - e["shared"]
-                        )
-                    ).alias("weight"),
-                ),
-            )
-            return F.filter(similar, lambda e: e["weight"] > F.lit(MIN_SIMILARITY))
-
-        return let(F.sort_array(let(_entries(sets), pair_codes)), with_codes)
-
-    return let(F.transform(sets, lambda tokens: F.size(tokens)), weighted)
-
-
-def links_of(sets: Column) -> Column:
-    """Neighbours per node, both ways: ``array<array<struct<node, weight>>>``."""
+    return bind(sets, "sets", sql_edges("sets"))
 
-    def both_ways(edges: Column) -> Column:
-        def directed(start: str, end: str) -> Column:
-            return F.transform(
-                edges,
-                lambda e: F.struct(
-                    e[start].alias("src"),
-                    e[end].alias("node"),
-                    e["weight"].alias("weight"),
-                ),
-            )
 
-        return F.sort_array(F.concat(directed("src", "dst"), directed("dst", "src")))
+def sql_links(sets: str) -> str:
+    """``links_of`` as SQL text."""
 
-    def per_node(halves: Column) -> Column:
-        def group(runs: Column) -> Column:
-            def of_node(first: Column) -> Column:
-                def near(position: Column) -> Column:
-                    run = F.get(runs, position.cast("int") - 1)
-                    links = F.transform(
-                        F.slice(halves, run["start"] + 1, run["length"]),
-                        lambda e: F.struct(
-                            e["node"].alias("node"), e["weight"].alias("weight")
-                        ),
-                    )
-                    return F.when(position > 0, links).otherwise(no_links())
+    def directed(start: str, end: str) -> str:
+        return f"""transform(el, e -> named_struct(
+            'src', e.{start}, 'node', e.{end}, 'weight', e.weight))"""
 
-                return F.transform(
-                    sets, lambda _, i: let(F.array_position(first, i), near)
-                )
+    halves = f"sort_array(concat({directed('src', 'dst')}, {directed('dst', 'src')}))"
+    run = "rs[cast(p as int) - 1]"
+    near = f"""if(p > 0, transform(slice(hs, {run}.start + 1, {run}.length),
+        e -> named_struct('node', e.node, 'weight', e.weight)), {NO_LINKS})"""
+    links = f"""transform({sets}, (own, i) ->
+        {sql_let('array_position(fs, i)', 'p', near)})"""
+    firsts = sql_let("transform(rs, r -> hs[r.start].src)", "fs", links)
+    by_node = sql_let(sql_runs("hs.src", "c"), "rs", firsts)
+    return sql_let(sql_edges(sets), "el", sql_let(halves, "hs", by_node))
 
-            starts = F.transform(runs, lambda run: F.get(halves, run["start"])["src"])
-            return let(starts, of_node)
 
-        return let(run_bounds(halves["src"]), group)
-
-    return let(let(edges_of(sets), both_ways), per_node)
-
-
-def no_links() -> Column:
-    return F.array().cast("array<struct<node:int,weight:double>>")
+def links_of(sets: Column) -> Column:
+    """Neighbours per node, both ways: ``array<array<struct<node, weight>>>``."""
+    return bind(sets, "sets", sql_links("sets"))
+
+
+NO_LINKS = "cast(array() as array<struct<node:int,weight:double>>)"
+
+
+def sql_ranks(links: str) -> str:
+    """``rank_nodes`` as SQL text."""
+    n = f"size({links})"
+    uniform = f"transform({links}, l -> 1.0D / {n})"
+    strength = f"transform({links}, l -> {sql_sum('l.weight')})"
+    # Share of node j's rank that flows along each of its links.
+    shares = f"""transform({links}, l -> transform(l, e ->
+        named_struct('node', e.node, 'share', e.weight / st[e.node])))"""
+    # All isolated nodes start equal and stay equal: one stands for all.
+    isolated = """named_struct(
+        'count', size(filter(st, x -> x = 0.0D)),
+        'example', cast(array_position(st, 0.0D) as int) - 1)"""
+    spread = "coalesce(get(s.ranks, iso.example) * iso.count, 0.0D)"
+    base = f"({1.0 - DAMPING!r}D + {spread} * {DAMPING}D) / {n}"
+    flow = "aggregate(l, 0.0D, (acc, e) -> acc + s.ranks[e.node] * e.share)"
+    step = sql_let(base, "b", f"transform(sh, l -> b + {DAMPING}D * {flow})")
+    change = sql_sum("zip_with(s.ranks, s.before, (p, q) -> abs(p - q))")
+    rounds = f"""aggregate(
+        sequence(1, {MAX_ROUNDS}),
+        named_struct('ranks', {uniform}, 'before', cast(null as array<double>),
+                     'done', false),
+        (s, k) -> case
+          when s.done then s
+          when s.before is not null and {change} < {n} * {TOLERANCE!r}D
+            then named_struct('ranks', s.ranks, 'before', s.before, 'done', true)
+          else named_struct('ranks', {step}, 'before', s.ranks, 'done', false) end,
+        s -> s.ranks)"""
+    rounds = sql_let(shares, "sh", sql_let(isolated, "iso", rounds))
+    # Without any edge every round returns the uniform start.
+    return f"""if(exists({links}, l -> size(l) > 0),
+        {sql_let(strength, 'st', rounds)}, {uniform})"""
 
 
 def rank_nodes(links: Column) -> Column:
@@ -180,92 +148,12 @@ def rank_nodes(links: Column) -> Column:
     without neighbours pass their rank on evenly.  Rounds stop when the L1 change
     is below ``TOLERANCE`` per node.
     """
-    n = F.size(links).cast("double")
-    strength = F.transform(links, lambda near: total(near["weight"]))
-    uniform = F.transform(links, lambda _: F.lit(1.0) / n)
-
-    def iterate(s: Column) -> Column:
-        # Share of node j's rank that flows along each of its links.
-        shares = F.transform(
-            links,
-            lambda near: F.transform(
-                near,
-                lambda e: F.struct(
-                    e["node"].alias("node"),
-                    (e["weight"] / F.get(s, e["node"])).alias("share"),
-                ),
-            ),
-        )
-        isolated = F.size(F.filter(s, lambda x: x == 0.0))
-        # All isolated nodes start equal and stay equal: one stands for all.
-        example = F.array_position(s, 0.0).cast("int") - 1
-
-        def rounds(bound: Column) -> Column:
-            def step(ranks: Column) -> Column:
-                spread = F.coalesce(
-                    F.get(ranks, bound["example"]) * bound["isolated"], F.lit(0.0)
-                )
-                base = (F.lit(1.0 - DAMPING) + spread * F.lit(DAMPING)) / n
-                return let(
-                    base,
-                    lambda b: F.transform(
-                        bound["shares"],
-                        lambda near: b
-                        + F.lit(DAMPING)
-                        * F.aggregate(
-                            near,
-                            F.lit(0.0),
-                            lambda acc, e: acc + F.get(ranks, e["node"]) * e["share"],
-                        ),
-                    ),
-                )
-
-            def change(state: Column) -> Column:
-                return total(
-                    F.zip_with(
-                        state["ranks"], state["before"], lambda a, b: F.abs(a - b)
-                    )
-                )
-
-            def advance(state: Column, _: Column) -> Column:
-                stop = F.struct(
-                    state["ranks"].alias("ranks"),
-                    state["before"].alias("before"),
-                    F.lit(True).alias("done"),
-                )
-                go_on = F.struct(
-                    step(state["ranks"]).alias("ranks"),
-                    state["ranks"].alias("before"),
-                    F.lit(False).alias("done"),
-                )
-                small = (state["before"].isNotNull()) & (
-                    change(state) < n * F.lit(TOLERANCE)
-                )
-                return F.when(state["done"], state).when(small, stop).otherwise(go_on)
-
-            start = F.struct(
-                bound["uniform"].alias("ranks"),
-                F.lit(None).cast("array<double>").alias("before"),
-                F.lit(False).alias("done"),
-            )
-            return F.aggregate(
-                F.sequence(F.lit(1), F.lit(MAX_ROUNDS)),
-                start,
-                advance,
-                lambda state: state["ranks"],
-            )
-
-        constants = F.struct(
-            shares.alias("shares"),
-            isolated.alias("isolated"),
-            example.alias("example"),
-            uniform.alias("uniform"),
-        )
-        return let(constants, rounds)
+    return bind(links, "ls", sql_ranks("ls"))
 
-    # Without any edge every round returns the uniform start.
-    has_edge = F.exists(links, lambda near: F.size(near) > 0)
-    return F.when(has_edge, let(strength, iterate)).otherwise(uniform)
+
+def ranks_of_graph(links: Column) -> Column:
+    """``rank_nodes``, or null for fewer than two nodes."""
+    return bind(links, "ls", f"if(size(ls) >= 2, {sql_ranks('ls')}, null)")
 
 
 def is_row_local(text: Column) -> Column:
@@ -282,41 +170,18 @@ def shared_ids(sets: Column) -> Column:
     sentences have them; a sentence without such a token is left out.
     """
 
-    def numbered(entry: Column) -> Column:
-        runs = F.filter(run_bounds(entry["token"]), lambda run: run["length"] > 1)
-        rarest_first = F.sort_array(
-            F.transform(
-                runs,
-                lambda run: F.struct(
-                    run["length"].alias("length"), run["start"].alias("start")
-                ),
-            )
-        )
-        pairs = F.transform(
-            rarest_first,
-            lambda run, i: F.transform(
-                F.slice(entry, run["start"] + 1, run["length"]),
-                lambda e: F.struct(e["node"].alias("node"), i.alias("id")),
-            ),
-        )
-        return F.sort_array(F.flatten(pairs))
-
-    def per_node(columns: Column) -> Column:
-        def of_run(run: Column) -> Column:
-            node = F.get(columns["nodes"], run["start"])
-            ids = F.slice(columns["ids"], run["start"] + 1, run["length"])
-            return F.struct(
-                node.alias("node"),
-                F.size(F.get(sets, node)).alias("size"),
-                ids.alias("ids"),
-            )
-
-        return F.transform(run_bounds(columns["nodes"]), of_run)
-
-    def by_columns(pairs: Column) -> Column:
-        return F.struct(pairs["node"].alias("nodes"), pairs["id"].alias("ids"))
-
-    return let(let(let(_entries(sets), numbered), by_columns), per_node)
+    runs = f"filter({sql_runs('es.token', 'a')}, r -> r.length > 1)"
+    rarest_first = f"""sort_array(transform({runs}, r ->
+        named_struct('length', r.length, 'start', r.start)))"""
+    pairs = f"""sort_array(flatten(transform({rarest_first}, (r, id) ->
+        transform(slice(es, r.start + 1, r.length), e ->
+            named_struct('node', e.node, 'id', id)))))"""
+    sentence = """named_struct('node', ns[r.start], 'size', size(sets[ns[r.start]]),
+        'ids', slice(ids, r.start + 1, r.length))"""
+    per_node = f"transform({sql_runs('ns', 'b')}, r -> {sentence})"
+    listed = sql_let("ps.node", "ns", sql_let("ps.id", "ids", per_node))
+    numbered = sql_let(_sql_entries("sets"), "es", sql_let(pairs, "ps", listed))
+    return bind(sets, "sets", numbered)
 
 
 def sentence_nodes(df: DataFrame, text: str, key: str) -> DataFrame:
@@ -335,7 +200,7 @@ def joined_edges(nodes: DataFrame, key: str) -> DataFrame:
     token, so each edge is found exactly once, and the similarity test is part of
     the join condition, so pairs that are not edges never leave the join.
     """
-    ids = let(F.col("sets"), shared_ids)
+    ids = shared_ids(F.col("sets"))
     listed = nodes.select(key, F.inline(ids).alias("node", "size", "ids"))
     # Tokens of one sentence only come first and match nothing: skip them.
     prefix = F.size("ids") - F.floor(F.col("size") / 10).cast("int")
@@ -387,27 +252,15 @@ def joined_links(nodes: DataFrame, key: str) -> DataFrame:
 
 def dense_links(n: Column, linked: Column) -> Column:
     """Neighbours of each of ``n`` nodes; ``linked`` as in ``joined_links``."""
-    places = F.transform(F.array_repeat(F.lit(0), n), lambda _, i: i)
-    bare = F.transform(
-        places,
-        lambda i: F.struct(
-            i.alias("node"), F.lit(1).alias("bare"), no_links().alias("near")
-        ),
-    )
-    known = F.transform(
-        F.coalesce(linked, F.array().cast(_LINKED)),
-        lambda e: F.struct(
-            e["node"].alias("node"), F.lit(0).alias("bare"), e["near"].alias("near")
-        ),
-    )
     # By node, a known entry before the bare one: the first of each node counts.
-    return let(
-        F.sort_array(F.concat(known, bare)),
-        lambda every: F.transform(
-            run_bounds(every["node"]),
-            lambda run: F.get(every, run["start"])["near"],
-        ),
-    )
+    bare = f"""transform(array_repeat(0, v.n), (_, i) ->
+        named_struct('node', i, 'bare', 1, 'near', {NO_LINKS}))"""
+    known = """transform(v.linked, e ->
+        named_struct('node', e.node, 'bare', 0, 'near', e.near))"""
+    first = f"transform({sql_runs('es.node', 'a')}, r -> es[r.start].near)"
+    every = sql_let(f"sort_array(concat({known}, {bare}))", "es", first)
+    some = F.coalesce(linked, F.array().cast(_LINKED))
+    return bind(F.struct(n.alias("n"), some.alias("linked")), "v", every)
 
 
 _LINKED = "array<struct<node:int,near:array<struct<node:int,weight:double>>>>"
@@ -419,7 +272,7 @@ _LINKED = "array<struct<node:int,near:array<struct<node:int,weight:double>>>>"
 def sentence_edges(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
     """Edges of every article's sentence graph: ``(key, src, dst, weight)``."""
     local = is_row_local(F.col(text))
-    edges = let(token_sets(F.col(text)), edges_of)
+    edges = edges_of(token_sets(F.col(text)))
     short = df.filter(local).select(key, F.inline(edges))
     long = joined_edges(sentence_nodes(df.filter(~local), text, key), key)
     return short.unionByName(long)
@@ -428,7 +281,7 @@ def sentence_edges(df: DataFrame, text: str = "Content", key: str = "ID") -> Dat
 def graph_links(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
     """``(key, links)``: the adjacency array of every article."""
     local = is_row_local(F.col(text))
-    links = let(token_sets(F.col(text)), links_of)
+    links = links_of(token_sets(F.col(text)))
     short = df.filter(local).select(key, links.alias("links"))
     rest = df.filter(~local)
     linked = joined_links(sentence_nodes(rest, text, key), key)
@@ -439,9 +292,7 @@ def graph_links(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFr
 
 def pagerank_by_doc(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
     """``(key, node, rank)`` of every article with at least two sentences."""
-    ranks = let(
-        F.col("links"), lambda links: F.when(F.size(links) >= 2, rank_nodes(links))
-    )
+    ranks = ranks_of_graph(F.col("links"))
     return graph_links(df, text, key).select(
         key, F.posexplode(ranks).alias("node", "rank")
     )
