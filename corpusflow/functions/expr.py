@@ -6,7 +6,7 @@ JVM, while the same expression built from Column functions takes hundreds.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +33,12 @@ def sql_let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def sql_strings(words: Iterable[str]) -> str:
+    """Comma-separated string literals."""
+    escaped = (word.replace("\\", "\\\\").replace("'", "\\'") for word in words)
+    return ", ".join(f"'{word}'" for word in escaped)
+
+
 def sql_sum(array: str) -> str:
     """Sum of an ``array<double>``; 0.0 when empty."""
     return f"aggregate({array}, 0.0D, (acc, x) -> acc + x)"

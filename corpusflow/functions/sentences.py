@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusflow.functions.expr import bind, let
+from corpusflow.functions.expr import bind, let, sql_strings
 from corpusflow.functions.text import (
     NOT_SPACE,
     SPACE,
@@ -105,7 +105,7 @@ def sentence_tokens(sentence: Column) -> Column:
 def sql_token_sets(sentences: str) -> str:
     """``token_sets`` as SQL text; ``sentences`` is the name of a bound value."""
     mark = "\x01"
-    stop = ", ".join(f"'{word}'" for word in ("", *STOP_WORDS))
+    stop = sql_strings(("", *STOP_WORDS))
     unmarked = f"transform({sentences}, s -> translate(s, '{mark}', ' '))"
     text = f"lower(array_join({unmarked}, ' {mark} '))"
     words = f"split(regexp_replace({text}, r'{NOT_WORD_OR_MARK}', ' '), ' ')"

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusflow.functions.expr import bind, sql_strings
 from corpusflow.functions.words import STOP_WORDS
 
 # Unicode letters, digits and underscore.  Java's own \w is ASCII only.
@@ -82,7 +83,7 @@ def tokenize(col: Column) -> Column:
 
 def remove_stop_words(tokens: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
     """Drop the tokens in ``stop``; order and repeats are kept; null -> []."""
-    kept = F.filter(tokens, lambda token: ~token.isin(*stop))
+    kept = bind(tokens, "ts", f"filter(ts, t -> t not in ({sql_strings(stop)}))")
     return F.coalesce(kept, empty_words())
 
 

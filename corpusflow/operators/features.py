@@ -20,10 +20,10 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.expr import let, total
+from corpusflow.functions.expr import let, sql_strings, total
 from corpusflow.functions.text import tokenize
 from corpusflow.functions.words import TOPIC_STOP_WORDS
 
@@ -114,7 +114,9 @@ def select_vocabulary(
 
 
 def _frequent_terms(df, text, min_df, most_documents, max_features, stop) -> DataFrame:
-    counts = term_document_counts(df, text).filter(~F.col("term").isin(*stop))
+    counts = term_document_counts(df, text)
+    if stop:
+        counts = counts.filter(F.expr(f"term not in ({sql_strings(stop)})"))
     kept = counts.filter(F.col("df").between(F.lit(min_df), F.lit(most_documents)))
     return kept.orderBy(F.desc("tf"), "term").limit(max_features)
 
@@ -152,6 +154,11 @@ def _with_counts(df: DataFrame, vocabulary: Vocabulary, text: str) -> DataFrame:
     )
 
 
+def _idf_array(vocabulary: Vocabulary) -> Column:
+    values = ", ".join(f"{value!r}D" for value in vocabulary.idf)
+    return F.expr(f"cast(array({values}) as array<double>)")
+
+
 def tfidf_rows(
     df: DataFrame, vocabulary: Vocabulary, text: str = "processed_text"
 ) -> DataFrame:
@@ -159,7 +166,7 @@ def tfidf_rows(
 
     An article without any feature term has empty arrays.
     """
-    idf_values = F.lit(vocabulary.idf)
+    idf_values = _idf_array(vocabulary)
     counts = F.unwrap_udt("_counts")
 
     def weigh(c):
@@ -191,11 +198,11 @@ def tfidf(
 ) -> DataFrame:
     """The non-zero weights in long form: ``(key, term, weight)``."""
     rows = tfidf_rows(df, vocabulary, text)
-    return rows.select(
+    entries = rows.select(
         key, F.inline(F.arrays_zip("indices", "weights")).alias("index", "weight")
-    ).select(
-        key, F.get(F.lit(list(vocabulary.terms)), F.col("index")).alias("term"), "weight"
     )
+    terms = F.expr(f"array({sql_strings(vocabulary.terms)})")
+    return entries.select(key, F.get(terms, F.col("index")).alias("term"), "weight")
 
 
 def tfidf_stats(
@@ -223,7 +230,7 @@ def tfidf_vectors(
     df: DataFrame, vocabulary: Vocabulary, text: str = "processed_text"
 ) -> DataFrame:
     """Add ``features``, the weights of ``tfidf_rows`` as a sparse ML vector."""
-    idf_values = F.lit(vocabulary.idf)
+    idf_values = _idf_array(vocabulary)
     raw = F.transform(
         vector_to_array("_counts"),
         lambda tf, i: F.when(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow import schema
+from corpusflow.functions.expr import sql_strings
 from corpusflow.functions.words import GENERIC_KEYWORDS
 from corpusflow.operators import features as X
 from corpusflow.operators.windows import top_n
@@ -109,7 +110,10 @@ def cluster_centers(
 def is_keyword(term: Column) -> Column:
     """Long terms always; short ones if not generic, numeric or an -ing form."""
     numeric = term.rlike("^[\\p{Nd}¹²³⁰⁴-⁹₀-₉]+$")
-    plain = ~numeric & ~term.isin(*GENERIC_KEYWORDS) & ~term.endswith("ing")
+    generic = F.array_contains(
+        F.expr(f"array({sql_strings(GENERIC_KEYWORDS)})"), term
+    )
+    plain = ~numeric & ~generic & ~term.endswith("ing")
     return ((F.length(term) >= 3) & plain) | (F.length(term) > 4)
 
 

@@ -40,7 +40,9 @@ def append_batch(
         numbered = store.number_new(new, 0)
     else:
         numbered = store.append_articles(None, new)
-    store.write_batch(summarize.fill_missing_summaries(numbered), path, label)
+    if {"Content", "cleaned_text"} & set(numbered.columns):
+        numbered = summarize.fill_missing_summaries(numbered)
+    store.write_batch(numbered, path, label)
     return label
 
 
@@ -66,11 +68,11 @@ def update_store(
 def _topic_run(
     spark: SparkSession, path: str, k_values: Sequence[int], **phase: str
 ) -> bool:
-    rows = store.read_store(spark, path, topics=False).select("ID", "processed_text")
-    result = topics.reprocess_topics(rows, k_values, **phase)
-    if result is None:
+    rows = store.read_store(spark, path, topics=False)
+    if rows.limit(topics.MIN_ARTICLES).count() < topics.MIN_ARTICLES:
         return False
-    store.write_topics(*result, path)
+    texts = rows.select("ID", "processed_text")
+    store.write_topics(*topics.reprocess_topics(texts, k_values, **phase), path)
     return True
 
 
