@@ -89,9 +89,8 @@ def idf(df: DataFrame, vocabulary: DataFrame, text: str = "Content") -> DataFram
             "term", F.lit(0).cast("bigint").alias("df"), F.lit(0.0).alias("idf")
         )
     tokens = F.array_distinct(tokenize(F.col(text)))
-    counts = df.select(F.explode(tokens).alias("term"))
-    known = vocabulary.select("term").distinct()
-    counts = counts.join(known, "term", "left_semi").groupBy("term")
+    # Counted before the join: a very frequent term then is one row per task.
+    counts = df.select(F.explode(tokens).alias("term")).groupBy("term")
     found = vocabulary.join(counts.agg(F.count("*").alias("df")), "term", "left")
     found = found.select("term", F.coalesce("df", F.lit(0)).alias("df"))
     value = F.log(F.lit(float(1 + documents)) / (F.col("df") + 1)) + 1.0

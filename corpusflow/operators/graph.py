@@ -1,6 +1,6 @@
 """Sentence graphs: one graph per article, ranked by weighted PageRank.
 
-Two physical forms give the same graph:
+Three physical forms give the same ranks:
 
 * *Row-local*: an article with few sentences is handled inside its own row by
   array expressions.  No shuffle at all; the bulk of any news corpus goes here.
@@ -8,6 +8,9 @@ Two physical forms give the same graph:
   is spread over the cluster by ``(article, token)`` and its edges are found by
   an equi-join, so that one long text is never one long task.
 
+* *Spread*: beyond ``ROW_RANKED_SENTENCES`` the rounds of PageRank are joins too, on
+  checkpointed edges, so that the edges of one article never have to fit a task.
+
 The split is made on a bound that is cheap to compute and proven:
 ``max_sentences`` (sentence-ending marks plus one) is never below the real
 sentence count.
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.expr import bind, sql_let, sql_runs, sql_sum
 from corpusflow.functions.sentences import max_sentences, split_sentences
 from corpusflow.functions.sentences import token_sets as sentence_sets
+from corpusflow.sources.scratch import cut_lineage
 
 # --- fixed values: graph and ranking rules ---------------------------------
 MIN_SIMILARITY = 0.1  # an edge needs strictly more
@@ -31,6 +35,11 @@ MAX_ROUNDS = 100
 
 # At most this many sentences squared are compared inside one row.
 ROW_LOCAL_SENTENCES = 400
+# Up to this many sentences the edges of one article are ranked in one task;
+# beyond it the rounds of PageRank are joins as well.
+ROW_RANKED_SENTENCES = 2000
+# Articles ranked by joins whose convergence flags are broadcast.
+BROADCAST_FLAGS = 100_000
 
 
 def sentences(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
@@ -160,6 +169,27 @@ def is_row_local(text: Column) -> Column:
     return max_sentences(text) <= ROW_LOCAL_SENTENCES
 
 
+def is_huge(text: Column) -> Column:
+    return max_sentences(text) > max(ROW_RANKED_SENTENCES, ROW_LOCAL_SENTENCES)
+
+
+def by_size(df: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Row-local, joined and spread articles; None if there are no spread ones.
+
+    The ranks of spread articles take rounds of jobs, so whether there are any is
+    looked up first: one job that reads the texts and counts marks.
+    """
+    content = F.col(text)
+    huge = F.coalesce(is_huge(content), F.lit(False))
+    local = F.coalesce(is_row_local(content), F.lit(True))
+    some = df.select(text).filter(huge).limit(1).count() > 0
+    return (
+        df.filter(local),
+        df.filter(~local & ~huge) if some else df.filter(~local),
+        df.filter(~local & huge) if some else None,
+    )
+
+
 # --- long articles ---------------------------------------------------------
 
 
@@ -266,6 +296,102 @@ def dense_links(n: Column, linked: Column) -> Column:
 _LINKED = "array<struct<node:int,near:array<struct<node:int,weight:double>>>>"
 
 
+# --- huge articles ---------------------------------------------------------
+
+
+def spread_ranks(nodes: DataFrame, key: str) -> DataFrame:
+    """``(key, n, linked, rest)``: the rules of ``rank_nodes`` as rounds of joins.
+
+    ``linked`` is ``array<struct<node, rank>>`` for the nodes with neighbours, and
+    ``rest`` is the rank of each of the others.  Articles without any edge do not
+    appear.  An article stops at its own last round.
+    """
+    edges = cut_lineage(joined_edges(nodes, key))
+    both = edges.select(
+        key,
+        F.inline(
+            F.array(
+                F.struct(F.col("src").alias("node"), F.col("dst").alias("to"), "weight"),
+                F.struct(F.col("dst").alias("node"), F.col("src").alias("to"), "weight"),
+            )
+        ),
+    )
+    strength = both.groupBy(key, "node").agg(F.sum("weight").alias("strength"))
+    shares = both.join(strength, [key, "node"]).select(
+        key, "node", "to", (F.col("weight") / F.col("strength")).alias("share")
+    )
+    shares = cut_lineage(shares)
+    # One row per article.
+    sizes = nodes.select(key, F.size("sets").cast("double").alias("n"))
+    known = strength.groupBy(key).agg(F.count("*").alias("connected"))
+    sizes = cut_lineage(
+        sizes.join(known, key).withColumn("alone", F.col("n") - F.col("connected"))
+    )
+    few = sizes.count() <= BROADCAST_FLAGS
+
+    def per_article(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if few else table
+
+    start = 1.0 / F.col("n")
+    state = strength.select(key, "node").join(per_article(sizes), key)
+    state = cut_lineage(state.withColumns({"x": start, "z": start}))
+    base = (F.lit(1.0 - DAMPING) + F.col("alone") * F.col("z") * DAMPING) / F.col("n")
+    finished = []
+    for left in reversed(range(MAX_ROUNDS)):
+        moved = state.join(shares, [key, "node"]).groupBy(key, "to")
+        inflow = moved.agg(F.sum(F.col("x") * F.col("share")).alias("inflow"))
+        inflow = inflow.withColumnRenamed("to", "node")
+        after = cut_lineage(
+            state.join(inflow, [key, "node"]).withColumns(
+                {"x2": base + F.col("inflow") * DAMPING, "z2": base}
+            )
+        )
+        change = F.sum(F.abs(F.col("x2") - F.col("x"))) + F.max(
+            F.col("alone") * F.abs(F.col("z2") - F.col("z"))
+        )
+        done = (change < F.max("n") * F.lit(TOLERANCE)).alias("done")
+        flags = cut_lineage(after.groupBy(key).agg(done))
+        stopped = flags.filter(F.col("done") | F.lit(left == 0)).select(key)
+        going = flags.filter(~F.col("done")).select(key)
+        moved_on = after.drop("x", "z", "inflow").withColumnsRenamed(
+            {"x2": "x", "z2": "z"}
+        )
+        if stopped.limit(1).count():
+            finished.append(moved_on.join(per_article(stopped), key, "left_semi"))
+        if left == 0 or not going.limit(1).count():
+            break
+        state = moved_on.join(per_article(going), key, "left_semi")
+    if not finished:
+        finished = [state]
+    ranked = finished[0]
+    for rows in finished[1:]:
+        ranked = ranked.unionByName(rows)
+    # Linear in the article's text, which is one row already.
+    nodes_of = F.collect_list(F.struct("node", F.col("x").alias("rank")))
+    return ranked.groupBy(key).agg(
+        F.max("n").cast("int").alias("n"),
+        F.sort_array(nodes_of).alias("linked"),
+        F.max("z").alias("rest"),
+    )
+
+
+def dense_ranks(n: Column, linked: Column, rest: Column) -> Column:
+    """All ranks by node from the columns of ``spread_ranks``.
+
+    Without them (null), all ``n`` nodes have the same rank.
+    """
+    bare = """transform(array_repeat(0, v.n), (_, i) ->
+        named_struct('node', i, 'bare', 1, 'rank', v.rest))"""
+    known = """transform(v.linked, e ->
+        named_struct('node', e.node, 'bare', 0, 'rank', e.rank))"""
+    first = f"transform({sql_runs('es.node', 'a')}, r -> es[r.start].rank)"
+    every = sql_let(f"sort_array(concat({known}, {bare}))", "es", first)
+    some = F.coalesce(linked, F.array().cast("array<struct<node:int,rank:double>>"))
+    even = F.coalesce(rest, F.try_divide(F.lit(1.0), n))
+    value = F.struct(n.alias("n"), some.alias("linked"), even.alias("rest"))
+    return bind(value, "v", f"if(v.n >= 2, {every}, null)")
+
+
 # --- operators -------------------------------------------------------------
 
 
@@ -278,21 +404,30 @@ def sentence_edges(df: DataFrame, text: str = "Content", key: str = "ID") -> Dat
     return short.unionByName(long)
 
 
-def graph_links(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
-    """``(key, links)``: the adjacency array of every article."""
-    local = is_row_local(F.col(text))
-    links = links_of(token_sets(F.col(text)))
-    short = df.filter(local).select(key, links.alias("links"))
-    rest = df.filter(~local)
-    linked = joined_links(sentence_nodes(rest, text, key), key)
-    sizes = rest.select(key, F.size(split_sentences(F.col(text))).alias("n"))
-    dense = dense_links(F.col("n"), F.col("linked")).alias("links")
-    return short.unionByName(sizes.join(linked, key, "left").select(key, dense))
-
-
 def pagerank_by_doc(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
     """``(key, node, rank)`` of every article with at least two sentences."""
-    ranks = ranks_of_graph(F.col("links"))
-    return graph_links(df, text, key).select(
-        key, F.posexplode(ranks).alias("node", "rank")
-    )
+    content = F.col(text)
+    local, joined, spread = by_size(df, text)
+    links = links_of(token_sets(content))
+    ranks = [local.select(key, ranks_of_graph(links).alias("ranks"))]
+
+    n = F.size(split_sentences(content)).alias("n")
+    linked = joined_links(sentence_nodes(joined, text, key), key)
+    sized = joined.select(key, n).join(linked, key, "left")
+    dense = ranks_of_graph(dense_links(F.col("n"), F.col("linked")))
+    ranks.append(sized.select(key, dense.alias("ranks")))
+
+    if spread is not None:
+        found = spread_ranks(sentence_nodes(spread, text, key), key).drop("n")
+        sized = spread.select(key, n).join(found, key, "left")
+        dense = dense_ranks(F.col("n"), F.col("linked"), F.col("rest"))
+        ranks.append(sized.select(key, dense.alias("ranks")))
+
+    every = [
+        part.select(key, F.posexplode(bind(F.col("ranks"), "rk", "rk")).alias("node", "rank"))
+        for part in ranks
+    ]
+    result = every[0]
+    for part in every[1:]:
+        result = result.unionByName(part)
+    return result
