@@ -92,11 +92,6 @@ def score_sentences(sentences: Column) -> Column:
     return bind(sentences, "ss", sql_scored("ss"))
 
 
-def readable_sentences(sentences: Column) -> Column:
-    """The sentences of ``score_sentences``, in its order."""
-    return score_sentences(sentences)["sentence"]
-
-
 def sentence_tokens(sentence: Column) -> Column:
     """Distinct processed tokens of one sentence."""
     return F.array_distinct(split_words(processed_text(sentence)))

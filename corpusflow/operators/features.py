@@ -243,6 +243,17 @@ def tfidf_vectors(
     return packed.transform(scaled).drop("_counts", "_raw", "_unit")
 
 
+def vector_rows(df: DataFrame, features: str = "features") -> DataFrame:
+    """``indices`` and ``weights`` of stored vectors, as in ``tfidf_rows``.
+
+    A vector with few zeros is stored dense and has no indices of its own.
+    """
+    vector = F.unwrap_udt(features)
+    last = F.size(vector["values"]) - 1
+    indices = F.coalesce(vector["indices"], F.sequence(F.lit(0), last))
+    return df.withColumns({"indices": indices, "weights": vector["values"]})
+
+
 def component_count(documents: int, features: int) -> int | None:
     """Number of principal components used for clustering; None: do not reduce."""
     if documents <= 1 or features <= 1:

@@ -269,13 +269,13 @@ def fit_topics(
     vectors = X.tfidf_vectors(texts, vocabulary, text).select(key, "features")
     # K-Means reads its input dozens of times: keep the small projection and
     # the sparse weights in reliable storage.
-    vectors = cut_lineage(vectors)
+    vectors = cut_lineage(vectors)  # also read for the centres, not the texts
     reduced = X.pca(vectors, vocabulary.documents, len(vocabulary.terms))
     reduced = cut_lineage(reduced)
     labels, scores = select_k(reduced, k_values, seed, restarts, key)
     best = choose(k_values, scores)
     chosen = labels[k_values[best]]
-    weights = X.tfidf_rows(texts, vocabulary, text).select(key, "indices", "weights")
+    weights = X.vector_rows(vectors).select(key, "indices", "weights")
     centers = cluster_centers(weights.join(chosen, key), vocabulary, k_values[best])
     return TopicModel(
         labels=chosen,

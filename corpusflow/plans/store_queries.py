@@ -230,7 +230,8 @@ def batch_stats(spark, sf_dir):
         F.col("page_id").alias("ID"), T.strip_html(F.col("html")).alias("Content")
     )
     batch = summarize.summarize_articles(pages)
-    return stats.rounded(stats.batch_stats(batch, 40, 250))
+    before = articles(spark, sf_dir).count()
+    return stats.rounded(stats.batch_stats(batch, before, before + pages.count()))
 
 
 # --- the store -------------------------------------------------------------
@@ -431,7 +432,7 @@ SQL = {
         SELECT count(*) AS articles_processed,
                round(avg(summary_length), 6) AS avg_summary_length,
                round(avg(compression_ratio), 6) AS avg_compression,
-               210 AS articles_added FROM summaries""",
+               (SELECT count(*) FROM pages) AS articles_added FROM summaries""",
     "update_store": f"""WITH RECURSIVE {_MERGED}, {O.summaries('merged')}
         SELECT "ID", "Title", summary, summary_length
         FROM merged JOIN summaries USING ("ID")""",

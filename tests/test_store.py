@@ -100,7 +100,8 @@ def test_append_numbers_new_rows(spark):
     merged = store.append_articles(rows(spark, 2), rows(spark, 2, with_id=False, extra=1))
     assert sorted(r["ID"] for r in merged.collect()) == [1, 2, 3, 4]
     assert merged.filter("extra IS NULL").count() == 2
-    assert sorted(r["ID"] for r in store.append_articles(None, rows(spark, 3, False)).collect()) == [1, 2, 3]
+    fresh = store.append_articles(None, rows(spark, 3, False))
+    assert sorted(r["ID"] for r in fresh.collect()) == [1, 2, 3]
     kept = store.append_articles(None, rows(spark, 1).withColumn("ID", F.lit(7)))
     assert kept.first()["ID"] == 7
 
@@ -130,7 +131,9 @@ def test_dedup_keeps_first_and_cuts_before_the_shuffle(spark, plan):
 
 def test_update_by_key_last_wins(spark):
     df = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "ID int, s string, n int")
-    new = spark.createDataFrame([(1, "x", 1), (1, None, 2), (9, "z", 1)], "ID int, s string, at int")
+    new = spark.createDataFrame(
+        [(1, "x", 1), (1, None, 2), (9, "z", 1)], "ID int, s string, at int"
+    )
     got = {r["ID"]: r["s"] for r in update_by_key(df, new, ["s"], "at").collect()}
     assert got == {1: None, 2: "b"}
 
@@ -202,6 +205,13 @@ def test_topics_of_store(spark, tmp_path):
     assert metadata["parameters"]["best_k"] == 2
 
 
+def test_process_batch(spark):
+    row = update.process_batch(rows(spark, 1)).first()
+    assert row["cleaned_text"].startswith("markets rose sharply")
+    assert row["token_count"] > row["token_count_no_stop"] > 0
+    assert row["summary"] and row["compression_ratio"] <= 1
+
+
 def test_store_statistics(spark):
     df = rows(spark, 3).withColumn("Topic", F.when(F.col("ID") == 1, 0).otherwise(1))
     df = df.withColumn("Published Date", F.concat(F.lit("2024-01-0"), F.col("ID")))

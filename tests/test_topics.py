@@ -79,6 +79,11 @@ def test_vectors_equal_rows(spark):
         .orderBy("ID")
         .collect()
     )
+    stored = X.vector_rows(X.tfidf_vectors(df, vocabulary)).orderBy("ID").collect()
+    for row, again in zip(sparse, stored):
+        assert dict(zip(row["indices"], row["weights"])) == pytest.approx(
+            {i: w for i, w in zip(again["indices"], again["weights"]) if w}
+        )
     for row, vector in zip(sparse, dense):
         expected = np.zeros(len(vocabulary.terms))
         expected[row["indices"]] = row["weights"]
