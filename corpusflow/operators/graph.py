@@ -196,10 +196,10 @@ def by_size(df: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame |
 def shared_ids(sets: Column) -> Column:
     """Tokens as numbers, rarest first: ``array<struct<node, size, ids>>``.
 
-    ``size`` counts all tokens of the sentence.  Only tokens of at least two sentences get a number, in order of how many
-    sentences have them; a sentence without such a token is left out.
+    ``size`` counts all tokens of the sentence.  Only tokens of at least two
+    sentences get a number, in order of how many sentences have them; a sentence
+    without such a token is left out.
     """
-
     runs = f"filter({sql_runs('es.token', 'a')}, r -> r.length > 1)"
     rarest_first = f"""sort_array(transform({runs}, r ->
         named_struct('length', r.length, 'start', r.start)))"""
