@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,20 +10,19 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster.
+    """The shared folder named by the cluster, else one in the session's warehouse.
 
-    Only a session without that setting (a local test run) gets a folder of its
-    own, on the one machine it runs on.
+    The warehouse is a Hadoop path, so executors on other machines see it too.
     """
-    configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    context = spark.sparkContext
+    configured = context.getConf().get(CHECKPOINT_CONF)
     configured = configured or spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusflow-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not configured:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = context.getCheckpointDir() or f"{warehouse}/corpusflow-scratch"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
