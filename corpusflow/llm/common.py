@@ -55,3 +55,15 @@ def vocabulary_bytes(path: str) -> bytes:
 def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column as UTF-8, without decoding it."""
     return batch.column(name).cast(pa.large_binary()).to_pylist()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """A column name for each of ``names`` that ``df`` does not have, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, common
+from corpusflow.llm import byte_bpe, common, quality, simhash
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -44,8 +44,66 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored ledger under the current policy."""
+    entries = common.stored(quality.ledger(documents(spark, sf_dir)), "ledger")
+    return entries.select(
+        "*",
+        (~quality.passes("failed_rules", "base")).alias("base_failed"),
+        quality.passes("failed_rules").alias("kept"),
+    )
+
+
+QUALITY_MEASURES_SQL = r"""
+    split AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                        lambda w: w <> '') AS words,
+            list_filter(string_split(coalesce(text, ''), chr(10)),
+                        lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents),
+    windows AS (
+        SELECT doc_id, unnest(range(1, len(words) - 6)) AS i,
+            unnest(list_transform(range(1, len(words) - 6),
+                                  lambda k: array_to_string(words[k:k + 7], ' '))) AS w
+        FROM split),
+    found AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows),
+    covered AS (
+        SELECT doc_id, count(DISTINCT k) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM found WHERE n > 1)
+        GROUP BY doc_id),
+    measured AS (
+        SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+            len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words,
+            length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS n_upper
+        FROM split LEFT JOIN covered USING (doc_id))"""
+_BITS = " + ".join(
+    f"CASE WHEN {rule} THEN {1 << bit} ELSE 0 END"
+    for bit, rule in enumerate(quality.RULES.values())
+)
+OP4_SQL = f"""WITH {QUALITY_MEASURES_SQL},
+    judged AS (SELECT *, {_BITS} AS failed_rules FROM measured)
+SELECT *, failed_rules & {quality.mask(quality.POLICIES["base"])} <> 0 AS base_failed,
+    failed_rules & {quality.mask(quality.POLICIES["v1"])} = 0 AS kept
+FROM judged"""
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", simhash.hex_digits().alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_rules": op4_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_simhash": op9_simhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_quality_rules": OP4_SQL,
+}
