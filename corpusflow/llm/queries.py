@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, common, quality, simhash
+from corpusflow.llm import byte_bpe, common, decontaminate, line_dedup, quality, simhash
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -40,10 +40,60 @@ def byte_bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test items that documents hold."""
+    items = table(spark, sf_dir, "benchmark")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate.with_matches(docs, items).select("doc_id", F.inline("matches"))
+    return found.select("doc_id", F.col("item").alias("item_id"), "score")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(documents(spark, sf_dir))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without later copies of lines, and where the first copies are."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs, report=("n_removed", "first_copies"))
+
+
+OP2_SQL = f"""WITH raw AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS raw_no
+        FROM documents),
+    worded AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw_no) AS n
+        FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    runs AS (
+        SELECT *, CASE WHEN lead(n, {line_dedup.MIN_LINES - 1}) OVER ahead IS NOT NULL
+            THEN {" || chr(10) || ".join(f"lead(line, {k}) OVER ahead" for k in range(line_dedup.MIN_LINES))}
+            END AS run
+        FROM worded WINDOW ahead AS (PARTITION BY doc_id ORDER BY n)),
+    firsts AS (
+        SELECT *, min((doc_id, n)) OVER (PARTITION BY line) AS first_line,
+            min((doc_id, n)) OVER (PARTITION BY run) AS first_run
+        FROM runs),
+    later AS (
+        SELECT doc_id, n, raw_no,
+            CASE WHEN first_line < (doc_id, n) AND length(line) >= {line_dedup.LONG_LINE_CHARS}
+                THEN first_line[1] END AS lone,
+            CASE WHEN run IS NOT NULL AND first_run < (doc_id, n) THEN first_run[1] END AS run_id
+        FROM firsts),
+    gone AS (
+        SELECT doc_id, raw_no, coalesce(lone, min(run_id) OVER (PARTITION BY doc_id ORDER BY n
+            ROWS BETWEEN {line_dedup.MIN_LINES - 1} PRECEDING AND CURRENT ROW)) AS first_id
+        FROM later),
+    kept AS (
+        SELECT doc_id, string_agg(line, chr(10) ORDER BY raw_no) FILTER (first_id IS NULL) AS kept,
+            count(first_id) AS n_removed,
+            list_sort(coalesce(list(DISTINCT first_id) FILTER (first_id IS NOT NULL), [])) AS first_copies
+        FROM raw LEFT JOIN gone USING (doc_id, raw_no) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN n_removed = 0 THEN text ELSE coalesce(kept, '') END AS text,
+    n_removed, first_copies
+FROM documents JOIN kept USING (doc_id)"""
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ledger under the current policy."""
     entries = common.stored(quality.ledger(documents(spark, sf_dir)), "ledger")
@@ -99,11 +149,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_decontaminate": op5_decontaminate,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash": op9_simhash,
 }
 
 SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
     "op4_quality_rules": OP4_SQL,
 }
