@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, common, decontaminate, line_dedup, quality, simhash
+from corpusflow.llm import byte_bpe, common, decontaminate, line_dedup, pii, quality, simhash
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -52,6 +52,22 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(documents(spark, sf_dir))
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data; the counts are of base spans."""
+    found = pii.personal_data(documents(spark, sf_dir))
+    base = F.transform(F.filter("spans", lambda s: s["base"]), lambda s: s["kind"])
+    counts = [
+        (F.size(base) - F.size(F.array_remove(base, k))).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.span_list(base_only=True).cast("binary"), 256).alias("base_sha256"),
+        pii.span_list().alias("spans"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without later copies of lines, and where the first copies are."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -149,6 +165,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": op1_personal_data,
     "op2_line_dedup": op2_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontaminate": op5_decontaminate,
