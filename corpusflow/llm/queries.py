@@ -9,9 +9,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, common, decontaminate, line_dedup, pii, quality, simhash
+from corpusflow.llm import (
+    byte_bpe,
+    common,
+    decontaminate,
+    line_dedup,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    token_store,
+    url_filters,
+    warc,
+)
+from corpusflow.sources.scratch import scratch_path
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+ENGLISH_RANKS = "byte_bpe_50k.tiktoken"
+WORD_TOKENIZER = "word_bpe_49k.json"
+#: Payloads of fewer bytes are archived in full each time.
+REVISIT_BYTES = 100
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -48,6 +65,20 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("item").alias("item_id"), "score")
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents in order, read back and summed up."""
+    path = scratch_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_store.write_tokens(docs, path, public_tokenizers.path(WORD_TOKENIZER))
+    tokens = token_store.read_tokens(spark, path, docs.schema["doc_id"].dataType.simpleString())
+    return token_store.with_crc(tokens).withColumnRenamed("id", "doc_id")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(ENGLISH_RANKS)
+    return token_counts.count_tokens(documents(spark, sf_dir), ranks)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(documents(spark, sf_dir))
 
@@ -110,6 +141,67 @@ SELECT doc_id, CASE WHEN n_removed = 0 THEN text ELSE coalesce(kept, '') END AS
 FROM documents JOIN kept USING (doc_id)"""
 
 
+def archive_records(pages: DataFrame) -> DataFrame:
+    """A WARC record per page; a repeated payload refers to the smallest page that has it."""
+    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select(
+        "page_id",
+        F.col("url").alias("target_uri"),
+        html.alias("payload"),
+        F.sha2(html, 256).alias("digest"),
+        F.octet_length(html).cast("long").alias("payload_length"),
+    )
+    large = rows.filter(F.col("payload_length") >= REVISIT_BYTES)
+    firsts = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    firsts = firsts.filter("n > 1 and first is not null").select("digest", "first")
+    rows = rows.join(common.stored(firsts, "firsts"), "digest", "left")
+    revisit = (F.col("payload_length") >= REVISIT_BYTES) & (F.col("page_id") > F.col("first"))
+
+    def record_id(column: str) -> F.Column:
+        return F.concat(F.lit("<urn:page:"), F.col(column).cast("string"), F.lit(">"))
+
+    return rows.select(
+        record_id("page_id").alias("record_id"),
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        "target_uri",
+        F.lit("2024-01-01T00:00:00Z").alias("date"),
+        F.when(revisit, record_id("first")).alias("refers_to"),
+        F.concat(F.lit("sha256:"), F.col("digest")).alias("payload_digest"),
+        "payload_length",
+        F.when(~F.coalesce(revisit, F.lit(False)), F.col("payload")).alias("payload"),
+    )
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives and read back: what each record says of its payload."""
+    warc.register(spark)
+    path = scratch_path(spark, "warc")
+    archive_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
+    records = spark.read.format("warc").load(path)
+    held = F.col("payload").isNotNull()
+    stated = F.substring_index("payload_digest", ":", -1)
+    return records.select(
+        F.expr("try_cast(regexp_extract(record_id, '([0-9-]+)', 1) as bigint)").alias("page_id"),
+        F.when(held, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(held, F.sha2("payload", 256)).otherwise(stated).alias("payload_digest"),
+        "record_type",
+        F.expr("try_cast(regexp_extract(refers_to, '([0-9-]+)', 1) as bigint)").alias("refers_to"),
+    )
+
+
+OP3_SQL = f"""WITH sized AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload,
+            sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    firsts AS (
+        SELECT *, octet_length(payload) AS payload_bytes,
+            min(page_id) OVER (PARTITION BY payload_digest) AS first FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= {REVISIT_BYTES} AND page_id > first
+        THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= {REVISIT_BYTES} AND page_id > first THEN first END AS refers_to
+FROM firsts"""
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ledger under the current policy."""
     entries = common.stored(quality.ledger(documents(spark, sf_dir)), "ledger")
@@ -164,16 +256,71 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list made of the pages: each reports its host, or its site, on its day."""
+    host = url_filters.host_of("url")
+    site = F.substring_index(host, ".", -3)
+    action = F.get(F.array(*map(F.lit, ("block", "allow", "lift"))), (F.col("page_id") % 3).cast("int"))
+    return pages.filter("page_id % 4 = 0").select(
+        F.when(F.col("page_id") % 8 == 0, site).otherwise(host).alias("pattern"),
+        action.alias("action"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("day"),
+        F.col("page_id").alias("entry_id"),
+    )
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture, judged by the list as of its fetch day."""
+    pages = table(spark, sf_dir, "pages")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7 % 365).cast("int"))
+    captures = pages.select("page_id", "url", fetched.alias("day"))
+    return url_filters.judge(captures, list_entries(pages)).drop("url")
+
+
+OP10_SQL = """WITH hosted AS (
+        SELECT page_id, nullif(rtrim(lower(regexp_extract(url,
+            '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host
+        FROM pages),
+    reported AS (
+        SELECT CASE WHEN page_id % 8 = 0
+                THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE host END AS pattern,
+            ['block', 'allow', 'lift'][page_id % 3 + 1] AS action,
+            DATE '2024-01-01' + (page_id % 365)::INT AS day, page_id
+        FROM hosted WHERE page_id % 4 = 0 AND host IS NOT NULL),
+    daily AS (
+        SELECT pattern, day, arg_max(action, page_id) AS action FROM reported GROUP BY ALL),
+    valid AS (
+        SELECT pattern, action, day AS since,
+            lead(day) OVER (PARTITION BY pattern ORDER BY day) AS until FROM daily),
+    captures AS (
+        SELECT page_id, host, DATE '2024-01-01' + (page_id * 7 % 365)::INT AS day FROM hosted),
+    met AS (
+        SELECT page_id, action, pattern, since,
+            row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC) AS n
+        FROM captures JOIN valid
+            ON (host = pattern OR suffix(host, '.' || pattern))
+            AND since <= day AND (until IS NULL OR day < until)
+        WHERE action <> 'lift')
+SELECT page_id, day, host, coalesce(action, 'none') AS verdict, pattern, since
+FROM captures LEFT JOIN (SELECT * FROM met WHERE n = 1) USING (page_id)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontaminate": op5_decontaminate,
+    "op6_token_store": op6_token_store,
+    "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash": op9_simhash,
+    "op10_url_filters": op10_url_filters,
 }
 
 SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op3_warc": OP3_SQL,
     "op4_quality_rules": OP4_SQL,
+    "op10_url_filters": OP10_SQL,
 }
