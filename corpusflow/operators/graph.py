@@ -4,11 +4,10 @@ Three physical forms give the same ranks:
 
 * *Row-local*: an article with few sentences is handled inside its own row by
   array expressions.  No shuffle at all; the bulk of any news corpus goes here.
-* *Joined*: an article whose sentence count may exceed ``ROW_LOCAL_SENTENCES``
-  is spread over the cluster by ``(article, token)`` and its edges are found by
+* *Joined*: an article whose sentence count may exceed ``Limits.row_local`` is spread over the cluster by ``(article, token)`` and its edges are found by
   an equi-join, so that one long text is never one long task.
 
-* *Spread*: beyond ``ROW_RANKED_SENTENCES`` the rounds of PageRank are joins too, on
+* *Spread*: beyond ``Limits.row_ranked`` the rounds of PageRank are joins too, on
   checkpointed edges, so that the edges of one article never have to fit a task.
 
 The split is made on a bound that is cheap to compute and proven:
@@ -18,6 +17,8 @@ sentence count.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +34,6 @@ TOLERANCE = 1.0e-6  # per node, on the L1 change of one round
 MAX_ROUNDS = 100
 # ---------------------------------------------------------------------------
 
-# At most this many sentences squared are compared inside one row.
-ROW_LOCAL_SENTENCES = 400
-# Up to this many sentences the edges of one article are ranked in one task;
-# beyond it the rounds of PageRank are joins as well.
-ROW_RANKED_SENTENCES = 2000
-# Articles ranked by joins whose convergence flags are broadcast.
-BROADCAST_FLAGS = 100_000
-
 
 def sentences(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
     """One row per sentence: ``(key, pos, sentence)``."""
@@ -165,28 +158,47 @@ def ranks_of_graph(links: Column) -> Column:
     return bind(links, "ls", f"if(size(ls) >= 2, {sql_ranks('ls')}, null)")
 
 
-def is_row_local(text: Column) -> Column:
-    return max_sentences(text) <= ROW_LOCAL_SENTENCES
+@dataclass(frozen=True)
+class Limits:
+    """How articles are worked on by size; the results are the same.
+
+    ``row_local``: at most this many sentences squared are compared inside one row.
+    ``row_ranked``: up to this many sentences the edges of one article are ranked in one
+    task; beyond it the rounds of PageRank are joins as well.
+    """
+
+    row_local: int = 400
+    row_ranked: int = 2000
+
+
+LIMITS = Limits()
 
 
-def is_huge(text: Column) -> Column:
-    return max_sentences(text) > max(ROW_RANKED_SENTENCES, ROW_LOCAL_SENTENCES)
+@dataclass(frozen=True)
+class BySize:
+    """Articles by the way they are worked on; ``joined`` and ``spread`` have a ``row`` id."""
 
+    local: DataFrame
+    joined: DataFrame | None
+    spread: DataFrame | None
 
-def by_size(df: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Row-local, joined and spread articles; None if there are no spread ones.
 
-    The ranks of spread articles take rounds of jobs, so whether there are any is
-    looked up first: one job that reads the texts and counts marks.
+def by_size(df: DataFrame, text: str, row: str, limits: Limits = LIMITS) -> BySize:
+    """Row-local, joined and spread articles; None if there are none.
+
+    The few long articles are written once, with an id of their own in column ``row``, so
+    that later joins neither read the texts again nor rely on a key of the input.
     """
-    content = F.col(text)
-    huge = F.coalesce(is_huge(content), F.lit(False))
-    local = F.coalesce(is_row_local(content), F.lit(True))
-    some = df.select(text).filter(huge).limit(1).count() > 0
-    return (
-        df.filter(local),
-        df.filter(~local & ~huge) if some else df.filter(~local),
-        df.filter(~local & huge) if some else None,
+    most = F.coalesce(max_sentences(F.col(text)), F.lit(0))
+    long = df.filter(most > limits.row_local)
+    long = cut_lineage(long.withColumn(row, F.monotonically_increasing_id()))
+    local = df.filter(most <= limits.row_local)
+    huge = most > max(limits.row_ranked, limits.row_local)
+    sizes = {r["huge"] for r in long.select(huge.alias("huge")).distinct().collect()}
+    return BySize(
+        local,
+        long.filter(~huge) if False in sizes else None,
+        long.filter(huge) if True in sizes else None,
     )
 
 
@@ -327,13 +339,8 @@ def spread_ranks(nodes: DataFrame, key: str) -> DataFrame:
     sizes = cut_lineage(
         sizes.join(known, key).withColumn("alone", F.col("n") - F.col("connected"))
     )
-    few = sizes.count() <= BROADCAST_FLAGS
-
-    def per_article(table: DataFrame) -> DataFrame:
-        return F.broadcast(table) if few else table
-
     start = 1.0 / F.col("n")
-    state = strength.select(key, "node").join(per_article(sizes), key)
+    state = strength.select(key, "node").join(sizes, key)
     state = cut_lineage(state.withColumns({"x": start, "z": start}))
     base = (F.lit(1.0 - DAMPING) + F.col("alone") * F.col("z") * DAMPING) / F.col("n")
     finished = []
@@ -356,11 +363,12 @@ def spread_ranks(nodes: DataFrame, key: str) -> DataFrame:
         moved_on = after.drop("x", "z", "inflow").withColumnsRenamed(
             {"x2": "x", "z2": "z"}
         )
-        if stopped.limit(1).count():
-            finished.append(moved_on.join(per_article(stopped), key, "left_semi"))
-        if left == 0 or not going.limit(1).count():
+        ends = {r["done"] for r in flags.select("done").distinct().collect()}
+        if left == 0 or True in ends:
+            finished.append(moved_on.join(stopped, key, "left_semi"))
+        if left == 0 or False not in ends:
             break
-        state = moved_on.join(per_article(going), key, "left_semi")
+        state = moved_on.join(going, key, "left_semi")
     if not finished:
         finished = [state]
     ranked = finished[0]
@@ -395,33 +403,42 @@ def dense_ranks(n: Column, linked: Column, rest: Column) -> Column:
 # --- operators -------------------------------------------------------------
 
 
-def sentence_edges(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
-    """Edges of every article's sentence graph: ``(key, src, dst, weight)``."""
-    local = is_row_local(F.col(text))
+def sentence_edges(
+    df: DataFrame, text: str = "Content", key: str = "ID", limits: Limits = LIMITS
+) -> DataFrame:
+    """Edges of every article's sentence graph: ``(key, src, dst, weight)``.
+
+    Articles with equal keys have graphs of their own.
+    """
+    most = F.coalesce(max_sentences(F.col(text)), F.lit(0))
     edges = edges_of(token_sets(F.col(text)))
-    short = df.filter(local).select(key, F.inline(edges))
-    long = joined_edges(sentence_nodes(df.filter(~local), text, key), key)
-    return short.unionByName(long)
+    short = df.filter(most <= limits.row_local).select(key, F.inline(edges))
+    row = F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"))
+    rest = df.filter(most > limits.row_local).withColumn("_row", row)
+    nodes = cut_lineage(sentence_nodes(rest, text, "_row"))
+    long = joined_edges(nodes, "_row")
+    return short.unionByName(long.select(F.col("_row.key").alias(key), "src", "dst", "weight"))
 
 
-def pagerank_by_doc(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
+def pagerank_by_doc(
+    df: DataFrame, text: str = "Content", key: str = "ID", limits: Limits = LIMITS
+) -> DataFrame:
     """``(key, node, rank)`` of every article with at least two sentences."""
     content = F.col(text)
-    local, joined, spread = by_size(df, text)
+    sized = by_size(df.select(key, text), text, "_row", limits)
     links = links_of(token_sets(content))
-    ranks = [local.select(key, ranks_of_graph(links).alias("ranks"))]
-
+    ranks = [sized.local.select(key, ranks_of_graph(links).alias("ranks"))]
     n = F.size(split_sentences(content)).alias("n")
-    linked = joined_links(sentence_nodes(joined, text, key), key)
-    sized = joined.select(key, n).join(linked, key, "left")
-    dense = ranks_of_graph(dense_links(F.col("n"), F.col("linked")))
-    ranks.append(sized.select(key, dense.alias("ranks")))
-
-    if spread is not None:
-        found = spread_ranks(sentence_nodes(spread, text, key), key).drop("n")
-        sized = spread.select(key, n).join(found, key, "left")
+    if sized.joined is not None:
+        linked = joined_links(sentence_nodes(sized.joined, text, "_row"), "_row")
+        rows = sized.joined.select("_row", key, n).join(linked, "_row", "left")
+        dense = ranks_of_graph(dense_links(F.col("n"), F.col("linked")))
+        ranks.append(rows.select(key, dense.alias("ranks")))
+    if sized.spread is not None:
+        found = spread_ranks(sentence_nodes(sized.spread, text, "_row"), "_row").drop("n")
+        rows = sized.spread.select("_row", key, n).join(found, "_row", "left")
         dense = dense_ranks(F.col("n"), F.col("linked"), F.col("rest"))
-        ranks.append(sized.select(key, dense.alias("ranks")))
+        ranks.append(rows.select(key, dense.alias("ranks")))
 
     every = [
         part.select(key, F.posexplode(bind(F.col("ranks"), "rk", "rk")).alias("node", "rank"))

@@ -274,7 +274,7 @@ def term_frequencies(
         F.col("Topic").alias("topic"), F.explode(tokenize(F.col(text))).alias("term")
     )
     per_topic = terms.groupBy("topic", "term").agg(F.count("*").alias("n"))
-    labelled = per_topic.join(F.broadcast(names), "topic")
+    labelled = per_topic.join(names, "topic")
     per_label = labelled.groupBy(F.col("name").alias("label"), "term").agg(
         F.sum("n").alias("n"), F.min("topic").alias("topic")
     )
@@ -286,7 +286,7 @@ def term_frequencies(
         .select("label")
     )
     ranked = top_n(per_label, [F.desc("n"), "term"], limit, ["label"])
-    return ranked.join(F.broadcast(shown), "label").select("label", "term", "n")
+    return ranked.join(shown, "label").select("label", "term", "n")
 
 
 def topic_report(df: DataFrame, keywords: DataFrame, per_topic: int = 5) -> DataFrame:

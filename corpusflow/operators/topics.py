@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,8 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,11 +32,10 @@ MIN_ARTICLES = 11  # fewer are not clustered
 KEYWORDS_PER_TOPIC = 10
 # ---------------------------------------------------------------------------
 
-RESTARTS = 5
+# Seeded runs of which the best one counts, and how many run side by side.
+RESTARTS = 50
+RUNS_AT_ONCE = 8
 MAX_ITERATIONS = 1000
-# Up to this many rows the exact silhouette compares all rows (40 MB of weights
-# at 1000 features); beyond it the closed form on squared distances is used.
-EXACT_SILHOUETTE_ROWS = 5000
 
 
 # --- clustering ------------------------------------------------------------
@@ -53,17 +54,20 @@ def cluster(
     Labels are numbered by cluster size, largest first, then smallest key, so
     they do not depend on the order in which K-Means found the clusters.
     """
-    best = None
-    for run in range(restarts):
-        model = KMeans(
+    rows = df.select(key, features).persist()  # read in every round of every run
+
+    def fit(run: int):
+        return KMeans(
             k=k,
             seed=seed + run,
             maxIter=MAX_ITERATIONS,
             featuresCol=features,
             predictionCol="_label",
-        ).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+        ).fit(rows)
+
+    with ThreadPoolExecutor(RUNS_AT_ONCE) as pool:
+        best = min(pool.map(fit, range(restarts)), key=lambda model: model.summary.trainingCost)
+    rows.unpersist()
     labels = best.transform(df).select(key, "_label")
     sizes = labels.groupBy("_label").agg(
         F.count("*").alias("n"), F.min(key).alias("first")
@@ -89,7 +93,7 @@ def cluster_centers(
     # At most k * max_features rows leave this aggregation.
     sums = entries.groupBy("topic", "index").agg(F.sum("w").alias("sum"))
     sizes = df.groupBy(F.col(topic).alias("topic")).agg(F.count("*").alias("n"))
-    per_topic = sums.join(F.broadcast(sizes), "topic").select(
+    per_topic = sums.join(sizes, "topic").select(
         "topic", "index", (F.col("sum") / F.col("n")).alias("weight")
     )
     overall = sums.groupBy("index").agg(
@@ -135,58 +139,78 @@ def top_keywords(centers: DataFrame, n: int = KEYWORDS_PER_TOPIC) -> DataFrame:
 def assign_topics(
     df: DataFrame, labels: DataFrame, key: str = "ID", topic: str = "topic"
 ) -> DataFrame:
-    """Add ``Topic`` from ``labels(key, topic)``; both must have as many rows."""
+    """Add ``Topic`` from ``labels(key, topic)``.
+
+    Every article needs exactly one label: a missing or repeated one fails the job, and
+    so do labels without an article.
+    """
     rows, labelled = df.count(), labels.count()
     if rows != labelled:
         raise ValueError(f"{labelled} labels for {rows} articles")
-    named = labels.select(key, F.col(topic).cast("int").alias("Topic"))
-    return df.drop("Topic").join(named, key)
+    named = labels.groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("_labels"), F.first(topic).cast("int").alias("_topic")
+    )
+    base = df.drop("Topic")
+    joined = base.join(named, base[key].eqNullSafe(named["_key"]), "left")
+    single = F.when(F.col("_labels") == 1, F.col("_topic")).otherwise(
+        F.raise_error(F.concat(F.lit("not one label for article "), F.col(key).cast("string")))
+    )
+    return joined.select(*(base[c] for c in base.columns), single.alias("Topic"))
 
 
 # --- cluster quality -------------------------------------------------------
 
 
+def _cluster_sums(df: DataFrame, features: str, topic: str) -> list[Row]:
+    """Per label: rows, the sum of its vectors and of their squared lengths.
+
+    One row per label leaves this aggregation, which combines before the shuffle.
+    """
+    metrics = Summarizer.metrics("count", "sum", "normL2").summary(F.col(features))
+    sums = df.groupBy(F.col(topic).alias("topic")).agg(metrics.alias("m"))
+    return sums.select("topic", "m.*").orderBy("topic").collect()
+
+
 def silhouette_samples(
     df: DataFrame, features: str = "features", topic: str = "topic", key: str = "ID"
 ) -> DataFrame:
-    """``(key, silhouette)`` by Euclidean distance to all rows.
+    """``(key, silhouette)`` of labelled ML vectors, on squared Euclidean distances.
 
-    Needs every distance, so it takes at most ``EXACT_SILHOUETTE_ROWS`` rows; the
-    rows are broadcast and each task measures its share against them.
+    The mean squared distance to a cluster follows from the number, the sum and the
+    squared lengths of its vectors, so a row meets one entry per label only.
     """
-    rows = df.count()
-    if rows > EXACT_SILHOUETTE_ROWS:
-        raise ValueError(
-            f"{rows} rows; the exact silhouette takes {EXACT_SILHOUETTE_ROWS}"
-        )
-    table = df.select(key, features, F.col(topic).alias("topic"))
-    pdf = table.select(features, "topic").toPandas()
-    points = np.array(pdf[features].tolist(), dtype=float).reshape(len(pdf), -1)
-    names, member = np.unique(pdf["topic"].to_numpy(), return_inverse=True)
+    sums = _cluster_sums(df, features, topic)
     shared = df.sparkSession.sparkContext.broadcast(
-        (points, names, np.eye(len(names))[member])
+        (
+            np.array([r["topic"] for r in sums]),
+            np.array([r["count"] for r in sums], dtype=float),
+            np.array([r["sum"].toArray() for r in sums]),
+            np.array([(r["normL2"].toArray() ** 2).sum() for r in sums]),
+        )
     )
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everyone, labels, membership = shared.value
-        sizes = membership.sum(axis=0)
-        square = (everyone**2).sum(axis=1)
+        labels, sizes, totals, squares = shared.value
         for batch in batches:
             if batch.empty:
                 continue
-            own = np.array(batch[features].tolist(), dtype=float)
-            gaps = (own**2).sum(axis=1)[:, None] + square - 2 * own @ everyone.T
-            sums = np.sqrt(np.maximum(gaps, 0.0)) @ membership
+            own = np.array(batch["vector"].tolist(), dtype=float).reshape(len(batch), -1)
+            length = (own**2).sum(axis=1)[:, None]
+            gaps = np.maximum(length * sizes + squares - 2 * own @ totals.T, 0.0)
             mine = np.searchsorted(labels, batch["topic"].to_numpy())
             row = np.arange(len(batch))
-            inside = sums[row, mine] / np.maximum(sizes[mine] - 1, 1)
-            means = sums / sizes
+            inside = gaps[row, mine] / np.maximum(sizes[mine] - 1, 1)
+            means = gaps / sizes
             means[row, mine] = np.inf
             nearest = means.min(axis=1)
             widest = np.maximum(np.maximum(inside, nearest), 1e-300)
-            score = np.where(sizes[mine] > 1, (nearest - inside) / widest, 0.0)
+            alone = (sizes[mine] == 1) | (len(labels) == 1)
+            score = np.where(alone, 0.0, (nearest - inside) / widest)
             yield pd.DataFrame({key: batch[key], "silhouette": score})
 
+    table = df.select(
+        key, vector_to_array(features).alias("vector"), F.col(topic).alias("topic")
+    )
     key_type = table.schema[key].dataType.simpleString()
     return table.mapInPandas(measure, f"{key} {key_type}, silhouette double")
 
@@ -194,13 +218,9 @@ def silhouette_samples(
 def silhouette(
     df: DataFrame, features: str = "features", topic: str = "topic", key: str = "ID"
 ) -> float:
-    """Mean silhouette of labelled ML vectors; 0.0 with fewer than two labels."""
+    """Mean of ``silhouette_samples``; 0.0 with fewer than two labels."""
     if df.select(topic).distinct().limit(2).count() < 2:
         return 0.0
-    if df.count() <= EXACT_SILHOUETTE_ROWS:
-        arrays = df.withColumn(features, vector_to_array(features))
-        samples = silhouette_samples(arrays, features, topic, key)
-        return float(samples.agg(F.avg("silhouette")).first()[0])
     evaluator = ClusteringEvaluator(
         featuresCol=features, predictionCol=topic, distanceMeasure="squaredEuclidean"
     )
@@ -322,7 +342,7 @@ def topic_metadata(
 def reprocess_topics(
     df: DataFrame,
     k_values: Sequence[int] = K_FOR_UPDATE,
-    phase: str = "Database Update with Topic Reprocessing",
+    phase: str = "store update",
     key: str = "ID",
 ) -> tuple[DataFrame, DataFrame] | None:
     """Articles with new topics, and the run's metadata; None for few articles."""

@@ -30,8 +30,13 @@ def top_n(
 
 
 def dedup_by_title(df: DataFrame, title: str = "Title", key: str = "ID") -> DataFrame:
-    """The first row (smallest key) of each exact title; null is one title."""
-    return top_n(df, [key], 1, [title])
+    """The first row (smallest key) of each exact title; null is one title.
+
+    Only keys and titles are compared; the rows themselves meet the chosen keys.
+    """
+    first = df.groupBy(F.col(title).alias("_title")).agg(F.min(key).alias("_first"))
+    same = F.col(title).eqNullSafe(F.col("_title")) & F.col(key).eqNullSafe(F.col("_first"))
+    return df.join(first, same, "left_semi")
 
 
 def assign_ids(
@@ -68,7 +73,7 @@ def assign_ids(
             key, *fixed.columns
         )
     table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
-    numbered = marked.join(F.broadcast(table), "_part")
+    numbered = marked.join(table, "_part")
     return numbered.select(
         (F.col("_offset") + F.col("_row") + 1).alias(key), *fixed.columns
     )

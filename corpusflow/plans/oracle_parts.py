@@ -25,7 +25,7 @@ GENERIC = quoted(GENERIC_KEYWORDS)
 
 ARTICLES = """articles AS (
   SELECT doc_id AS "ID",
-         left(split_part(text, chr(10), 1), 60) AS "Title",
+         split_part(text, chr(10), 1) AS "Title",
          'https://example.com/' || doc_id AS "Url",
          source AS "Section",
          strftime(TIMESTAMP '2024-01-01 00:00:00'

@@ -140,11 +140,20 @@ def filter_combo(spark, sf_dir):
     group = names.agg(F.max("name")).first()[0]
     found = search.search_articles(frame, "ing")
     found = search.filter_topic_group(found, names, group)
-    found = search.filter_section(found, "src1")
+    found = search.filter_section(found, group)  # the topics are named by sections
     found = search.filter_min_words(clean.clean_articles(found), 100)
     return found.select("ID", "Title", "Topic", "word_count")
 
 
+def filter_section(spark, sf_dir):
+    return search.filter_section(articles(spark, sf_dir), "src1").select("ID", "Section")
+
+
+def filter_min_words(spark, sf_dir):
+    counted = clean.clean_articles(spread_articles(spark, sf_dir))
+    return search.filter_min_words(counted, 300).select("ID", "word_count")
+
+
 def filter_topic_group(spark, sf_dir):
     frame = topic_queries.labelled(spark, sf_dir)
     names = stats.topic_names(frame, topic_queries.TOPICS)
@@ -238,12 +247,17 @@ def batch_stats(spark, sf_dir):
 
 
 def update_store(spark, sf_dir):
-    """A store of the documents, updated with the web pages."""
+    """A store of the documents, updated with the web pages; topics over all of it."""
     path = scratch_path(spark, "store")
-    update.update_store(spark, spread_articles(spark, sf_dir), path, False)
-    update.update_store(spark, _from_pages(spark, sf_dir), path, False)
+    k = topics.K_FOR_UPDATE
+    for new, found in ((spread_articles(spark, sf_dir), False), (_from_pages(spark, sf_dir), True)):
+        text = T.processed_text(T.clean_text(F.col("Content")))
+        new = new.withColumn("processed_text", text)
+        update.update_store(spark, new, path, reprocess_topics=found, k_values=k)
     stored = store.read_store(spark, path)
-    return stored.select("ID", "Title", "summary", "summary_length")
+    return stored.select(
+        "ID", "Title", "summary", "summary_length", F.col("Topic").between(0, max(k) - 1).alias("labelled")
+    )
 
 
 def refresh_summaries(spark, sf_dir):
@@ -378,8 +392,13 @@ SQL = {
                  FROM labelled
                  WHERE (regexp_matches("Title", 'ing', 'i')
                         OR regexp_matches("Content", 'ing', 'i'))
-                   AND "Section" = 'src1' AND {_GROUP})
+                   AND "Section" = (SELECT max(name) FROM names) AND {_GROUP})
         SELECT * FROM hits WHERE word_count >= 100""",
+    "filter_section": """SELECT doc_id AS "ID", source AS "Section" FROM documents
+        WHERE source = 'src1'""",
+    "filter_min_words": f"""WITH {O.ARTICLES},
+        counted AS (SELECT "ID", {O.words(O.clean('"Content"'))} AS word_count FROM articles)
+        SELECT * FROM counted WHERE word_count >= 300""",
     "filter_topic_group": f"""WITH {_NAMES}
         SELECT "ID", "Topic" FROM labelled WHERE {_GROUP}""",
     "preview": f"""WITH {_LABELLED}
@@ -434,9 +453,25 @@ SQL = {
                round(avg(compression_ratio), 6) AS avg_compression,
                (SELECT count(*) FROM pages) AS articles_added FROM summaries""",
     "update_store": f"""WITH RECURSIVE {_MERGED}, {O.summaries('merged')}
-        SELECT "ID", "Title", summary, summary_length
+        SELECT "ID", "Title", summary, summary_length, true AS labelled
         FROM merged JOIN summaries USING ("ID")""",
     "refresh_summaries": _FILL,
+    "chart_tables": f"""WITH {topic_queries._KEYWORDS_AND_NAMES},
+        counts AS (SELECT name AS label, term, sum(tf) AS n, min(topic) AS topic
+                   FROM tf JOIN names USING (topic) GROUP BY ALL),
+        shown AS (SELECT label FROM counts GROUP BY label ORDER BY min(topic) LIMIT 6),
+        words AS (SELECT label, least(50, count(*)) AS n FROM counts
+                  WHERE label IN (SELECT label FROM shown) GROUP BY label)
+        SELECT 'topic_distribution' AS chart, (SELECT count(*) FROM size) AS rows
+        UNION ALL SELECT 'topic_scatter', (SELECT count(*) FROM documents)
+        UNION ALL SELECT 'scatter_variance', 1
+        UNION ALL SELECT 'top_keywords', (SELECT count(*) FROM keywords)
+        UNION ALL SELECT 'wordclouds', (SELECT count(*) FROM keywords)
+        UNION ALL SELECT 'keywords_heatmap',
+          {topic_queries.TOPICS} * (SELECT count(DISTINCT term) FROM keywords)
+        UNION ALL SELECT 'term_frequencies', (SELECT sum(n) FROM words)
+        UNION ALL SELECT 'topic_summary', (SELECT count(*) FROM size)
+        UNION ALL SELECT 'sections', (SELECT count(DISTINCT source) FROM documents)""",
     "snapshot": f"WITH {O.ARTICLES} SELECT {_ALL} FROM articles",
     "stream_articles": f"""WITH RECURSIVE {O.ARTICLES},
         flat AS (SELECT "ID", "Title", "Url", coalesce("Author", 'Unknown') AS "Author",
@@ -459,6 +494,8 @@ QUERIES = {
         search_articles,
         filter_articles,
         filter_combo,
+        filter_section,
+        filter_min_words,
         filter_topic_group,
         preview,
         article_cards,

@@ -133,6 +133,41 @@ def pagerank_by_doc(spark, sf_dir):
     return ranks.withColumn("rank", F.round("rank", DIGITS))
 
 
+#: Limits that make the given documents long: none is ranked in its row, or the longest
+#: ones are ranked by rounds of joins.
+JOINED = graph.Limits(row_local=8)
+SPREAD = graph.Limits(row_local=40, row_ranked=80)
+
+
+def edges_joined(spark, sf_dir):
+    edges = graph.sentence_edges(spread_articles(spark, sf_dir), limits=JOINED)
+    return edges.withColumn("weight", F.round("weight", DIGITS))
+
+
+def pagerank_joined(spark, sf_dir):
+    ranks = graph.pagerank_by_doc(spread_articles(spark, sf_dir), limits=JOINED)
+    return ranks.withColumn("rank", F.round("rank", DIGITS))
+
+
+def pagerank_spread(spark, sf_dir):
+    ranks = graph.pagerank_by_doc(spread_articles(spark, sf_dir), limits=SPREAD)
+    return ranks.withColumn("rank", F.round("rank", DIGITS))
+
+
+def _summaries(spark, sf_dir, limits):
+    found = summarize.summarize_articles(spread_articles(spark, sf_dir), limits=limits)
+    ratio = F.round("compression_ratio", DIGITS).alias("compression_ratio")
+    return found.select("ID", "summary", "summary_length", ratio)
+
+
+def summaries_joined(spark, sf_dir):
+    return _summaries(spark, sf_dir, JOINED)
+
+
+def summaries_spread(spark, sf_dir):
+    return _summaries(spark, sf_dir, SPREAD)
+
+
 def textrank_summaries(spark, sf_dir):
     return summarize.textrank_summaries(spread_articles(spark, sf_dir)).select(
         "ID", "summary"
@@ -140,12 +175,7 @@ def textrank_summaries(spark, sf_dir):
 
 
 def summarize_articles(spark, sf_dir):
-    return summarize.summarize_articles(spread_articles(spark, sf_dir)).select(
-        "ID",
-        "summary",
-        "summary_length",
-        F.round("compression_ratio", DIGITS).alias("compression_ratio"),
-    )
+    return _summaries(spark, sf_dir, graph.LIMITS)
 
 
 def summary_stats(spark, sf_dir):
@@ -264,6 +294,10 @@ SQL = {
         FROM nlp""",
 }
 
+SQL["edges_joined"] = SQL["sentence_edges"]
+SQL["pagerank_joined"] = SQL["pagerank_spread"] = SQL["pagerank_by_doc"]
+SQL["summaries_joined"] = SQL["summaries_spread"] = SQL["summarize_articles"]
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -281,9 +315,14 @@ QUERIES = {
         sentence_quality,
         sentence_similarity,
         sentence_edges,
+        edges_joined,
         pagerank_by_doc,
+        pagerank_joined,
+        pagerank_spread,
         textrank_summaries,
         summarize_articles,
+        summaries_joined,
+        summaries_spread,
         summary_stats,
         text_stats,
         nlp_stats,

@@ -87,13 +87,17 @@ def assign_topics(spark, sf_dir):
     return topics.assign_topics(frame, labels).select("ID", "Title", "Topic")
 
 
-def silhouette_exact(spark, sf_dir):
-    frame = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("features"), "label"
-    )
-    return _rounded(
-        topics.silhouette_samples(frame, "features", "label", "vec_id")
-    )
+def silhouette(spark, sf_dir):
+    """Of the embeddings, with their labels as clusters."""
+    vector = X.array_to_vector(F.col("embedding").cast("array<double>"))
+    frame = table(spark, sf_dir, "embeddings").select("vec_id", vector.alias("features"), "label")
+    return _rounded(topics.silhouette_samples(frame, "features", "label", "vec_id"))
+
+
+def tfidf_silhouette(spark, sf_dir):
+    frame = processed(spark, sf_dir)
+    vectors = X.tfidf_vectors(frame, X.fit_vocabulary(frame))
+    return _rounded(topics.silhouette_samples(vectors, "features", "Topic"))
 
 
 def topic_distribution(spark, sf_dir):
@@ -217,6 +221,68 @@ def embedding_clusters(spark, sf_dir):
     return labels.join(frame.select("vec_id", "label"), "vec_id")
 
 
+def _two_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vector of two figures of each document."""
+    pair = F.array(F.length("text") / 1000.0, F.col("doc_id") % 100 / 10.0)
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("ID"), X.array_to_vector(pair).alias("features")
+    )
+
+
+def pca_squares(spark, sf_dir):
+    """Squared coordinates on the main axes, whose signs are open."""
+    points, _ = X.pca_projection_2d(_two_numbers(spark, sf_dir))
+    return points.select(
+        "ID", F.round(F.col("x") ** 2, 4).alias("x2"), F.round(F.col("y") ** 2, 4).alias("y2")
+    )
+
+
+def pca_variance(spark, sf_dir):
+    _, variance = X.pca_projection_2d(_two_numbers(spark, sf_dir))
+    return _rounded(variance)
+
+
+def pca_components(spark, sf_dir):
+    """Squared lengths before and after a reduction to as many dimensions."""
+    reduced = X.pca(_two_numbers(spark, sf_dir), 1000, 2)
+    squares = [
+        F.aggregate(X.vector_to_array(c), F.lit(0.0), lambda a, x: a + x * x)
+        for c in ("features", "components")
+    ]
+    return reduced.select(
+        "ID", F.round(squares[0], 4).alias("before"), F.round(squares[1], 4).alias("after")
+    )
+
+
+def _separated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as points far apart by language, with a small offset each."""
+    languages = [r["lang"] for r in _languages(spark, sf_dir).orderBy("lang").collect()]
+    hot = [F.when(F.col("lang") == name, 100.0).otherwise(0.0) for name in languages]
+    offset = F.col("doc_id") % 7 / 100.0
+    vector = X.array_to_vector(F.array(*hot, offset))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+        F.col("doc_id").alias("ID"), vector.alias("components"), vector.alias("features")
+    )
+
+
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("lang").distinct()
+
+
+def separated_topics(spark, sf_dir):
+    """K-Means where the clusters are known: the languages, by size."""
+    k = _languages(spark, sf_dir).count()
+    return topics.cluster(_separated(spark, sf_dir), k)
+
+
+def best_k(spark, sf_dir):
+    """The chosen number of clusters where it is known."""
+    count = _languages(spark, sf_dir).count()
+    k_values = tuple(range(2, count + 2))
+    _, scores = topics.select_k(_separated(spark, sf_dir), k_values, restarts=10)
+    return spark.createDataFrame([(k_values[topics.choose(k_values, scores)],)], "best_k int")
+
+
 _PROCESSED = O.joined(O.processed_list(O.clean('"Content"')))
 
 _TFIDF = f"""{O.ARTICLES},
@@ -307,21 +373,45 @@ SQL = {
     "top_keywords": f"""WITH {_KEYWORDS}
         SELECT topic, rank, term, round(weight, 6) AS weight FROM keywords""",
     "assign_topics": f"""WITH {_LABELLED} SELECT "ID", "Title", "Topic" FROM labelled""",
-    "silhouette_exact": """WITH pairs AS (
-          SELECT a.vec_id AS vec_id, a.label AS own, b.label AS other,
-                 a.vec_id = b.vec_id AS self,
-                 list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
-          FROM embeddings a CROSS JOIN embeddings b),
-        means AS (
-          SELECT vec_id, own, other, sum(d) FILTER (NOT self) AS s,
-                 count(*) FILTER (NOT self) AS n FROM pairs GROUP BY ALL),
+    "silhouette": """WITH flat AS (
+          SELECT vec_id, label, unnest(embedding)::DOUBLE AS x,
+                 generate_subscripts(embedding, 1) AS i FROM embeddings),
+        sums AS (SELECT label, i, sum(x) AS s FROM flat GROUP BY ALL),
+        own AS (SELECT vec_id, label, sum(x * x) AS q FROM flat GROUP BY ALL),
+        sizes AS (SELECT label, count(*) AS n, sum(q) AS q FROM own GROUP BY label),
+        dots AS (
+          SELECT vec_id, sums.label AS other, sum(x * s) AS d
+          FROM flat JOIN sums USING (i) GROUP BY ALL),
+        gaps AS (
+          SELECT vec_id, own.label AS label, other, n,
+                 greatest(own.q * n + sizes.q - 2 * d, 0) AS g
+          FROM dots JOIN own USING (vec_id) JOIN sizes ON sizes.label = other),
         ab AS (
-          SELECT vec_id, max(CASE WHEN own = other AND n > 0 THEN s / n END) AS a,
-                 min(CASE WHEN own <> other THEN s / n END) AS b
-          FROM means GROUP BY vec_id)
-        SELECT vec_id, round(CASE WHEN a IS NULL THEN 0
+          SELECT vec_id, max(CASE WHEN label = other AND n > 1 THEN g / (n - 1) END) AS a,
+                 min(CASE WHEN label <> other THEN g / n END) AS b
+          FROM gaps GROUP BY vec_id)
+        SELECT vec_id, round(CASE WHEN a IS NULL OR b IS NULL THEN 0
                              ELSE (b - a) / greatest(a, b) END, 6) AS silhouette
         FROM ab""",
+    "tfidf_silhouette": f"""WITH {_TFIDF},
+        sums AS (SELECT topic, term, sum(weight) AS s FROM tfidf GROUP BY ALL),
+        own AS (
+          SELECT proc."ID" AS "ID", proc.topic AS topic, coalesce(sum(weight * weight), 0) AS q
+          FROM proc LEFT JOIN tfidf USING ("ID") GROUP BY ALL),
+        sizes AS (SELECT topic AS other, count(*) AS n, sum(q) AS qs FROM own GROUP BY topic),
+        dots AS (
+          SELECT "ID", sums.topic AS other, sum(weight * s) AS d
+          FROM tfidf JOIN sums USING (term) GROUP BY ALL),
+        gaps AS (
+          SELECT "ID", topic, other, n, greatest(q * n + qs - 2 * coalesce(d, 0), 0) AS g
+          FROM own CROSS JOIN sizes LEFT JOIN dots USING ("ID", other)),
+        ab AS (
+          SELECT "ID", max(CASE WHEN topic = other AND n > 1 THEN g / (n - 1) END) AS a,
+                 min(CASE WHEN topic <> other THEN g / n END) AS b
+          FROM gaps GROUP BY "ID")
+        SELECT "ID", round(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0
+                           ELSE (b - a) / greatest(a, b) END, 6) AS silhouette
+        FROM ab""",
     "topic_distribution": f"""WITH {_LABELLED}
         SELECT "Topic", count(*) AS articles,
                round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents), 6)
@@ -395,6 +485,34 @@ SQL = {
         FROM labelled""",
 }
 
+_NUMBERS = """numbers AS (
+          SELECT doc_id AS "ID", length(text) / 1000.0::DOUBLE AS p,
+                 doc_id % 100 / 10.0::DOUBLE AS q FROM documents),
+        spread AS (
+          SELECT avg(p) AS mp, avg(q) AS mq, var_samp(p) AS a, var_samp(q) AS c,
+                 covar_samp(p, q) AS b FROM numbers),
+        axes AS (
+          SELECT *, 0.5::DOUBLE * atan2(2 * b, a - c) AS t,
+                 sqrt(((a - c) / 2) ** 2 + b ** 2) AS r FROM spread)"""
+SQL |= {
+    "pca_squares": f"""WITH {_NUMBERS}
+        SELECT "ID", round(((p - mp) * cos(t) + (q - mq) * sin(t)) ** 2, 4) AS x2,
+               round(((q - mq) * cos(t) - (p - mp) * sin(t)) ** 2, 4) AS y2
+        FROM numbers, axes""",
+    "pca_variance": f"""WITH {_NUMBERS}
+        SELECT round(((a + c) / 2 + r) / (a + c), 6) AS pc1,
+               round(((a + c) / 2 - r) / (a + c), 6) AS pc2, 1.0::DOUBLE AS total
+        FROM axes""",
+    "pca_components": f"""WITH {_NUMBERS}
+        SELECT "ID", round(p * p + q * q, 4) AS before, round(p * p + q * q, 4) AS after
+        FROM numbers""",
+    "separated_topics": """WITH sizes AS (
+          SELECT lang, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS topic
+          FROM documents GROUP BY lang)
+        SELECT doc_id AS "ID", topic FROM documents JOIN sizes USING (lang)""",
+    "best_k": "SELECT count(DISTINCT lang) AS best_k FROM documents",
+}
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -405,7 +523,8 @@ QUERIES = {
         cluster_centers,
         top_keywords,
         assign_topics,
-        silhouette_exact,
+        silhouette,
+        tfidf_silhouette,
         topic_distribution,
         section_distribution,
         top_sections_per_topic,
@@ -428,5 +547,10 @@ QUERIES = {
         topic_metadata,
         pca_2d,
         embedding_clusters,
+        pca_squares,
+        pca_variance,
+        pca_components,
+        separated_topics,
+        best_k,
     )
 }

@@ -13,7 +13,7 @@ from corpusflow.operators import features as X
 from corpusflow.sources import exports, store
 from corpusflow.sources.scratch import cut_lineage
 
-REGENERATED = "Phase 5 - Improved Topic Modeling"
+REGENERATED = "topics found anew"
 
 
 def process_batch(df: DataFrame) -> DataFrame:
@@ -86,26 +86,20 @@ def regenerate_topics(
 def refresh_summaries(spark: SparkSession, path: str) -> bool:
     """Summarize stored articles that lack a summary; False without a store.
 
-    Only the batches with such articles are written again.
+    Only the batches with such articles are written again, all in one job.
     """
     if not store.store_exists(spark, path):
         return False
     rows = store.read_batches(spark, path)
     if "summary" not in rows.columns:
         rows = rows.withColumn("summary", F.lit(None).cast("string"))
-    # One row per appended batch, not per article.
-    open_batches = [
-        row[store.BATCH]
-        for row in rows.filter(is_blank(F.col("summary")))
-        .select(store.BATCH)
-        .distinct()
-        .collect()
-    ]
-    for label in open_batches:
-        batch = rows.filter(F.col(store.BATCH) == label).drop(store.BATCH)
-        # The files are replaced, so the new rows must not depend on them.
-        filled = cut_lineage(summarize.fill_missing_summaries(batch))
-        store.write_batch(filled, path, label)
+    open_batches = rows.filter(is_blank(F.col("summary"))).select(store.BATCH).distinct()
+    open_batches = cut_lineage(open_batches)  # one row per appended batch
+    if open_batches.isEmpty():
+        return True
+    closed = rows.join(open_batches, store.BATCH, "left_semi")
+    # The files are replaced, so the new rows must not depend on them.
+    store.write_batches(cut_lineage(summarize.fill_missing_summaries(closed)), path)
     return True
 
 

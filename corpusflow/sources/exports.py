@@ -20,9 +20,6 @@ _CSV = {
     "ignoreTrailingWhiteSpace": False,
 }
 
-# A statistics file holds one entry per section and topic in a single document.
-MAX_JSON_ENTRIES = 10_000
-
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write articles as CSV; token arrays become JSON text."""
@@ -88,29 +85,21 @@ def metadata_keywords(metadata: DataFrame) -> DataFrame:
     )
 
 
-def _counts_map(df: DataFrame, column: str):
-    counts = stats.value_counts(df, column).withColumnRenamed(column, "name")
-    if counts.limit(MAX_JSON_ENTRIES + 1).count() > MAX_JSON_ENTRIES:
-        raise ValueError(
-            f"more than {MAX_JSON_ENTRIES} values of {column}; "
-            "use stats.store_counts for a table"
-        )
-    return {str(row["name"]): row["articles"] for row in counts.collect()}
+def _counts_map(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row: the articles of each value as a map, built on an executor."""
+    counts = stats.value_counts(df, column).select(
+        F.struct(F.coalesce(F.col(column).cast("string"), F.lit("None")), "articles").alias("entry")
+    )
+    entries = F.map_from_entries(F.collect_list("entry"))
+    return counts.agg(F.coalesce(entries, F.create_map()).cast("map<string,bigint>").alias(name))
 
 
 def summary_statistics(df: DataFrame, best_k: int, score: float) -> DataFrame:
     """One row: the figures of ``stats.overview`` and counts per section and topic."""
-
-    def as_map(counts: dict[str, int]):
-        entries = [F.lit(part) for pair in counts.items() for part in pair]
-        return F.create_map(*entries).cast("map<string,bigint>")
-
-    return stats.overview(df, best_k, score).withColumns(
-        {
-            "sections": as_map(_counts_map(df, "Section")),
-            "topic_distribution": as_map(_counts_map(df, "Topic")),
-        }
-    )
+    # Three frames of one row each.
+    sections = _counts_map(df, "Section", "sections")
+    topics = _counts_map(df, "Topic", "topic_distribution")
+    return stats.overview(df, best_k, score).join(sections).join(topics)
 
 
 def export_stats_json(

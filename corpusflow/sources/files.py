@@ -22,3 +22,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(hadoop_path):
         return []
     return sorted(status.getPath().getName() for status in system.listStatus(hadoop_path))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    system, hadoop_path = _resolve(spark, path)
+    system.create(hadoop_path, True).close()

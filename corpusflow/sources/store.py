@@ -3,12 +3,12 @@
 ``articles/batch=<label>/``  the article rows, one partition per appended batch
 ``topics/run=<label>/``      ``(ID, Topic)`` of one topic run
 ``metadata/run=<label>/``    that run's parameters and keywords, written last
-``columns/batch=<label>/``   schemas, as JSON text
+``records/batch=<label>/``   the batch's schema and largest ID, written last
 
 An update writes a new batch and leaves earlier ones alone; a topic run writes
 one narrow table instead of every article again.  A batch is written by
-partition overwrite, so repeating it after a failure replaces it.  One writer at
-a time.
+partition overwrite, so repeating it after a failure replaces it.  A batch without a
+finished record is not read.  One writer at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from corpusflow.operators.windows import assign_ids
 from corpusflow.sources import exports, files
 
 BATCH = "batch"
+DONE = "_DONE"  # in the folder of a finished record
 
 
 def new_label() -> str:
@@ -43,25 +44,43 @@ def _finished_runs(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
+def _finished_batches(spark: SparkSession, path: str) -> list[str]:
+    """Labels of the batches that were written completely."""
+    names = files.child_names(spark, f"{path}/records")
+    return [
+        name.removeprefix(f"{BATCH}=")
+        for name in names
+        if files.exists(spark, f"{path}/records/{name}/{DONE}")
+    ]
+
+
 def store_exists(spark: SparkSession, path: str) -> bool:
-    return files.exists(spark, f"{path}/columns")
+    return bool(_finished_batches(spark, path))
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """``(columns, largest, batch)``: one narrow row per finished batch."""
+    read = spark.read.schema(f"columns string, largest bigint, {BATCH} string")
+    paths = [f"{path}/records/{BATCH}={label}" for label in _finished_batches(spark, path)]
+    return read.option("basePath", f"{path}/records").json(paths)
 
 
 def _read_schema(spark: SparkSession, path: str) -> StructType:
     """All columns of all batches, in order of first appearance."""
     fields: dict[str, StructField] = {}
     # One row per distinct schema, however many batches there are.
-    schemas = spark.read.text(f"{path}/columns").groupBy("value")
+    schemas = _records(spark, path).groupBy("columns")
     for row in schemas.agg(F.min(BATCH).alias("first")).orderBy("first").collect():
-        for field in StructType.fromJson(json.loads(row["value"])).fields:
+        for field in StructType.fromJson(json.loads(row["columns"])).fields:
             fields.setdefault(field.name, field)
     return StructType(list(fields.values()))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Article rows with their ``batch``; columns a batch lacks are null."""
+    """Article rows of finished batches with their ``batch``; columns a batch lacks are null."""
     columns = _read_schema(spark, path).add(BATCH, StringType())
-    return spark.read.schema(columns).parquet(f"{path}/articles")
+    rows = spark.read.schema(columns).parquet(f"{path}/articles")
+    return rows.filter(F.col(BATCH).isin(_finished_batches(spark, path)))
 
 
 def latest_run(spark: SparkSession, path: str) -> str | None:
@@ -86,22 +105,40 @@ def read_run_metadata(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def largest_id(spark: SparkSession, path: str, but: str | None = None) -> int:
-    """Largest ID in the store, leaving out batch ``but``; 0 when empty."""
-    rows = read_batches(spark, path)
+    """Largest ID in the store, leaving out batch ``but``; 0 when empty.
+
+    Taken from the records, not from the articles.
+    """
+    records = _records(spark, path)
     if but is not None:
-        rows = rows.filter(F.col(BATCH) != but)
-    return rows.agg(F.max("ID")).first()[0] or 0
+        records = records.filter(F.col(BATCH) != but)
+    return records.agg(F.max("largest")).first()[0] or 0
 
 
 def write_batch(df: DataFrame, path: str, label: str) -> None:
     """Write (or replace) one batch."""
+    write_batches(df.withColumn(BATCH, F.lit(label)), path)
+
+
+def write_batches(df: DataFrame, path: str) -> None:
+    """Write (or replace) all batches that ``df`` has rows of, in one job each for the
+    articles and the records."""
     spark = df.sparkSession
-    rows = df.withColumn(BATCH, F.lit(label))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        BATCH
-    ).parquet(f"{path}/articles")
-    columns = spark.createDataFrame([(df.schema.json(),)], "value string")
-    columns.coalesce(1).write.mode("overwrite").text(f"{path}/columns/{BATCH}={label}")
+    overwrite = {"mode": "overwrite", "partitionOverwriteMode": "dynamic"}
+    df.write.partitionBy(BATCH).options(**overwrite).mode("overwrite").parquet(f"{path}/articles")
+    columns = df.drop(BATCH).schema
+    # only the IDs of what was just written are read
+    written = spark.read.schema(StructType([*columns.fields, StructField(BATCH, StringType())]))
+    labels = [r[BATCH] for r in df.select(BATCH).distinct().collect()]
+    rows = written.option("basePath", f"{path}/articles").parquet(
+        *(f"{path}/articles/{BATCH}={label}" for label in labels)
+    )
+    identity = F.max("ID").cast("bigint") if "ID" in columns.names else F.lit(0).cast("bigint")
+    records = rows.groupBy(BATCH).agg(identity.alias("largest"))
+    records = records.withColumn("columns", F.lit(columns.json()))
+    records.write.partitionBy(BATCH).options(**overwrite).mode("overwrite").json(f"{path}/records")
+    for label in labels:
+        files.touch(spark, f"{path}/records/{BATCH}={label}/{DONE}")
 
 
 def number_new(df: DataFrame, start: int) -> DataFrame:

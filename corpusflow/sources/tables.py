@@ -28,7 +28,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table with the columns of an article."""
     hour = F.expr(f"make_dt_interval(0, cast(pmod(doc_id, {HOURS_PER_YEAR}) as int))")
     start = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
-    title = F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(60))
+    title = F.split_part("text", F.lit("\n"), F.lit(1))
     author = F.when(F.col("doc_id") % 7 != 0, F.concat(F.upper("lang"), F.lit(" desk")))
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ID"),

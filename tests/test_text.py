@@ -16,27 +16,13 @@ def test_word_list_sizes():
     )
 
 
-@pytest.mark.parametrize(
-    ("verb", "past"),
-    [("use", "used"), ("try", "tried"), ("stay", "stayed"), ("stop", "stopped")],
-)
-def test_past_tense(verb, past):
-    assert words.past_tense(verb) == past
-
-
 @pytest.mark.parametrize(
     ("raw", "expected"),
     [
-        (
-            "<div>This is <b>bold</b> text with <p>paragraphs</p></div>",
-            "this is bold text with paragraphs",
-        ),
-        (
-            "Hello @world! #hashtag $money %percent &symbol",
-            "hello world hashtag money percent symbol",
-        ),
-        ("Multiple    spaces\tand\nnewlines", "multiple spaces and newlines"),
-        ("This is article 2 content!!!", "this is article 2 content"),
+        ("<ul><li>Rain</li> <li>falls <i>hard</i></li></ul>", "rain falls hard"),
+        ("Pay 5% + $3 @ Jo's #1 shop?", "pay 5 3 jo s 1 shop"),
+        ("one\t two\r\n\n three", "one two three"),
+        ("Nine of 10 doors...", "nine of 10 doors"),
         ("snake_case Élan, çà là", "snake_case élan çà là"),
         ("", ""),
         ("   ", ""),
@@ -53,7 +39,7 @@ def test_strip_html_inserts_nothing(value):
 
 
 def test_tokens(value):
-    text = "scientists have discovered a new breakthrough"
+    text = "farmers near the river plant an early crop"
     assert value(lambda c: T.tokenize(F.col(c)), text) == text.split()
     assert value(lambda c: T.tokenize(F.col(c)), "It's A_1, ok") == ["it", "s", "a_1", "ok"]
     assert value(lambda c: T.tokenize(F.col(c)), None) == []
@@ -63,16 +49,16 @@ def test_tokens(value):
 def test_stop_words_keep_order_and_repeats(value):
     kept = value(
         lambda c: T.remove_stop_words(T.tokenize(F.col(c))),
-        "the scientists have discovered a new new breakthrough",
+        "the farmers have planted a crop crop near it",
     )
-    assert kept == ["scientists", "discovered", "new", "new", "breakthrough"]
+    assert kept == ["farmers", "planted", "crop", "crop", "near"]
 
 
 STEMS = {
     "running": "runn",
     "better": "bett",
     "discovered": "discover",
-    "breakthroughs": "breakthrough",
+    "harvests": "harvest",
     "king": "king",
     "seeing": "see",
     "going": "going",
@@ -103,10 +89,10 @@ def test_stem_rules(value):
 
 
 def test_processed_text(value):
-    text = "The scientists have discovered running breakthroughs."
+    text = "The farmers have planted growing crops."
     assert (
         value(lambda c: T.processed_text(F.col(c)), text)
-        == "scientist discover runn breakthrough"
+        == "farm plant grow crop"
     )
     assert value(lambda c: T.processed_text(F.col(c)), "the and of") == ""
 

@@ -113,12 +113,11 @@ def centers(spark, weights, words, topic=0):
 
 
 def test_keyword_order_and_filter(spark):
-    words = ["cat", "dog", "bird", "fish"]
-    rows = centers(spark, [0.1, 0.8, 0.3, 0.2], words)
-    rows += centers(spark, [0.7, 0.1, 0.4, 0.1], words, 1)
-    rows += centers(
-        spark, [0.1, 0.8, 0.3, 0.2, 0.5, 0.4], ["a", "cat", "1", "dog", "xyz", "bird"], 2
-    )
+    rows = centers(spark, [0.25, 0.5, 0.75], ["rain", "snow", "hail"])
+    # equal weights: the last in the alphabet first
+    rows += centers(spark, [0.5, 0.5, 0.1], ["east", "west", "north"], 1)
+    # the cut to n comes before the filter: "of" and "7" take two places
+    rows += centers(spark, [0.9, 0.8, 0.7, 0.6], ["of", "7", "sea", "sky"], 2)
     rows += centers(
         spark, [5.0, 4.0, 3.0, 2.0, 1.0], ["policy", "2024", "said", "king", "12345"], 3
     )
@@ -126,12 +125,14 @@ def test_keyword_order_and_filter(spark):
 
     def found(n):
         result = topics.top_keywords(df, n).orderBy("topic", "rank").collect()
-        return [[r["term"] for r in result if r["topic"] == t] for t in range(4)]
+        return [[r["term"] for r in result if r["topic"] == t] for t in range(5)]
 
-    assert found(2)[:2] == [["dog", "bird"], ["cat", "bird"]]
-    assert found(10)[2] == ["cat", "xyz", "bird", "dog"]
+    assert found(2)[:2] == [["hail", "snow"], ["west", "east"]]
+    assert found(3)[2] == ["sea"]
+    assert found(10)[2] == ["sea", "sky"]
     # long terms pass whatever they are; short generic, numeric, -ing ones do not
     assert found(10)[3] == ["policy", "12345"]
+    assert found(10)[4] == []  # a topic without terms
 
 
 def test_centers_count_zeros_and_fill_empty_topics(spark):
@@ -156,8 +157,12 @@ def test_labels_must_fit(spark):
     labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "ID bigint, topic int")
     with pytest.raises(ValueError):
         topics.assign_topics(df, labels)
-    done = topics.assign_topics(df, labels.limit(2)).orderBy("ID").collect()
+    done = topics.assign_topics(df, labels.filter("ID < 2")).orderBy("ID").collect()
     assert [r["Topic"] for r in done] == [1, 0]
+    for others in ([(8, 1), (9, 0)], [(0, 1), (0, 0)]):
+        wrong = spark.createDataFrame(others, labels.schema)
+        with pytest.raises(Exception, match="not one label for article"):
+            topics.assign_topics(df, wrong).collect()
 
 
 def test_silhouette(spark):
@@ -167,7 +172,7 @@ def test_silhouette(spark):
     rows = [(i, p.tolist(), t) for i, (p, t) in enumerate(zip(points, label))]
     df = spark.createDataFrame(rows, "ID bigint, f array<double>, topic int")
     vectors = df.select("ID", array_to_vector("f").alias("features"), "topic")
-    distance = np.linalg.norm(points[:, None] - points, axis=2)
+    distance = np.linalg.norm(points[:, None] - points, axis=2) ** 2
     expected = []
     for i, own in enumerate(label):
         means = [
@@ -184,14 +189,16 @@ def test_silhouette(spark):
     assert topics.silhouette(vectors.withColumn("topic", F.lit(0))) == 0.0
 
 
-def test_silhouette_of_many_rows(spark, monkeypatch):
-    monkeypatch.setattr(topics, "EXACT_SILHOUETTE_ROWS", 10)
-    rows = [(i, [float(i % 2 * 10), float(i % 3)], i % 2) for i in range(40)]
+def test_silhouette_has_one_rule_for_every_size(spark):
+    """A sample of the rows of many copies scores as the copies' mean does."""
+    rows = [(i, [float(i % 2 * 10), float(i % 3)], i % 2) for i in range(6000)]
     df = spark.createDataFrame(rows, "ID bigint, f array<double>, topic int")
-    with pytest.raises(ValueError):
-        topics.silhouette_samples(df, "f")
     vectors = df.select("ID", array_to_vector("f").alias("features"), "topic")
-    assert topics.silhouette(vectors) > 0.9
+    samples = topics.silhouette_samples(vectors)
+    assert samples.agg(F.avg("silhouette")).first()[0] == pytest.approx(topics.silhouette(vectors))
+    assert topics.silhouette(vectors) == pytest.approx(
+        topics.silhouette(vectors.filter("ID < 600")), abs=0.01
+    )
 
 
 def test_choice_of_k():
