@@ -20,10 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the current policy; the others go."""
-    (ledger,) = common.fresh(docs, "_ledger")
-    judged = quality.with_ledger(docs, ledger_col=ledger)
-    kept = judged.filter(quality.passes(F.col(f"{ledger}.failed_rules")))
-    return kept.select(*docs.columns)
+    return quality.kept_documents(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

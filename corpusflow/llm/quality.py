@@ -129,6 +129,16 @@ def passes(failed_rules: str | Column, policy: str = "v1") -> Column:
     return bits.bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0
 
 
+def kept_documents(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a version of the policy keeps, with their columns."""
+    held, row = common.fresh(docs, "_ledger", "_row")
+    judged = with_ledger(docs, text_col, held).withColumn(row, F.monotonically_increasing_id())
+    # The optimizer would push the test below the steps that measure, and so write each of
+    # them out many times; it does not do so past a row number that the test needs.
+    kept = passes(F.col(f"{held}.failed_rules"), policy) & (F.col(row) >= 0)
+    return judged.filter(kept).select(*(f"`{c}`" for c in docs.columns))
+
+
 def ablation(entries: DataFrame, policy: str = "v1") -> DataFrame:
     """Per rule of a policy: documents that fail it, that fail it alone, and that the
     policy without the rule would keep. An empty ledger gives zeros.
