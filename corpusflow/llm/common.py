@@ -20,8 +20,15 @@ def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it, if told nowhere else."""
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns ``id`` and ``text`` alone; a null text is empty."""
+    workers_find_package(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
 

@@ -221,6 +221,7 @@ def with_matches(
 
     A match holds ``min_score`` of an item's own alignment at least.
     """
+    common.workers_find_package(docs.sparkSession)
     item_type = benchmark.schema[item_col].dataType
     matches = T.ArrayType(
         T.StructType().add("item", item_type).add("score", T.DoubleType())

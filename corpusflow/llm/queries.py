@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +30,8 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 REVISIT_BYTES = 100
 
 
-ROOT = str(Path(__file__).resolve().parents[2])
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; Python workers find this package beside the driver's."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    common.workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
