@@ -4,8 +4,9 @@
    numbers into the block's own word list, and sends out each of its words once
    with its slot (block, number): the positions of a word are combined before
    anything is shuffled.
-2. The words of all blocks are shuffled by word. Equal words meet, and a word is
-   merged into ids when it is first seen.
+2. The words of all blocks are shuffled by a hash of the word, packed as one row for
+   each block and bucket. Equal words meet in a bucket, and a word is merged into ids
+   when it is first seen there.
 3. The ids go back to their block, where the documents are put together by
    position. The blocks were written as a table bucketed by block, so only the ids
    move for this join.
@@ -19,7 +20,9 @@ no ids; a null document id is kept. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import itertools
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +37,13 @@ from corpusflow.llm import common
 from corpusflow.sources.scratch import scratch_path
 
 #: Characters of text whose words are numbered together; bounds a task's memory.
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 12 << 20
+#: Words of documents in one packet.
+PACKET_WORDS = 1 << 18
 #: A partition may have this many blocks.
 BLOCKS_PER_PARTITION = 1 << 20
-BATCH_WORDS = 20_000
+#: Words of a bucket that are kept with their ids; beyond it they are merged again.
+KNOWN_WORDS = 500_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -46,120 +52,173 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 def packed(codes: np.ndarray) -> bytes:
-    """Numbers below 2**32, seven bits a byte, compressed."""
+    """Numbers below 2**32, seven bits a byte."""
     codes = codes.astype(np.uint64)
     groups = np.stack([(codes >> (7 * k)) & 127 for k in range(5)], axis=1).astype(np.uint8)
     more = np.stack([codes >= (1 << (7 * (k + 1))) for k in range(4)], axis=1)
     groups[:, :4] |= more.astype(np.uint8) << 7
     used = np.concatenate([np.ones((len(codes), 1), dtype=bool), more], axis=1)
-    return pa.compress(groups[used].tobytes(), codec="zstd", asbytes=True)
+    return groups[used].tobytes()
 
 
-def unpacked(data: bytes, size: int, count: int) -> np.ndarray:
-    """The inverse of ``packed`` for ``size`` raw bytes holding ``count`` numbers."""
-    raw = np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True), np.uint8)
+def unpacked(data: bytes) -> np.ndarray:
+    """The inverse of ``packed``."""
+    raw = np.frombuffer(data, np.uint8)
     last = np.flatnonzero(raw < 128)
-    assert len(last) == count
-    first = np.concatenate([[0], last[:-1] + 1]) if count else last
+    if not len(last):
+        return np.zeros(0, np.int64)
+    first = np.concatenate([[0], last[:-1] + 1])
     place = np.arange(len(raw)) - np.repeat(first, last - first + 1)
-    values = (raw & 127).astype(np.int64) << (7 * place)
-    return np.add.reduceat(values, first) if count else values
+    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), first)
+
+
+def as_packet(**columns) -> bytes:
+    """Columns as one compressed binary."""
+    batch = pa.record_batch(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(
+        sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")
+    ) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def from_packet(data: bytes) -> pa.Table:
+    with pa.ipc.open_stream(data) as stream:
+        return stream.read_all()
+
+
+def numbered(numbers) -> dict[str, pa.Array]:
+    """Ascending numbers as a packet's column."""
+    return {"steps": pa.array([packed(np.diff(np.array(numbers), prepend=0))])}
+
+
+def lists(parts: list[bytes]) -> dict[str, pa.Array]:
+    """Byte strings as columns of a packet."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    return {"sizes": pa.array([packed(sizes)]), "bytes": pa.array([b"".join(parts)])}
+
+
+def runs(parts: list) -> dict[str, pa.Array]:
+    """Lists of numbers as columns of a packet."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    every = np.fromiter(itertools.chain.from_iterable(parts), np.int64, int(sizes.sum()))
+    return {"sizes": pa.array([packed(sizes)]), "numbers": pa.array([packed(every)])}
+
+
+def runs_of(packet: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The lengths of a packet's lists, and all their numbers."""
+    return unpacked(packet.column("sizes")[0].as_py()), unpacked(packet.column("numbers")[0].as_py())
+
+
+def numbers_of(packet: pa.Table) -> np.ndarray:
+    return np.cumsum(unpacked(packet.column("steps")[0].as_py()))
+
+
+def parts_of(packet: pa.Table) -> list[bytes]:
+    data = packet.column("bytes")[0].as_py()
+    ends = np.cumsum(unpacked(packet.column("sizes")[0].as_py())).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+class _Block:
+    """Documents under way and the numbers of their words."""
+
+    def __init__(self, block: int, id_type: pa.DataType):
+        self.block, self.id_type = block, id_type
+        self.numbers: dict[str, int] = {}
+        self.ids: list = []
+        self.codes: list[np.ndarray] = []
+        self.chars = 0
+
+    def add(self, key, text: str, words: list[str]) -> None:
+        numbers, number = self.numbers, self.numbers.setdefault
+        self.codes.append(np.array([number(w, len(numbers)) for w in words], np.int32))
+        self.ids.append(key)
+        self.chars += len(text)
+
+    def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        """Packets of documents, then a packet of words for each bucket."""
+        counts = np.zeros(len(self.numbers), np.int64)
+        for codes in self.codes:
+            np.add.at(counts, codes, 1)
+        rank = np.empty(len(counts), np.int32)  # small numbers for frequent words
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts), dtype=np.int32)
+        start, words = 0, 0
+        for k, codes in enumerate(self.codes):
+            words += len(codes)
+            if words >= PACKET_WORDS or k == len(self.codes) - 1:
+                codes = self.codes[start : k + 1]
+                sizes = packed(np.array([len(c) for c in codes]))
+                packet = as_packet(
+                    ids=pa.array([self.ids[start : k + 1]], pa.list_(self.id_type)),
+                    sizes=pa.array([sizes]),
+                    numbers=pa.array([packed(rank[np.concatenate(codes)])]),
+                )
+                yield self._row(None, packet)
+                start, words = k + 1, 0
+        words, dealt = list(self.numbers), {}
+        for at in np.argsort(rank).tolist():
+            data = words[at].encode()
+            dealt.setdefault(zlib.crc32(data) % buckets, []).append((data, int(rank[at])))
+        for bucket, entries in dealt.items():
+            held, numbers = zip(*entries)
+            yield self._row(bucket, as_packet(**numbered(numbers), **lists(held)))
+
+    def _row(self, bucket: int | None, packet: bytes) -> pa.RecordBatch:
+        columns = ((self.block, pa.int64()), (bucket, pa.int32()), (packet, pa.binary()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([value], kind) for value, kind in columns], names=["block", "bucket", "data"]
+        )
 
 
-def blocks(docs: DataFrame, pattern: str, block_chars: int) -> DataFrame:
-    """A row per document (its word numbers) and rows with the words of each block."""
-    id_type = docs.schema["id"].dataType
-    schema = (
-        f"block long, number long, id {id_type.simpleString()}, n_words long, n_bytes long, "
-        "codes binary, words array<string>"
-    )
-    names = ["block", "number", "id", "n_words", "n_bytes", "codes", "words"]
-
-    def flush(block: int, ids: list, codes: list[np.ndarray], numbers: dict, id_arrow) -> Iterator:
-        every = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        counts = np.bincount(every, minlength=len(numbers))
-        order = np.argsort(-counts, kind="stable")  # small numbers for frequent words
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words = np.array(list(numbers), dtype=object)[order] if len(numbers) else []
-        coded = [rank[c] for c in codes]
-        sizes = [
-            int((1 + sum((c >= (1 << (7 * k))).astype(np.int64) for k in range(1, 5))).sum())
-            for c in coded
-        ]
-        n = len(ids)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([block] * n, pa.int64()),
-                pa.array(range(n), pa.int64()),
-                pa.array(ids, id_arrow),
-                pa.array([len(c) for c in coded], pa.int64()),
-                pa.array(sizes, pa.int64()),
-                pa.array([packed(c) for c in coded], pa.binary()),
-                pa.nulls(n, pa.list_(pa.string())),
-            ],
-            names=names,
-        )
-        for k in range(0, len(words), BATCH_WORDS):
-            part = list(words[k : k + BATCH_WORDS])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block], pa.int64()),
-                    pa.array([k], pa.int64()),
-                    pa.nulls(1, id_arrow),
-                    pa.nulls(1, pa.int64()),
-                    pa.nulls(1, pa.int64()),
-                    pa.nulls(1, pa.binary()),
-                    pa.array([part], pa.list_(pa.string())),
-                ],
-                names=names,
-            )
+def blocks(docs: DataFrame, pattern: str, block_chars: int, buckets: int) -> DataFrame:
+    """Packets of documents (their word numbers; no bucket), and of a block's words."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
-        block = TaskContext.get().partitionId() * BLOCKS_PER_PARTITION
-        numbers: dict[str, int] = {}
-        ids: list = []
-        codes: list[np.ndarray] = []
-        held, id_arrow = 0, pa.null()
+        number = TaskContext.get().partitionId() * BLOCKS_PER_PARTITION
+        block = None
         for batch in batches:
-            id_arrow = batch.schema.field("id").type
-            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                if ids and held + len(text) > block_chars:
-                    yield from flush(block, ids, codes, numbers, id_arrow)
-                    block, held, numbers, ids, codes = block + 1, 0, {}, [], []
-                words = split(text)
-                number = numbers.setdefault
-                codes.append(np.array([number(w, len(numbers)) for w in words], np.int64))
-                ids.append(key)
-                held += len(text)
-        if ids:
-            yield from flush(block, ids, codes, numbers, id_arrow)
+            block = block or _Block(number, batch.schema.field("id").type)
+            ids, texts = batch.column("id"), batch.column("text")
+            for k in range(len(ids)):
+                text = texts[k].as_py()
+                if block.ids and block.chars + len(text) > block_chars:
+                    yield from block.rows(buckets)
+                    block = _Block(block.block + 1, block.id_type)
+                block.add(ids[k].as_py(), text, split(text))
+        if block:
+            yield from block.rows(buckets)
 
-    return docs.mapInArrow(cut, schema)
+    return docs.mapInArrow(cut, "block long, bucket int, data binary")
 
 
-def merge_words(words: DataFrame, ranks_data, pattern: str) -> DataFrame:
-    """``(block, number, word)`` to ``(block, number, ids)``; needs equal words side by side."""
+def merge_words(packets: DataFrame, ranks_data, pattern: str) -> DataFrame:
+    """Packets of words to packets of ids; needs the rows of a bucket side by side."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tiktoken.Encoding(
             "ranks", pat_str=pattern, mergeable_ranks=read_ranks(ranks_data.value), special_tokens={}
         )
-        last, ids = None, b""
+        bucket, known = None, {}
         for batch in batches:
             out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last = word
-                    ids = np.array(coder._encode_single_piece(word), np.uint32).tobytes()
-                out.append(ids)
+            for at, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
+                if at != bucket or len(known) > KNOWN_WORDS:
+                    bucket, known = at, {}
+                packet = from_packet(data)
+                words = parts_of(packet)
+                for word in words:
+                    if word not in known:
+                        known[word] = coder._encode_single_piece(word)
+                ids = runs([known[word] for word in words])
+                out.append(as_packet(steps=packet.column("steps").combine_chunks(), **ids))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("number"), pa.array(out, pa.binary())],
-                names=["block", "number", "ids"],
+                [batch.column("block"), pa.array(out, pa.binary())], names=["block", "data"]
             )
 
-    return words.mapInArrow(merge, "block long, number long, ids binary")
+    return packets.mapInArrow(merge, "block long, data binary")
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -169,32 +228,30 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def joined_block(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of a block's documents, in the order of their words."""
-    docs = docs.combine_chunks()
-    order = np.argsort(words.column("number").to_numpy())
-    lists = words.column("ids").to_pylist()
-    tokens = [lists[i] for i in order]
-    lengths = np.array([len(t) for t in tokens], np.int64) // 4
-    flat = np.frombuffer(b"".join(tokens), np.uint32).astype(np.int32)
-    starts = np.cumsum(lengths) - lengths
-    values, offsets = [], [0]
-    for data, size, count in zip(
-        docs.column("codes").to_pylist(),
-        docs.column("n_bytes").to_pylist(),
-        docs.column("n_words").to_pylist(),
-    ):
-        if count:
-            codes = unpacked(data, size, count)
-            values.append(flat[ragged(starts[codes], lengths[codes])])
-            offsets.append(offsets[-1] + len(values[-1]))
-        else:
-            offsets.append(offsets[-1])
-    ids = pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()),
-        pa.array(np.concatenate(values) if values else np.zeros(0, np.int32)),
-    )
-    return pa.table({"id": docs.column("id"), "ids": ids})
+def joined_block(docs: pa.Table, packets: pa.Table) -> pa.Table:
+    """The ids of a block's documents, in the order of their words; a batch per packet."""
+    tables = [from_packet(data) for data in packets.column("data").to_pylist()]
+    numbers = [numbers_of(one) for one in tables]
+    count = sum(map(len, numbers))
+    lengths, firsts = np.zeros(count, np.int64), np.zeros(count, np.int64)
+    held, total = [], 0
+    for one, number in zip(tables, numbers):
+        sizes, ids = runs_of(one)
+        lengths[number], firsts[number] = sizes, total + np.cumsum(sizes) - sizes
+        held.append(ids.astype(np.int32))
+        total += len(ids)
+    flat = np.concatenate([np.zeros(0, np.int32), *held])
+    batches = []
+    for data in docs.column("data").to_pylist():
+        packet = from_packet(data)
+        sizes, codes = runs_of(packet)
+        wide = lengths[codes]
+        values = flat[ragged(firsts[codes], wide)]
+        ends = np.concatenate([[0], np.cumsum(wide)])[np.concatenate([[0], np.cumsum(sizes)])]
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        keys = packet.column("ids").combine_chunks().flatten()
+        batches.append(pa.RecordBatch.from_arrays([keys, ids], names=["id", "ids"]))
+    return pa.Table.from_batches(batches)
 
 
 def encode(
@@ -210,24 +267,22 @@ def encode(
     ranks = spark.sparkContext.broadcast(common.vocabulary_bytes(ranks_path))
     source = common.id_and_text(docs, id_col, text_col)
     id_type = source.schema["id"].dataType.simpleString()
-    table, buckets = f"llm_blocks_{uuid.uuid4().hex}", common.shuffle_partitions(spark)
+    table, partitions = f"llm_blocks_{uuid.uuid4().hex}", common.shuffle_partitions(spark)
     (
-        blocks(source, pattern, block_chars)
-        .write.option("compression", "zstd")
-        .option("path", scratch_path(spark, "blocks"))
-        .bucketBy(buckets, "block")
+        blocks(source, pattern, block_chars, partitions)
+        .write.option("path", scratch_path(spark, "blocks"))
+        .bucketBy(partitions, "block")
         .saveAsTable(table)
     )
     cut = spark.table(table)
-    words = (
-        cut.filter(F.col("words").isNotNull())
-        .select("block", F.col("number").alias("first"), F.posexplode("words").alias("at", "word"))
-        .select("block", (F.col("first") + F.col("at")).alias("number"), "word")
-        .repartition(buckets, "word")
-        .sortWithinPartitions("word")
+    packets = (
+        cut.filter(F.col("bucket").isNotNull())
+        .select("bucket", "block", "data")
+        .repartition(partitions, "bucket")
+        .sortWithinPartitions("bucket")
     )
-    merged = merge_words(words, ranks, pattern).repartition(buckets, "block")
-    rows = cut.filter(F.col("words").isNull()).select("block", "id", "n_words", "n_bytes", "codes")
+    merged = merge_words(packets, ranks, pattern).repartition(partitions, "block")
+    rows = cut.filter(F.col("bucket").isNull()).select("block", "data")
     encoded = (
         rows.groupBy("block")
         .cogroup(merged.groupBy("block"))
@@ -246,9 +301,18 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
     schema = encoded.withColumn("decoded", F.lit(None).cast("binary")).schema
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {rank: piece for piece, rank in read_ranks(data.value).items()}.__getitem__
+        pieces = {rank: piece for piece, rank in read_ranks(data.value).items()}
+        table = [pieces.get(rank, b"") for rank in range(max(pieces) + 1)]
+        lengths = np.fromiter(map(len, table), np.int64, len(table))
+        starts, every = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(table), np.uint8)
         for batch in batches:
-            out = [b"".join(map(token, ids or ())) for ids in batch.column(ids_col).to_pylist()]
+            lists, out = batch.column(ids_col), []
+            for k in range(len(lists)):  # one row's ids at a time
+                values = lists[k].values
+                ids = values.to_numpy() if values is not None else np.zeros(0, np.int64)
+                if len(ids) and not lengths[ids].all():
+                    raise ValueError("an id without a token")
+                out.append(every[ragged(starts[ids], lengths[ids])].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"]
             )
