@@ -249,7 +249,7 @@ def batch_stats(spark, sf_dir):
 def update_store(spark, sf_dir):
     """A store of the documents, updated with the web pages; topics over all of it."""
     path = scratch_path(spark, "store")
-    k = topics.K_FOR_UPDATE
+    k = topics.K_FOR_UPDATE[:1]
     for new, found in ((spread_articles(spark, sf_dir), False), (_from_pages(spark, sf_dir), True)):
         text = T.processed_text(T.clean_text(F.col("Content")))
         new = new.withColumn("processed_text", text)

@@ -272,7 +272,7 @@ def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def separated_topics(spark, sf_dir):
     """K-Means where the clusters are known: the languages, by size."""
     k = _languages(spark, sf_dir).count()
-    return topics.cluster(_separated(spark, sf_dir), k)
+    return topics.cluster(_separated(spark, sf_dir), k, restarts=10)
 
 
 def best_k(spark, sf_dir):
