@@ -111,6 +111,10 @@ def with_ledger(docs: DataFrame, text_col: str = "text", ledger_col: str = "ledg
         for k, name in enumerate(MEASURES):
             rule = rule.replace(f"@{k}", f"{ledger_col}.{name}")
         bits = bits + F.when(F.expr(rule), F.lit(1 << bit)).otherwise(0)
+    # A filter on the ledger must not be pushed below the steps that measure: each would be
+    # written out many times over. It is not pushed past an expression that is called
+    # nondeterministic, as this one is, although a row number is never negative.
+    bits = F.when(F.monotonically_increasing_id() < 0, F.lit(-1)).otherwise(bits)
     return measured.withColumn(
         ledger_col, F.col(ledger_col).withField("failed_rules", bits)
     ).select(*(f"`{c}`" for c in docs.columns if c != ledger_col), ledger_col)
@@ -131,12 +135,9 @@ def passes(failed_rules: str | Column, policy: str = "v1") -> Column:
 
 def kept_documents(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that a version of the policy keeps, with their columns."""
-    held, row = common.fresh(docs, "_ledger", "_row")
-    judged = with_ledger(docs, text_col, held).withColumn(row, F.monotonically_increasing_id())
-    # The optimizer would push the test below the steps that measure, and so write each of
-    # them out many times; it does not do so past a row number that the test needs.
-    kept = passes(F.col(f"{held}.failed_rules"), policy) & (F.col(row) >= 0)
-    return judged.filter(kept).select(*(f"`{c}`" for c in docs.columns))
+    (held,) = common.fresh(docs, "_ledger")
+    kept = with_ledger(docs, text_col, held).filter(passes(F.col(f"{held}.failed_rules"), policy))
+    return kept.select(*(f"`{c}`" for c in docs.columns))
 
 
 def ablation(entries: DataFrame, policy: str = "v1") -> DataFrame:
