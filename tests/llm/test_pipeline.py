@@ -1,5 +1,4 @@
 import corpus_pipeline
-import public_tokenizers
 import pytest
 
 from corpusflow.llm import decontaminate, queries, quality, simhash
@@ -62,7 +61,6 @@ def test_run(spark, sf_dir, stages):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(
         map(tuple, stages[5].collect())
     )
-    assert public_tokenizers.PATTERN
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (1, None, None, None, None)]])
