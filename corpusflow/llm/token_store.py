@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -33,12 +33,13 @@ END_ID = 1
 SHARD_TOKENS = 1 << 21
 #: A pair is frequent with this share of a shard's symbols, and at least this often.
 MIN_SHARE, MIN_COUNT = 1 / 16384, 4
-MAX_ROUNDS = 16
+#: Rounds end when one shortens the sequence by less than this.
+MIN_GAIN = 0.01
 COUNT_BITS = 20
 #: Words whose ids a worker keeps at hand, and words encoded at a time.
-KNOWN_WORDS, WORDS_AT_ONCE = 300_000, 256
+KNOWN_WORDS, WORDS_AT_ONCE = 400_000, 2048
 SHARD_SCHEMA = (
-    "part int, shard int, ids array<{id}>, lengths array<long>, n_tokens long, first_rule long, "
+    "part int, part_before long, ids array<{id}>, lengths array<long>, n_tokens long, first_rule long, "
     "rules binary, rule_lengths binary, symbols binary"
 )
 
@@ -70,16 +71,19 @@ def chosen_pairs(rank: np.ndarray) -> np.ndarray:
 
 
 def compress(
-    ids: np.ndarray, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT, rounds: int = MAX_ROUNDS
+    ids: np.ndarray,
+    min_share: float = MIN_SHARE,
+    min_count: int = MIN_COUNT,
+    min_gain: float = MIN_GAIN,
 ) -> tuple[int, np.ndarray, np.ndarray]:
     """The first rule's symbol, the rules as rows of two symbols, and the sequence left."""
     symbols = ids.astype(np.int64)
     first = int(symbols.max(initial=0)) + 1
     rules: list[np.ndarray] = []
     bound = first
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    before = 2 * len(symbols)
+    while len(symbols) > 1 and before - len(symbols) >= min_gain * before:
+        before = len(symbols)
         least = max(min_count, int(len(symbols) * min_share))
         keys = symbols[:-1] * bound + symbols[1:]
         found, counts = frequent_pairs(keys, least)
@@ -168,8 +172,9 @@ def encode_texts(tokenizer: Tokenizer, known: dict[bytes, bytes], texts: list[by
         if len(cuts) != len(group) - 1:
             raise ValueError("a word's ids hold the mark")
         starts = np.concatenate([[0], cuts + 1]).tolist()
+        data = ids.tobytes()
         for word, a, b in zip(group, starts, [*cuts.tolist(), len(ids)]):
-            known[word] = ids[a:b].tobytes()
+            known[word] = data[4 * a : 4 * b]
     alone = [w for w in new if w not in known]
     for word, found in zip(
         alone, tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
@@ -178,13 +183,13 @@ def encode_texts(tokenizer: Tokenizer, known: dict[bytes, bytes], texts: list[by
     return [b"".join([known[word] for word in words]) for words in split]
 
 
-def _shard_row(part: int, shard: int, ids: list, id_type, tokens: list[bytes]) -> pa.RecordBatch:
+def _shard_row(part: int, before: int, ids: list, id_type, tokens: list[bytes]) -> pa.RecordBatch:
     lengths = [len(t) // 4 for t in tokens]
     every = np.frombuffer(b"".join(tokens), "<u4")
     first, rules, symbols = compress(every)
     columns = {
         "part": pa.array([part], pa.int32()),
-        "shard": pa.array([shard], pa.int32()),
+        "part_before": pa.array([before], pa.int64()),
         "ids": pa.array([ids], pa.list_(id_type)),
         "lengths": pa.array([lengths], pa.list_(pa.int64())),
         "n_tokens": pa.array([len(every)], pa.int64()),
@@ -208,11 +213,11 @@ def write_tokens(
     """Encodes documents, with ``end_id`` behind each, into the files of ``path``."""
     source = common.id_and_text(docs, id_col, text_col)
     id_type = source.schema["id"].dataType.simpleString()
-    ordered = source.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    ordered = source.repartitionByRange("id").sortWithinPartitions("id", "text")
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, shard = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
         tokenizer, known = _tokenizer(tokenizer_path)
         ids, tokens, held, kind = [], [], 0, pa.null()
         for batch in batches:
@@ -227,10 +232,10 @@ def write_tokens(
                     tokens.append(data + end)
                     held += len(tokens[-1]) // 4
                     if held >= shard_tokens:
-                        yield _shard_row(part, shard, ids, kind, tokens)
-                        shard, ids, tokens, held = shard + 1, [], [], 0
+                        yield _shard_row(part, before, ids, kind, tokens)
+                        before, ids, tokens, held = before + held, [], [], 0
         if ids:
-            yield _shard_row(part, shard, ids, kind, tokens)
+            yield _shard_row(part, before, ids, kind, tokens)
 
     rows = ordered.mapInArrow(encode, SHARD_SCHEMA.format(id=id_type))
     rows.write.option("compression", "zstd").parquet(path)
@@ -239,20 +244,16 @@ def write_tokens(
 def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """``(id, start, ids array<int>)`` per document: ``start`` counts the ids before it."""
     shards = spark.read.schema(SHARD_SCHEMA.format(id=id_type)).parquet(path)
-    # a row per writing task, so the window over all of them stays small
-    parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    places = shards.select(
-        "part", "shard", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("shard_start")
-    ).join(parts, "part")
-    placed = shards.join(
-        places.select("part", "shard", (F.col("part_start") + F.col("shard_start")).alias("start")),
-        ["part", "shard"],
-    )
+    # One row per writing task comes to the driver, as its own record of the tasks did.
+    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
+    starts, total = {}, 0
+    for row in totals:
+        starts[row["part"]] = total
+        total += row["n"]
+    shared = spark.sparkContext.broadcast(starts)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts = shared.value
         for batch in batches:
             for k in range(batch.num_rows):
                 shard = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
@@ -262,13 +263,13 @@ def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint") -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shard["ids"], kind),
-                        pa.array(shard["start"] + ends[:-1]),
+                        pa.array(starts[shard["part"]] + shard["part_before"] + ends[:-1]),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                     ],
                     names=["id", "start", "ids"],
                 )
 
-    return placed.mapInArrow(decode, f"id {id_type}, start long, ids array<int>")
+    return shards.mapInArrow(decode, f"id {id_type}, start long, ids array<int>")
 
 
 def with_crc(tokens: DataFrame) -> DataFrame:
