@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare word sequences seed alignments with test items.
+"""Benchmark decontamination: shared word sequences seed alignments with test items.
 
 The test items are taken in blocks of bounded size, and every block is held against
-all documents. A first pass counts in how many documents each three-word sequence of
-the items occurs. The rare ones of an item, measured against its own median, are its
-seeds: however often an item has leaked, at least half of its sequences stay seeds. A
-second pass joins passages to items on shared seeds and aligns the words around them
-by Smith-Waterman, which scores edited copies too. The score is the best local
-alignment's share of the item's alignment with itself.
+all documents once. The three-word sequences of an item are its seeds, however many
+documents hold them: a limit on that would lose passages that were edited and then
+copied, whose surviving sequences are far more frequent than the item's others. An item
+and a document that share seeds are aligned around them by Smith-Waterman, which scores
+edited copies too, unless the words there are too few to reach the score. The score is
+the best local alignment's share of the item's alignment with itself.
 
 Words are runs of letters, digits and underscores in lower case. An item of fewer than
 three words has no sequence and matches nothing; an item is a candidate when a document
@@ -30,8 +30,6 @@ from pyspark.sql import types as T
 from corpusflow.llm import common
 
 GRAM = 3
-#: A sequence is rare in up to this many times the median of its item's documents.
-RARE_FACTOR = 4
 MIN_SEEDS = 2
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -130,33 +128,42 @@ def align(long: np.ndarray, short: np.ndarray) -> int:
     return best
 
 
+def needed_seeds(block: Block) -> np.ndarray:
+    """How many different seeds a document of each item has at least."""
+    gram = np.repeat(np.arange(len(block.grams)), np.diff(block.starts))
+    pairs = np.unique(np.stack([block.item, gram]), axis=1)
+    return np.minimum(MIN_SEEDS, np.bincount(pairs[0], minlength=len(block.items)))
+
+
 def matches_of(
-    ids: np.ndarray, hits: list[tuple[int, int]], block: Block, seeds: np.ndarray, need: np.ndarray,
-    min_score: float,
+    ids: np.ndarray, hits: list[tuple[int, int]], block: Block, need: np.ndarray, min_score: float
 ) -> list[dict]:
     """Items that one text holds; ``hits`` are places and numbers of its sequences."""
-    by_item: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+    by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for place, gram in hits:
         for k in range(block.starts[gram], block.starts[gram + 1]):
-            if seeds[k]:
-                by_item[int(block.item[k])].append((place - int(block.place[k]), gram, place))
+            by_item[int(block.item[k])].append((place - int(block.place[k]), gram))
     found = []
     for item, shared in by_item.items():
-        if len({gram for _, gram, _ in shared}) < need[item]:
+        if len({gram for _, gram in shared}) < need[item]:
             continue
         words = block.texts[item]
         perfect = MATCH * len(words)
         # an alignment that reaches the score can't have longer gaps than this
         pad = int(perfect * (1 - min_score) / -GAP) + 1
-        best, end, start = 0, -1, -1
-        for offset in sorted({o for o, _, _ in shared}):
-            low, high = max(0, offset - pad), offset + len(words) + pad
-            if low > end:
-                if end >= 0:
-                    best = max(best, align(ids[start:end], words))
-                start = low
-            end = max(end, min(high, len(ids)))
-        best = max(best, align(ids[start:end], words))
+        spans: list[list[int]] = []
+        for offset in sorted({o for o, _ in shared}):
+            low, high = max(0, offset - pad), min(offset + len(words) + pad, len(ids))
+            if spans and low <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], high)
+            else:
+                spans.append([low, high])
+        best = 0
+        for low, high in spans:
+            near = ids[low:high]
+            # a score takes this many words of the item, wherever they stand
+            if MATCH * np.count_nonzero(np.isin(near, words)) >= min_score * perfect:
+                best = max(best, align(near, words))
         if best >= min_score * perfect:
             found.append({"item": block.items[item], "score": best / perfect})
     return found
@@ -171,42 +178,6 @@ def _blocks(items: DataFrame, block_words: int) -> Iterator[Block]:
         yield build_block([(r["id"], r["text"]) for r in part.orderBy("id", "text").collect()])
 
 
-def document_counts(texts: DataFrame, block: Block) -> np.ndarray:
-    """In how many rows each sequence of the block occurs; the counts, not the rows, are gathered."""
-    shared = texts.sparkSession.sparkContext.broadcast(block)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
-        counts = np.zeros(len(found.grams), np.int64)
-        for batch in batches:
-            _, starts, places, gram = gram_hits(batch.column("text").to_pylist(), found)
-            both = np.unique(text_of(starts, places) * max(1, len(counts)) + gram)
-            np.add.at(counts, both % max(1, len(counts)), 1)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["gram", "n"]
-        )
-
-    partial = texts.select("text").mapInArrow(count, "gram long, n long")
-    counts = np.zeros(len(block.grams), np.int64)
-    for gram, n in partial.groupBy("gram").agg(F.sum("n")).collect():
-        counts[gram] = n
-    return counts
-
-
-def rare_entries(block: Block, counts: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
-    """Per entry whether it is a seed of its item, and the seeds that an item needs."""
-    gram = np.repeat(np.arange(len(block.grams)), np.diff(block.starts))
-    often = counts[gram]
-    seeds, need = np.zeros(len(gram), bool), np.full(len(block.items), MIN_SEEDS)
-    for item in range(len(block.items)):
-        own = np.flatnonzero(block.item == item)
-        if len(own):
-            seeds[own] = often[own] <= max(1, factor * np.median(often[own]))
-            need[item] = min(MIN_SEEDS, len(np.unique(gram[own[seeds[own]]])))
-    return seeds, need
-
-
 def with_matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -229,21 +200,19 @@ def with_matches(
     items = benchmark.select(
         F.col(item_col).alias("id"), common.text_or_empty(item_text_col).alias("text")
     )
-    texts = docs.select(common.text_or_empty(text_col).alias("text"))
     (held,) = common.fresh(docs, "_matches")
     found = docs.withColumn(held, F.array().cast(matches))
     for block in _blocks(items, block_words):
-        seeds, need = rare_entries(block, document_counts(texts, block), RARE_FACTOR)
-        found = _matched(found, held, text_col, block, seeds, need, min_score)
+        found = _matched(found, held, text_col, block, min_score)
     columns = [F.col(f"`{c}`") for c in docs.columns if c != matches_col]
     return found.select(*columns, F.sort_array(held).alias(matches_col))
 
 
-def _matched(docs, held, text_col, block, seeds, need, min_score) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((block, seeds, need))
+def _matched(docs, held, text_col, block, min_score) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((block, needed_seeds(block)))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, seeds, need = shared.value
+        block, need = shared.value
         for batch in batches:
             texts = batch.column(text_col).cast(pa.large_string()).to_pylist()
             ids, starts, places, grams = gram_hits(texts, block)
@@ -254,7 +223,7 @@ def _matched(docs, held, text_col, block, seeds, need, min_score) -> DataFrame:
             ends = np.append(starts[1:], len(ids)) - (GRAM - 1)
             for k, own in hits.items():
                 words = ids[starts[k] : ends[k]]
-                matches[k] += matches_of(words, own, block, seeds, need, min_score)
+                matches[k] += matches_of(words, own, block, need, min_score)
             field = batch.schema.field(held)
             at = batch.schema.get_field_index(held)
             yield batch.set_column(at, field, pa.array(matches, field.type))

@@ -66,6 +66,21 @@ def test_an_item_in_most_documents_is_still_found(spark):
     assert all([m["score"] for m in r["matches"]] == [1.0] for r in found)
 
 
+def test_an_edited_passage_that_is_copied_is_found_in_every_copy(spark):
+    item = [f"w{k}" for k in range(30)]
+    passage = [f"new{k}" if k in (3, 9, 15, 21, 27) else word for k, word in enumerate(item)]
+    half = item[:15]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for text, score in ((passage, 0.75), (half, 0.5)):
+        for copies, exact in ((1, 0), (2, 0), (5, 1), (50, 1)):
+            texts = [text] * copies + [item] * exact
+            rows = [(k, f"before {k} " + " ".join(words)) for k, words in enumerate(texts)]
+            docs = spark.createDataFrame(rows + [(99, "w4 w5 w6 alone")], "doc_id long, text string")
+            found = decontaminate.with_matches(docs, benchmark).orderBy("doc_id").collect()
+            scores = [[m["score"] for m in r["matches"]] for r in found]
+            assert scores == [[score]] * copies + [[1.0]] * exact + [[]], (score, copies, exact)
+
+
 def test_odd_documents_and_items(spark, odd):
     benchmark = spark.createDataFrame(
         [(1, None), (2, ""), (3, "two words"), (None, "another text with the same id"), (5, "x y z")],
