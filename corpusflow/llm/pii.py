@@ -6,9 +6,10 @@ pattern. Looser shapes give candidates that the base rules do not take, such as
 numbers without a plus sign or addresses with a written-out at sign. Patterns and
 values form a graph that is scored in rounds: a pattern is as good as the share of its
 distinct values that are known to be of one kind, leaving out those that could yet turn
-out to be, and a candidate value becomes known
-when a good pattern with enough known values stands before it. In the end, candidates
-behind a good pattern for their kind are added. Base spans always stay.
+out to be. The values of the seeds are known from the start, wherever they are met; a
+candidate value becomes known when a good pattern with enough known values stands before
+it, and keeps its kind from then on. In the end, loose occurrences of known values behind
+a good pattern for their kind are added. Base spans always stay.
 
 Spans count code points, end exclusive. A null or empty text has no spans. Rows that
 repeat an id and its text are the same document and get the same result each; null ids
@@ -126,13 +127,17 @@ def _occurrences(found: DataFrame) -> DataFrame:
         .otherwise(F.array())
     )
     kind = F.get(F.array(*map(F.lit, KINDS)), F.when(base, F.col("kind")))
-    value = F.when(F.col("digits") != "", F.col("digits")).otherwise(F.lower("hit"))
+    spelled = F.lower("hit")
+    for written, sign in ((r"\x20?(?:@|\(at\)|\[at\])\x20?", "@"), (r"\x20?(?:\(dot\)|\[dot\])\x20?", ".")):
+        spelled = F.regexp_replace(spelled, written, sign)
+    by_digits = F.col("kind").isin(KINDS.index("card"), KINDS.index("phone"), LOOSE_NUMBER)
+    value = F.when(by_digits, F.col("digits")).otherwise(spelled)
     return rows.select(
         "id",
         "h",
         "start",
         "end",
-        F.when(F.col("kind").isin(0, LOOSE_EMAIL), F.lower("hit")).otherwise(value).alias("value"),
+        value.alias("value"),
         kind.alias("known"),
         _could_be().alias("kinds"),
         F.explode(patterns).alias("pattern"),
@@ -158,6 +163,12 @@ def _could_be() -> Column:
     )
 
 
+def seed_values(occurrences: DataFrame) -> DataFrame:
+    """Distinct ``(value, kind)`` that the base rules found, behind whatever pattern."""
+    seeds = occurrences.filter("known is not null")
+    return seeds.select("value", F.col("known").alias("kind")).distinct()
+
+
 def bootstrap(
     occurrences: DataFrame,
     rounds: int = ROUNDS,
@@ -178,19 +189,25 @@ def bootstrap(
     seeds = edges.filter("known is not null").select("pattern", F.col("known").alias("kind"))
     totals = edges.groupBy("pattern").agg(F.count("*").alias("values"))
     totals = common.stored(totals, "totals")
-    candidates = edges.filter("known is null").select(
+    loose = edges.filter("known is null").select(
         "pattern", "value", F.explode("kinds").alias("kind")
     )
+    known = seed_values(occurrences).withColumn("seeded", F.lit(1))
+    candidates = loose.join(known, ["value", "kind"], "left").withColumn(
+        "seeded", F.coalesce("seeded", F.lit(0))
+    )
+    candidates = common.stored(candidates, "candidates")
     one, none = F.lit(1).alias, F.lit(0).alias
     votes = seeds.select("pattern", "kind", one("seed"), none("open"), none("met"))
     votes = votes.unionByName(
-        candidates.select("pattern", "kind", none("seed"), one("open"), none("met"))
+        candidates.select("pattern", "kind", none("seed"), one("open"), F.col("seeded").alias("met"))
     )
+    rest = candidates.filter("seeded = 0")
     found = None
     for _ in range(rounds):
         cast = votes
         if found is not None:
-            met = candidates.join(found, ["value", "kind"], "left_semi")
+            met = rest.join(found, ["value", "kind"], "left_semi")
             cast = votes.unionByName(
                 met.select("pattern", "kind", none("seed"), none("open"), one("met"))
             )
@@ -204,9 +221,11 @@ def bootstrap(
         good = scored.filter((F.col("confidence") >= min_confidence) & (F.col("known") >= min_known))
         good = common.stored(good.select("pattern", "kind", "confidence", "known"), "patterns")
         # a value with two kinds goes to the more confident one
-        best = candidates.join(good, ["pattern", "kind"]).groupBy("value").agg(
+        best = rest.join(good, ["pattern", "kind"]).groupBy("value").agg(
             F.max_by("kind", F.struct("confidence", "known", "kind")).alias("kind")
         )
+        if found is not None:
+            best = found.unionByName(best.join(found, "value", "left_anti"))
         found = common.stored(best, "found")
     return good, found
 
@@ -221,13 +240,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = common.stored(spans(scanned), "spans")
     occurrences = common.stored(_occurrences(placed), "occurrences")
     good, found = bootstrap(occurrences)
+    behind = occurrences.filter("known is null").drop("known").join(good, "pattern")
+    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")) - 1
     new = (
-        occurrences.filter("known is null")
-        .join(found, "value")
-        .join(good.select("pattern", "kind"), ["pattern", "kind"], "left_semi")
-        .select("id", "h", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("kind"), "start", "end")
-        .distinct()
-        .select("id", "h", (F.col("kind") - 1).cast("int").alias("kind"), "start", "end", F.lit(False).alias("base"))
+        behind.filter(F.expr("array_contains(kinds, kind)"))
+        .join(seed_values(occurrences).unionByName(found), ["value", "kind"], "left_semi")
+        .groupBy("id", "h", "start", "end")
+        .agg(F.max_by(number, F.struct("confidence", "known", "kind")).alias("kind"))
+        .select("id", "h", F.col("kind").cast("int").alias("kind"), "start", "end", F.lit(False).alias("base"))
     )
     base = placed.filter(F.col("kind") < len(KINDS)).select(
         "id", "h", "kind", "start", "end", F.lit(True).alias("base")

@@ -101,6 +101,27 @@ def test_confidence_of_patterns(spark):
     assert {r["pattern"] for r in good.collect()} == {"p", "q"}
 
 
+def test_loose_occurrences_of_seed_values(spark):
+    rows = [f"Tel. +1 (212) 555-01{k} here" for k in range(10, 22)]
+    rows += [f"Card 4111 1111 1111 {n} here" for n in [str(k) for k in range(1000, 1200) if luhn(f"411111111111{k}")][:9]]
+    rows += [f"Mail bob{k}@example.com now" for k in range(9)]
+    known = len(rows)
+    rows += ["Tel. 1 (212) 555-0110 here", "Card " + rows[12][5:24].replace(" ", ".") + " here"]
+    rows += ["Mail bob3 (at) example [dot] com now", "code 1 (212) 555-0111 here"]
+    spans = dict(found(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), base_only=False))
+    assert all(spans[k].count(":") == 2 for k in range(known))
+    assert [spans[k] for k in range(known, len(rows))] == ["phone:5:21", "card:5:24", "email:5:32", ""]
+
+
+def test_seed_values_vote_for_the_patterns_they_are_met_behind(spark):
+    rows = [("p", f"v{k}", "phone", []) for k in range(9)]
+    rows += [("q", f"v{k}", None, ["phone", "card"]) for k in range(9)] + [("q", "new", None, ["phone", "card"])]
+    edges = spark.createDataFrame(rows, "pattern string, value string, known string, kinds array<string>")
+    good, values = pii.bootstrap(edges)
+    assert {(r["pattern"], r["kind"], r["known"]) for r in good.collect()} == {("p", "phone", 9), ("q", "phone", 10)}
+    assert [tuple(r) for r in values.collect()] == [("new", "phone")]
+
+
 def test_texts_are_read_once_without_python(odd, plan):
     scanned = pii.scan(odd, "doc_id", "text")
     assert "Exchange" not in plan(scanned) and "Python" not in plan(scanned)
