@@ -249,15 +249,13 @@ def batch_stats(spark, sf_dir):
 def update_store(spark, sf_dir):
     """A store of the documents, updated with the web pages; topics over all of it."""
     path = scratch_path(spark, "store")
-    k = topics.K_FOR_UPDATE[:1]
     for new, found in ((spread_articles(spark, sf_dir), False), (_from_pages(spark, sf_dir), True)):
         text = T.processed_text(T.clean_text(F.col("Content")))
         new = new.withColumn("processed_text", text)
-        update.update_store(spark, new, path, reprocess_topics=found, k_values=k)
+        update.update_store(spark, new, path, reprocess_topics=found)
     stored = store.read_store(spark, path)
-    return stored.select(
-        "ID", "Title", "summary", "summary_length", F.col("Topic").between(0, max(k) - 1).alias("labelled")
-    )
+    labelled = F.col("Topic").between(0, max(topics.K_FOR_UPDATE) - 1).alias("labelled")
+    return stored.select("ID", "Title", "summary", "summary_length", labelled)
 
 
 def refresh_summaries(spark, sf_dir):

@@ -3,9 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import clean, search, stats, windows
+from corpusflow.operators import clean, search, stats, topics, windows
 from corpusflow.operators.joins import update_by_key
-from corpusflow.plans import update
+from corpusflow.plans import store_queries, update
 from corpusflow.sources import exports, responses, store
 from corpusflow.sources.scratch import checkpoint_root
 from corpusflow.streaming.ingest import stream_ingest
@@ -331,3 +331,11 @@ def test_cards(spark):
     lengths = {r["ID"]: r["summary_length"] for r in search.fill_summary_length(df).collect()}
     assert lengths == {1: 2, 2: 4, 3: None}
     assert clean.nlp_articles(df).columns == df.columns
+
+
+def test_update_store_query_chooses_among_all_k(spark, sf_dir, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    monkeypatch.setattr(store_queries, "scratch_path", lambda *_: path)
+    store_queries.update_store(spark, sf_dir)
+    run = store.read_run_metadata(spark, path).first()
+    assert tuple(run["parameters"]["k_values_tested"]) == topics.K_FOR_UPDATE
