@@ -272,14 +272,14 @@ def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def separated_topics(spark, sf_dir):
     """K-Means where the clusters are known: the languages, by size."""
     k = _languages(spark, sf_dir).count()
-    return topics.cluster(_separated(spark, sf_dir), k, restarts=10)
+    return topics.cluster(_separated(spark, sf_dir), k)
 
 
 def best_k(spark, sf_dir):
     """The chosen number of clusters where it is known."""
     count = _languages(spark, sf_dir).count()
     k_values = tuple(range(2, count + 2))
-    _, scores = topics.select_k(_separated(spark, sf_dir), k_values, restarts=10)
+    _, scores = topics.select_k(_separated(spark, sf_dir), k_values)
     return spark.createDataFrame([(k_values[topics.choose(k_values, scores)],)], "best_k int")
 
 
