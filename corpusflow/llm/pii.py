@@ -4,7 +4,7 @@ Every text is read once. The base rules find e-mail addresses, IP addresses, car
 telephone numbers. Their spans are seeds: the words before a seed are a lexical
 pattern. Looser shapes give candidates that the base rules do not take, such as
 numbers without a plus sign or addresses with a written-out at sign. Patterns and
-values form a graph that is scored in rounds: a pattern is as good as the share of its
+values form a graph that is scored in rounds until no value is added: a pattern is as good as the share of its
 distinct values that are known to be of one kind, leaving out those that could yet turn
 out to be. The values of the seeds are known from the start, wherever they are met; a
 candidate value becomes known when a good pattern with enough known values stands before
@@ -47,7 +47,8 @@ SHAPES = (
 #: Digits that a loose number may have, by the kind it is taken for.
 LOOSE_DIGITS = {"card": (12, 19), "phone": (7, 15)}
 CONTEXT_CHARS = 64
-ROUNDS = 3
+#: Rounds end when no value is found anew; so many without an end are an error.
+MAX_ROUNDS = 1000
 #: A pattern counts for a kind with this share of its values, and this many known ones.
 MIN_CONFIDENCE = 0.95
 MIN_KNOWN = 8
@@ -171,7 +172,7 @@ def seed_values(occurrences: DataFrame) -> DataFrame:
 
 def bootstrap(
     occurrences: DataFrame,
-    rounds: int = ROUNDS,
+    max_rounds: int = MAX_ROUNDS,
     min_confidence: float = MIN_CONFIDENCE,
     min_known: int = MIN_KNOWN,
 ) -> tuple[DataFrame, DataFrame]:
@@ -203,8 +204,8 @@ def bootstrap(
         candidates.select("pattern", "kind", none("seed"), one("open"), F.col("seeded").alias("met"))
     )
     rest = candidates.filter("seeded = 0")
-    found = None
-    for _ in range(rounds):
+    found, count = None, 0
+    for _ in range(max_rounds):
         cast = votes
         if found is not None:
             met = rest.join(found, ["value", "kind"], "left_semi")
@@ -227,7 +228,10 @@ def bootstrap(
         if found is not None:
             best = found.unionByName(best.join(found, "value", "left_anti"))
         found = common.stored(best, "found")
-    return good, found
+        before, count = count, found.count()
+        if count == before:
+            return good, found
+    raise RuntimeError(f"no end after {max_rounds} rounds")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

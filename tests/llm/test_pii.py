@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from cases import ODD_TEXTS
 from pyspark.sql import functions as F
 
@@ -122,6 +123,23 @@ def test_seed_values_vote_for_the_patterns_they_are_met_behind(spark):
     assert [tuple(r) for r in values.collect()] == [("new", "phone")]
 
 
+def chain(spark, length):
+    """Patterns that share eight values with the next one each; the first has seeds."""
+    rows = [("p0", f"s{k}", "phone", []) for k in range(8)]
+    for i in range(length):
+        for pattern in (f"p{i}", f"p{i + 1}"):
+            rows += [(pattern, f"v{i}-{k}", None, ["phone"]) for k in range(8)]
+    return spark.createDataFrame(rows, "pattern string, value string, known string, kinds array<string>")
+
+
+def test_long_chains_of_patterns_are_followed_to_their_end(spark):
+    good, values = pii.bootstrap(chain(spark, 6))
+    assert {r["pattern"] for r in good.collect()} == {f"p{i}" for i in range(7)}
+    assert values.count() == 48
+    with pytest.raises(RuntimeError, match="no end"):
+        pii.bootstrap(chain(spark, 6), max_rounds=4)
+
+
 def test_texts_are_read_once_without_python(odd, plan):
     scanned = pii.scan(odd, "doc_id", "text")
     assert "Exchange" not in plan(scanned) and "Python" not in plan(scanned)
