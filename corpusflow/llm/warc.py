@@ -56,7 +56,7 @@ FILE_BYTES = 32 << 20
 PARTITION_BYTES = 32 << 20
 BATCH_BYTES = 8 << 20
 #: Bytes read at a time, and the most that headers may take.
-CHUNK, HEADER_LIMIT = 1 << 16, 1 << 20
+CHUNK = 1 << 16
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -174,11 +174,14 @@ class _Member:
         return b""
 
     def until(self, mark: bytes, plain: bytes = b"") -> tuple[bytes, bytes]:
-        """What comes before ``mark``, and what has been inflated behind it."""
-        while mark not in plain and len(plain) < HEADER_LIMIT and (piece := self.more()):
-            plain += piece
-        before, _, behind = plain.partition(mark)
-        return before, behind
+        """What comes before ``mark``, however long, and what has been inflated behind it."""
+        held, seen = bytearray(plain), 0
+        while (at := held.find(mark, seen)) < 0:
+            seen = max(0, len(held) - len(mark) + 1)
+            if not (piece := self.more()):
+                return bytes(held), b""
+            held += piece
+        return bytes(held[:at]), bytes(held[at + len(mark) :])
 
     def end(self) -> int:
         """Where the next member starts: by this one's stated size, or by inflating the rest."""

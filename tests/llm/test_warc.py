@@ -150,6 +150,24 @@ def test_a_broken_payload_is_noticed():
         list(warc.read_records(Counted(bytes(data)), {}, True))
 
 
+def test_headers_longer_than_a_megabyte():
+    url = "http://long.example/" + "x" * (3 << 20)
+    row = {
+        "record_id": "<urn:1>",
+        "record_type": "response",
+        "target_uri": url,
+        "date": "2024-01-01T00:00:00Z",
+        "refers_to": None,
+        "payload_digest": "sha256:1",
+        "payload_length": 4,
+        "payload": b"text",
+    }
+    revisit = row | {"record_type": "revisit", "refers_to": "<urn:1>", "payload": None}
+    stream = Counted(b"".join(warc.member(warc.record_bytes(r)) for r in (row, revisit)))
+    found = [dict(zip(row, r)) for r in warc.read_records(stream, {}, True)]
+    assert found == [row, revisit]
+
+
 def test_partitions_are_packed_by_size(tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "FILE_BYTES", 1000)
     monkeypatch.setattr(warc, "PARTITION_BYTES", 3000)
