@@ -74,3 +74,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         found.append(name)
     return found
+
+
+def sized(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
+    """Marked for a broadcast if its rows are small enough, else for a merge join.
+
+    ``df`` is stored, and no row takes more than ``row_bytes`` in memory.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df.hint("merge")

@@ -12,6 +12,8 @@ from corpusflow.llm import (
     byte_bpe,
     common,
     decontaminate,
+    exact_dedup,
+    hard_negatives,
     line_dedup,
     pii,
     quality,
@@ -19,6 +21,7 @@ from corpusflow.llm import (
     token_counts,
     token_store,
     url_filters,
+    vector_codes,
     warc,
 )
 from corpusflow.sources.scratch import scratch_path
@@ -300,6 +303,105 @@ SELECT page_id, day, host, coalesce(action, 'none') AS verdict, pattern, since
 FROM captures LEFT JOIN (SELECT * FROM met WHERE n = 1) USING (page_id)"""
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, their errors, and the codebooks' digest."""
+    found, codebooks = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("codebooks_sha256", F.lit(codebooks.digest()))
+
+
+def _op11_sql() -> str:
+    """Each round of the codebooks is a pair of subqueries."""
+    parts, size, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    assign = """near{r} AS MATERIALIZED (
+        SELECT vec_id, p, gap, place
+        FROM (SELECT vec_id, p, place,
+                list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT
+                    AS gap
+            FROM parts JOIN book{r} USING (p))
+        QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY gap, place) = 1),"""
+    update = """means{r} AS (
+        SELECT p, place, d, floor(sum(x[d]) / count(*))::BIGINT AS c
+        FROM near{r} JOIN parts USING (vec_id, p), generate_series(1, len(x)) g(d)
+        GROUP BY p, place, d),
+    book{next} AS MATERIALIZED (
+        SELECT p, place, coalesce(m.e, b.e) AS e
+        FROM book{r} b LEFT JOIN (
+            SELECT p, place, list(c ORDER BY d) AS e FROM means{r} GROUP BY p, place) m
+        USING (p, place)),"""
+    steps = [
+        assign.format(r=r) + ("\n    " + update.format(r=r, next=r + 1) if r < rounds else "")
+        for r in range(rounds + 1)
+    ]
+    return f"""WITH kept AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding,
+            lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v,
+            row_number() OVER (ORDER BY vec_id) - 1 AS n
+        FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    parts AS MATERIALIZED (
+        SELECT vec_id, p, n, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x
+        FROM kept, generate_series(0, {parts - 1}) g(p)),
+    book0 AS MATERIALIZED (SELECT p, n AS place, x AS e FROM parts WHERE n < {size}),
+    {" ".join(steps)}
+    coded AS (
+        SELECT vec_id, string_agg(format('{{:02x}}', place), '' ORDER BY p) AS code,
+            sum(gap)::BIGINT AS error
+        FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error,
+    (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, place)) FROM book{rounds})
+        AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+OP11_SQL = _op11_sql()
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row; every seventh has a label moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+OP12_SQL = f"""WITH kept AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    scored AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+            list_dot_product(a.v, b.v)::BIGINT AS score
+        FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id)
+            <= {hard_negatives.POSITIVES})
+SELECT anchor_id, positive_id,
+    (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT
+        AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND {hard_negatives.LEAST_PERCENT} * positive_score <= 100 * score
+    AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+    <= {hard_negatives.NEGATIVES}"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+OP13_SQL = """WITH hashed AS (
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+            AS text_sha256
+        FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM hashed WINDOW same AS (PARTITION BY text_sha256)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_line_dedup": op2_line_dedup,
@@ -311,6 +413,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash": op9_simhash,
     "op10_url_filters": op10_url_filters,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -318,4 +423,7 @@ SQL: dict[str, str] = {
     "op3_warc": OP3_SQL,
     "op4_quality_rules": OP4_SQL,
     "op10_url_filters": OP10_SQL,
+    "op11_vector_codes": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_exact_dedup": OP13_SQL,
 }
