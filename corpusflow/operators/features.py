@@ -52,14 +52,15 @@ def smooth_idf(documents: int, containing: int) -> float:
     return math.log((1 + documents) / (1 + containing)) + 1.0
 
 
-def term_document_counts(df: DataFrame, text: str) -> DataFrame:
-    """``(term, df, tf)`` over the whole corpus, in one pass and one shuffle.
+def term_document_counts(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, term, df, tf)`` over the whole corpus, in one pass and one shuffle.
 
     Every occurrence is an entry that counts for ``tf``, every distinct term of
     an article one that counts for ``df``; entries are combined before the
-    shuffle, so a term found everywhere costs no more than a rare one.
+    shuffle, so a term found everywhere costs no more than a rare one.  Counts of
+    parts (``by``) add up to those of the whole.
     """
-    tokens = df.select(tokenize(F.col(text)).alias("tokens"))
+    tokens = df.select(*by, tokenize(F.col(text)).alias("tokens"))
 
     def entries(terms, occurrences: int, documents: int):
         return F.transform(
@@ -75,8 +76,8 @@ def term_document_counts(df: DataFrame, text: str) -> DataFrame:
         entries(F.col("tokens"), 1, 0), entries(F.array_distinct("tokens"), 0, 1)
     )
     return (
-        tokens.select(F.inline(both))
-        .groupBy("term")
+        tokens.select(*by, F.inline(both))
+        .groupBy(*by, "term")
         .agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
     )
 
@@ -109,11 +110,18 @@ def select_vocabulary(
     documents = df.count()
     if max_df * documents < min_df:
         raise ValueError(f"{documents} documents are too few for min_df={min_df}")
-    return _frequent_terms(df, text, min_df, max_df * documents, max_features, stop)
+    counts = term_document_counts(df, text)
+    return frequent_terms(counts, min_df, max_df * documents, max_features, stop)
 
 
-def _frequent_terms(df, text, min_df, most_documents, max_features, stop) -> DataFrame:
-    counts = term_document_counts(df, text)
+def frequent_terms(
+    counts: DataFrame,
+    min_df: int,
+    most_documents: float,
+    max_features: int = MAX_FEATURES,
+    stop: Sequence[str] = TOPIC_STOP_WORDS,
+) -> DataFrame:
+    """The feature terms among ``counts(term, df, tf)``: most frequent first, ties by term."""
     if stop:
         counts = counts.filter(F.expr(f"term not in ({sql_strings(stop)})"))
     kept = counts.filter(F.col("df").between(F.lit(min_df), F.lit(most_documents)))
@@ -129,12 +137,24 @@ def fit_vocabulary(
     stop: Sequence[str] = TOPIC_STOP_WORDS,
 ) -> Vocabulary:
     """The feature terms of ``select_vocabulary`` (at most ``max_features`` rows)."""
-    documents = df.count()
+    counts = term_document_counts(df, text)
+    return vocabulary_of(counts, df.count(), min_df, max_df, max_features, stop)
+
+
+def vocabulary_of(
+    counts: DataFrame,
+    documents: int,
+    min_df: int = MIN_DOCUMENTS,
+    max_df: float = MAX_DOCUMENT_SHARE,
+    max_features: int = MAX_FEATURES,
+    stop: Sequence[str] = TOPIC_STOP_WORDS,
+) -> Vocabulary:
+    """The feature terms of a corpus whose ``counts(term, df, tf)`` are known."""
     if documents == 0:
         return Vocabulary((), (), 0)
     if max_df * documents < min_df:
         raise ValueError(f"{documents} documents are too few for min_df={min_df}")
-    terms = _frequent_terms(df, text, min_df, max_df * documents, max_features, stop)
+    terms = frequent_terms(counts, min_df, max_df * documents, max_features, stop)
     rows = sorted((row["term"], row["df"]) for row in terms.select("term", "df").collect())
     if not rows:
         raise ValueError("no term is frequent enough and not too frequent")

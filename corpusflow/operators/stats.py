@@ -143,6 +143,91 @@ def batch_stats(df: DataFrame, before: int, after: int) -> DataFrame:
     )
 
 
+# --- statistics that add up ------------------------------------------------
+
+SECTION_PARTS = (
+    "batch string, Section string, articles bigint, largest bigint, summaries bigint, "
+    "earliest string, latest string, first_day string, last_day string"
+)
+
+
+def section_parts(df: DataFrame, batch: str = "batch") -> DataFrame:
+    """Counts and bounds by batch and section: ``SECTION_PARTS``.
+
+    Parts of a store add up to the statistics of all of it, see ``merged_*``.  Columns
+    that ``df`` lacks are null.
+    """
+
+    def column(name: str, kind: str):
+        present = name in df.columns
+        return F.col(f"`{name}`").cast(kind) if present else F.lit(None).cast(kind)
+
+    date = column("Published Date", "string")
+    day = format_date(F.col("`Published Date`")) if "Published Date" in df.columns else date
+    rows = df.select(
+        F.col(batch).alias("batch"),
+        column("Section", "string").alias("Section"),
+        column("ID", "bigint").alias("id"),
+        column("summary", "string").isNotNull().alias("summarized"),
+        date.alias("date"),
+        day.cast("string").alias("day"),
+    )
+    return rows.groupBy("batch", "Section").agg(
+        F.count("*").alias("articles"),
+        F.max("id").alias("largest"),
+        F.count_if("summarized").alias("summaries"),
+        F.min("date").alias("earliest"),
+        F.max("date").alias("latest"),
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
+    )
+
+
+def merged_stats(parts: DataFrame, has_summaries: bool, has_topics: bool) -> DataFrame:
+    """``store_stats`` of a store, from its ``section_parts``."""
+    return parts.agg(
+        F.coalesce(F.sum("articles"), F.lit(0)).alias("total_articles"),
+        F.min("earliest").alias("earliest"),
+        F.max("latest").alias("latest"),
+        F.lit(has_summaries).alias("has_summaries"),
+        F.lit(has_topics).alias("has_topics"),
+        F.current_timestamp().cast("string").alias("last_updated"),
+    )
+
+
+def merged_status(parts: DataFrame) -> DataFrame:
+    """``store_status`` of a store, from its ``section_parts``."""
+    # One row a section, so that the distinct count meets few rows.
+    sections = parts.groupBy("Section").agg(
+        F.sum("articles").alias("articles"),
+        F.sum("summaries").alias("summaries"),
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"),
+    )
+    return sections.agg(
+        F.coalesce(F.sum("articles"), F.lit(0)).alias("total_articles"),
+        F.count("*").alias("sections"),
+        (F.coalesce(F.sum("summaries"), F.lit(0)) > 0).alias("has_summaries"),
+        F.min("first_day").alias("earliest"),
+        F.max("last_day").alias("latest"),
+    )
+
+
+def merged_counts(parts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``store_counts`` of a store, from its ``section_parts`` and ``labels(ID, Topic)``."""
+    found = parts.filter("Section IS NOT NULL").select(
+        F.lit("section").alias("kind"), F.col("Section").alias("name"), "articles"
+    )
+    if labels is not None:
+        topics = labels.filter("Topic IS NOT NULL").groupBy("Topic")
+        found = found.unionByName(
+            topics.agg(F.count("*").alias("articles")).select(
+                F.lit("topic").alias("kind"), F.col("Topic").cast("string").alias("name"), "articles"
+            )
+        )
+    return found.groupBy("kind", "name").agg(F.sum("articles").alias("articles"))
+
+
 # --- sections and topics ---------------------------------------------------
 
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -21,6 +19,7 @@ from corpusflow import schema
 from corpusflow.functions.expr import sql_strings
 from corpusflow.functions.words import GENERIC_KEYWORDS
 from corpusflow.operators import features as X
+from corpusflow.operators import kmeans
 from corpusflow.operators.windows import top_n
 from corpusflow.sources.scratch import cut_lineage
 
@@ -32,10 +31,8 @@ MIN_ARTICLES = 11  # fewer are not clustered
 KEYWORDS_PER_TOPIC = 10
 # ---------------------------------------------------------------------------
 
-# Seeded runs of which the best one counts, and how many run side by side.
+# Seeded runs of which the best one counts.
 RESTARTS = 50
-RUNS_AT_ONCE = 8
-MAX_ITERATIONS = 1000
 
 
 # --- clustering ------------------------------------------------------------
@@ -54,27 +51,35 @@ def cluster(
     Labels are numbered by cluster size, largest first, then smallest key, so
     they do not depend on the order in which K-Means found the clusters.
     """
-    rows = df.select(key, features).persist()  # read in every round of every run
-
-    def fit(run: int):
-        return KMeans(
-            k=k,
-            seed=seed + run,
-            maxIter=MAX_ITERATIONS,
-            featuresCol=features,
-            predictionCol="_label",
-        ).fit(rows)
-
-    with ThreadPoolExecutor(RUNS_AT_ONCE) as pool:
-        best = min(pool.map(fit, range(restarts)), key=lambda model: model.summary.trainingCost)
-    rows.unpersist()
-    labels = best.transform(df).select(key, "_label")
-    sizes = labels.groupBy("_label").agg(
-        F.count("*").alias("n"), F.min(key).alias("first")
-    )
-    order = sorted(sizes.collect(), key=lambda row: (-row["n"], row["first"]))
-    number = F.array_position(F.lit([row["_label"] for row in order]), F.col("_label"))
-    return labels.select(key, (number - 1).cast("int").alias("topic"))
+    labelled = clustered(df, (k,), seed, restarts, features, key)
+    return labelled.select(key, F.get("topics", F.lit(0)).alias("topic"))
+
+
+def clustered(
+    df: DataFrame,
+    k_values: Sequence[int],
+    seed: int = SEED,
+    restarts: int = RESTARTS,
+    features: str = "components",
+    key: str = "ID",
+) -> DataFrame:
+    """Add ``topics``, the label for each of ``k_values``; no row is joined or lost."""
+    found = kmeans.fit(df, k_values, restarts, seed, features, key)
+    if not found:
+        return df.withColumn("topics", F.array().cast("array<int>"))
+    runs = [found[k] for k in k_values]
+    raw = kmeans.nearest(vector_to_array(features), runs)
+    labelled = cut_lineage(df.withColumn("topics", raw))
+    # One row for each k and label.
+    sizes = labelled.select(key, F.posexplode("topics").alias("run", "label"))
+    sizes = sizes.groupBy("run", "label").agg(F.count("*").alias("n"), F.min(key).alias("first"))
+    rows = sorted(sizes.collect(), key=lambda r: (-r["n"], r["first"] is None, r["first"]))
+    orders = [[r["label"] for r in rows if r["run"] == i] for i in range(len(runs))]
+    numbered = [
+        (F.array_position(F.lit(order), F.get("topics", F.lit(i))) - 1).cast("int")
+        for i, order in enumerate(orders)
+    ]
+    return labelled.withColumn("topics", F.array(*numbered))
 
 
 def cluster_centers(
@@ -141,21 +146,22 @@ def assign_topics(
 ) -> DataFrame:
     """Add ``Topic`` from ``labels(key, topic)``.
 
-    Every article needs exactly one label: a missing or repeated one fails the job, and
-    so do labels without an article.
+    Every article needs exactly one label: a missing or repeated one is an error, and so
+    is a label without an article.  Articles that repeat a key share its label.
     """
-    rows, labelled = df.count(), labels.count()
-    if rows != labelled:
-        raise ValueError(f"{labelled} labels for {rows} articles")
-    named = labels.groupBy(F.col(key).alias("_key")).agg(
-        F.count("*").alias("_labels"), F.first(topic).cast("int").alias("_topic")
-    )
+    # Only keys are compared, each once: the counts are combined before they meet.
+    mine = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_articles"))
+    given = labels.groupBy(F.col(key).alias("_of")).agg(F.count("*").alias("_labels"))
+    met = mine.join(given, F.col("_key").eqNullSafe(F.col("_of")), "full")
+    wrong = met.filter("_articles IS NULL OR _labels IS NULL OR _labels > 1").head()
+    if wrong is not None:
+        known = wrong["_key"] if wrong["_articles"] else wrong["_of"]
+        counts = f"{wrong['_labels'] or 0} labels, {wrong['_articles'] or 0} articles"
+        raise ValueError(f"not one label for article {known}: {counts}")
+    named = labels.select(F.col(key).alias("_key"), F.col(topic).cast("int").alias("_topic"))
     base = df.drop("Topic")
     joined = base.join(named, base[key].eqNullSafe(named["_key"]), "left")
-    single = F.when(F.col("_labels") == 1, F.col("_topic")).otherwise(
-        F.raise_error(F.concat(F.lit("not one label for article "), F.col(key).cast("string")))
-    )
-    return joined.select(*(base[c] for c in base.columns), single.alias("Topic"))
+    return joined.select(*(base[c] for c in base.columns), F.col("_topic").alias("Topic"))
 
 
 # --- cluster quality -------------------------------------------------------
@@ -257,13 +263,15 @@ def select_k(
 ) -> tuple[dict[int, DataFrame], list[float]]:
     """Labels and silhouette for each k.
 
-    ``df`` holds ``features`` (scored) and ``components`` (clustered).  The chosen
-    labels are reused; fitting again with the same seeds would repeat them.
+    ``df`` holds ``features`` (scored) and ``components`` (clustered).  All k are
+    clustered in the same passes, and rows are scored where they were labelled.
     """
+    labelled = clustered(df, k_values, seed, restarts, key=key)
     labels, scores = {}, []
-    for k in k_values:
-        labels[k] = cut_lineage(cluster(df, k, seed, restarts, key=key))
-        scores.append(silhouette(df.join(labels[k], key), key=key))
+    for i, k in enumerate(k_values):
+        topic = F.get("topics", F.lit(i)).alias("topic")
+        labels[k] = labelled.select(key, topic)
+        scores.append(silhouette(labelled.select("features", topic)))
     return labels, scores
 
 
@@ -282,10 +290,14 @@ def fit_topics(
     seed: int = SEED,
     restarts: int = RESTARTS,
     key: str = "ID",
+    vocabulary: X.Vocabulary | None = None,
 ) -> TopicModel:
-    """TF-IDF, PCA, K-Means for each k, keywords of the best one."""
+    """TF-IDF, PCA, K-Means for each k, keywords of the best one.
+
+    A ``vocabulary`` that is known already spares counting the terms of all texts.
+    """
     texts = df.select(key, F.coalesce(text, F.lit("")).alias(text))
-    vocabulary = X.fit_vocabulary(texts, text)
+    vocabulary = vocabulary or X.fit_vocabulary(texts, text)
     vectors = X.tfidf_vectors(texts, vocabulary, text).select(key, "features")
     # K-Means reads its input dozens of times: keep the small projection and
     # the sparse weights in reliable storage.
@@ -344,10 +356,11 @@ def reprocess_topics(
     k_values: Sequence[int] = K_FOR_UPDATE,
     phase: str = "store update",
     key: str = "ID",
+    vocabulary: X.Vocabulary | None = None,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Articles with new topics, and the run's metadata; None for few articles."""
     if df.limit(MIN_ARTICLES).count() < MIN_ARTICLES:
         return None
-    model = fit_topics(df, k_values, key=key)
+    model = fit_topics(df, k_values, key=key, vocabulary=vocabulary)
     assigned = assign_topics(df, model.labels, key)
     return assigned, topic_metadata(assigned, model, phase)

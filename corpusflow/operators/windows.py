@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +40,12 @@ def dedup_by_title(df: DataFrame, title: str = "Title", key: str = "ID") -> Data
 
 
 def assign_ids(
-    df: DataFrame, start: int, order: Sequence[str], key: str = "ID"
+    df: DataFrame, start: int | Callable[[int], int], order: Sequence[str], key: str = "ID"
 ) -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` in the given order.
 
+    ``start`` may be a function of the number of rows, called once they are counted.
+
     Rows are range-partitioned and sorted, written once so that later reads see
     the same partitions, and numbered inside each partition; only the row count
     of each partition is collected.  Rows equal in ``order`` are ordered by their
@@ -64,7 +66,8 @@ def assign_ids(
         }
     )
     counts = marked.groupBy("_part").agg(F.count("*").alias("n")).collect()
-    offsets, before = [], start
+    offsets = []
+    before = start(sum(part["n"] for part in counts)) if callable(start) else start
     for part in sorted(counts, key=lambda r: r["_part"]):
         offsets.append((part["_part"], before))
         before += part["n"]

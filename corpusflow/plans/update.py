@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from corpusflow.functions.text import is_blank
 from corpusflow.operators import clean, stats, summarize, topics
 from corpusflow.operators import features as X
-from corpusflow.sources import exports, store
+from corpusflow.sources import exports, log, store
+from corpusflow.sources.log import Conflict
 from corpusflow.sources.scratch import cut_lineage
 
 REGENERATED = "topics found anew"
@@ -33,16 +34,21 @@ def append_batch(
     The first batch keeps IDs it already has, unless ``renumber`` is set.
     """
     label = label or store.new_label()
-    if store.store_exists(spark, path):
-        start = store.largest_id(spark, path, but=label)
-        numbered = store.number_new(new, start)
-    elif renumber:
-        numbered = store.number_new(new, 0)
-    else:
-        numbered = store.append_articles(None, new)
+
+    def reserve(count: int) -> int:
+        return store.reserve(spark, path, label, count)
+
+    own_ids = "ID" in new.columns and not renumber and not store.store_exists(spark, path)
+    numbered = new if own_ids else store.number_new(new, reserve)
     if {"Content", "cleaned_text"} & set(numbered.columns):
         numbered = summarize.fill_missing_summaries(numbered)
-    store.write_batch(numbered, path, label)
+    try:
+        store.write_batch(numbered, path, label, alone=own_ids)
+    except Conflict:
+        if not own_ids:
+            raise
+        # Another writer's batch is the first one: this one is numbered after it.
+        append_batch(spark, new, path, label, renumber=True)
     return label
 
 
@@ -68,11 +74,14 @@ def update_store(
 def _topic_run(
     spark: SparkSession, path: str, k_values: Sequence[int], **phase: str
 ) -> bool:
-    rows = store.read_store(spark, path, topics=False)
-    if rows.limit(topics.MIN_ARTICLES).count() < topics.MIN_ARTICLES:
+    """Topics of the whole store; the vocabulary is merged from the counts of its batches."""
+    articles = stored_stats(spark, path).first()["total_articles"]
+    if articles < topics.MIN_ARTICLES:
         return False
-    texts = rows.select("ID", "processed_text")
-    store.write_topics(*topics.reprocess_topics(texts, k_values, **phase), path)
+    texts = store.read_store(spark, path, topics=False).select("ID", "processed_text")
+    vocabulary = X.vocabulary_of(store.term_counts(spark, path), articles)
+    found = topics.reprocess_topics(texts, k_values, vocabulary=vocabulary, **phase)
+    store.write_topics(*found, path)
     return True
 
 
@@ -90,19 +99,46 @@ def refresh_summaries(spark: SparkSession, path: str) -> bool:
     """
     if not store.store_exists(spark, path):
         return False
-    rows = store.read_batches(spark, path)
+    state = log.read(spark, path)
+    rows = store.read_batches(spark, path, state.version)
     if "summary" not in rows.columns:
         rows = rows.withColumn("summary", F.lit(None).cast("string"))
     open_batches = rows.filter(is_blank(F.col("summary"))).select(store.BATCH).distinct()
     open_batches = cut_lineage(open_batches)  # one row per appended batch
-    if open_batches.isEmpty():
-        return True
-    closed = rows.join(open_batches, store.BATCH, "left_semi")
-    # The files are replaced, so the new rows must not depend on them.
-    store.write_batches(cut_lineage(summarize.fill_missing_summaries(closed)), path)
+    merged = F.col(store.BATCH).isin(state.base["labels"] if state.base else [])
+    if not open_batches.filter(~merged).isEmpty():
+        closed = rows.filter(~merged).join(open_batches, store.BATCH, "left_semi")
+        store.write_batches(summarize.fill_missing_summaries(closed), path)
+    if not open_batches.filter(merged).isEmpty():
+        base = rows.filter(merged)
+        store.rewrite_base(summarize.fill_missing_summaries(base), path, log.read(spark, path))
     return True
 
 
+# --- statistics of a store, without reading its articles ---------------------
+
+
+def stored_stats(spark: SparkSession, path: str) -> DataFrame:
+    """``stats.store_stats`` of the whole store."""
+    columns = store.column_names(spark, path)
+    topics_known = "Topic" in columns or store.latest_run(spark, path) is not None
+    return stats.merged_stats(
+        store.read_statistics(spark, path), "summary" in columns, topics_known
+    )
+
+
+def stored_status(spark: SparkSession, path: str) -> DataFrame:
+    """``stats.store_status`` of the whole store."""
+    return stats.merged_status(store.read_statistics(spark, path))
+
+
+def stored_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``stats.store_counts`` of the whole store, with the topics of the latest run."""
+    return stats.merged_counts(
+        store.read_statistics(spark, path), store.read_labels(spark, path)
+    )
+
+
 def chart_tables(
     df: DataFrame, keywords: DataFrame, k: int, n: int = 10
 ) -> dict[str, DataFrame]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -24,7 +27,49 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(hadoop_path))
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """An empty file."""
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    system, hadoop_path = _resolve(spark, path)
+    stream = system.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with all its content at once; False if it exists already.
+
+    Of several writers of one path exactly one succeeds: the text is written beside the
+    path and moved there by a rename (on a local disk: a link) that never replaces.
+    """
+    system, target = _resolve(spark, path)
+    system.mkdirs(target.getParent())
+    beside = spark._jvm.org.apache.hadoop.fs.Path(
+        target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}"
+    )
+    stream = system.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if system.getScheme() == "file":
+            os.link(beside.toUri().getPath(), system.makeQualified(target).toUri().getPath())
+        else:
+            hadoop = spark._jvm.org.apache.hadoop.fs
+            never = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+            never[0] = hadoop.Options.Rename.NONE
+            context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+            context.rename(system.makeQualified(beside), system.makeQualified(target), never)
+        return True
+    except Exception:  # one file system reports it in one way, another in another
+        if not system.exists(target):
+            raise
+        return False
+    finally:
+        system.delete(beside, False)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, or a file."""
     system, hadoop_path = _resolve(spark, path)
-    system.create(hadoop_path, True).close()
+    system.delete(hadoop_path, True)

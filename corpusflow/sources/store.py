@@ -1,31 +1,42 @@
-"""The article store: append-only Parquet tables under one folder.
-
-``articles/batch=<label>/``  the article rows, one partition per appended batch
-``topics/run=<label>/``      ``(ID, Topic)`` of one topic run
-``metadata/run=<label>/``    that run's parameters and keywords, written last
-``records/batch=<label>/``   the batch's schema and largest ID, written last
-
-An update writes a new batch and leaves earlier ones alone; a topic run writes
-one narrow table instead of every article again.  A batch is written by
-partition overwrite, so repeating it after a failure replaces it.  A batch without a
-finished record is not read.  One writer at a time.
+"""The article store: immutable Parquet folders under one path, and a log of versions.
+
+``articles/write=<id>/batch=<label>/``    the article rows of one write, by batch
+``statistics/write=<id>/``                that write's counts and bounds, by batch and section
+``terms/part=<id>/write=<id>/batch=<label>/``  term counts, made when first needed
+``base/write=<id>/``                      consolidated rows, bucketed by ``ID``
+``topics/run=<label>/``                   ``(ID, Topic)`` of one topic run, bucketed as the base
+``metadata/run=<label>/``                 that run's parameters and keywords
+``log/``                                  numbered commits that name the folders of each version
+
+An update writes new folders and leaves earlier ones alone.  What no commit names is not
+read, so a half-written batch does not exist; repeating a label replaces its batch.  Any
+number of writers may append at a time.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import json
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from corpusflow.operators import features, stats
 from corpusflow.operators.windows import assign_ids
-from corpusflow.sources import exports, files
+from corpusflow.sources import buckets, exports, files, log
 
 BATCH = "batch"
-DONE = "_DONE"  # in the folder of a finished record
+WRITE = "write"
+#: The text whose terms are counted.
+TERMS_OF = "processed_text"
+#: Articles of a bucket that consolidation aims at.
+BUCKET_ARTICLES = 1 << 20
+LABELS = StructType([StructField("ID", LongType()), StructField("Topic", IntegerType())])
 
 
 def new_label() -> str:
@@ -34,114 +45,279 @@ def new_label() -> str:
     return f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def _finished_runs(spark: SparkSession, path: str) -> list[str]:
-    """Labels of the topic runs that were written completely."""
-    names = files.child_names(spark, f"{path}/metadata")
-    return [
-        name.removeprefix("run=")
-        for name in names
-        if files.exists(spark, f"{path}/metadata/{name}/_SUCCESS")
-    ]
+def store_exists(spark: SparkSession, path: str) -> bool:
+    state = log.read(spark, path)
+    return bool(state.batches or state.base)
+
+
+def current_version(spark: SparkSession, path: str) -> int:
+    """A snapshot: this number reads what the store holds now, whatever is written later."""
+    return log.read(spark, path).version
+
+
+# --- reading -----------------------------------------------------------------
 
 
-def _finished_batches(spark: SparkSession, path: str) -> list[str]:
-    """Labels of the batches that were written completely."""
-    names = files.child_names(spark, f"{path}/records")
+def _schema(state: log.State) -> StructType:
+    """All columns of all parts, in order of first appearance."""
+    numbers = [b["schema"] for b in state.batches.values()]
+    numbers = ([state.base["schema"]] if state.base else []) + numbers
+    fields: dict[str, StructField] = {}
+    for number in dict.fromkeys(numbers):
+        for field in StructType.fromJson(json.loads(state.schemas[number])).fields:
+            fields.setdefault(field.name, field)
+    return StructType(list(fields.values()))
+
+
+def _folders(path: str, kind: str, state: log.State) -> list[str]:
     return [
-        name.removeprefix(f"{BATCH}=")
-        for name in names
-        if files.exists(spark, f"{path}/records/{name}/{DONE}")
+        f"{path}/{kind}/{WRITE}={b['write']}/{BATCH}={label}" for label, b in state.batches.items()
     ]
 
 
-def store_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_finished_batches(spark, path))
+def _recent(spark: SparkSession, path: str, state: log.State) -> DataFrame:
+    """Rows of the batches that are not consolidated, with their ``batch``."""
+    columns = StructType([*_schema(state).fields, StructField(BATCH, StringType())])
+    read = spark.read.schema(StructType([*columns.fields, StructField(WRITE, StringType())]))
+    folders = _folders(path, "articles", state)
+    rows = read.option("basePath", f"{path}/articles").parquet(*folders) if folders else None
+    if rows is None:
+        return spark.createDataFrame([], columns)
+    return rows.select(*(F.col(f"`{name}`") for name in columns.names))
 
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    """``(columns, largest, batch)``: one narrow row per finished batch."""
-    read = spark.read.schema(f"columns string, largest bigint, {BATCH} string")
-    paths = [f"{path}/records/{BATCH}={label}" for label in _finished_batches(spark, path)]
-    return read.option("basePath", f"{path}/records").json(paths)
+def _base(spark: SparkSession, path: str, state: log.State) -> DataFrame:
+    """Rows of the consolidated part, bucketed, with their ``batch``."""
+    own = StructType.fromJson(json.loads(state.schemas[state.base["schema"]]))
+    own = StructType([*own.fields, StructField(BATCH, StringType())])
+    folder = f"{path}/base/{WRITE}={state.base['write']}"
+    return buckets.read_bucketed(spark, folder, own, "ID", state.base["buckets"])
 
 
-def _read_schema(spark: SparkSession, path: str) -> StructType:
-    """All columns of all batches, in order of first appearance."""
-    fields: dict[str, StructField] = {}
-    # One row per distinct schema, however many batches there are.
-    schemas = _records(spark, path).groupBy("columns")
-    for row in schemas.agg(F.min(BATCH).alias("first")).orderBy("first").collect():
-        for field in StructType.fromJson(json.loads(row["columns"])).fields:
-            fields.setdefault(field.name, field)
-    return StructType(list(fields.values()))
+def _parts(spark: SparkSession, path: str, state: log.State) -> list[DataFrame]:
+    parts = [_base(spark, path, state)] if state.base else []
+    return parts + ([_recent(spark, path, state)] if state.batches or not parts else [])
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Article rows of finished batches with their ``batch``; columns a batch lacks are null."""
-    columns = _read_schema(spark, path).add(BATCH, StringType())
-    rows = spark.read.schema(columns).parquet(f"{path}/articles")
-    return rows.filter(F.col(BATCH).isin(_finished_batches(spark, path)))
+def _together(parts: list[DataFrame], columns: list[str]) -> DataFrame:
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.select(*(F.col(f"`{name}`") for name in columns))
 
 
-def latest_run(spark: SparkSession, path: str) -> str | None:
-    return max(_finished_runs(spark, path), default=None)
+def read_batches(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Article rows with their ``batch``; columns that a batch lacks are null."""
+    state = log.read(spark, path, version)
+    return _together(_parts(spark, path, state), [*_schema(state).names, BATCH])
 
 
-def read_store(spark: SparkSession, path: str, topics: bool = True) -> DataFrame:
-    """All articles, with ``Topic`` of the latest run unless not wanted."""
-    articles = read_batches(spark, path).drop(BATCH)
-    run = latest_run(spark, path) if topics else None
-    if run is None:
-        return articles
-    labels = spark.read.schema("ID bigint, Topic int").parquet(f"{path}/topics/run={run}")
-    return articles.drop("Topic").join(labels, "ID", "left")
+def latest_run(spark: SparkSession, path: str, version: int | None = None) -> str | None:
+    runs = log.read(spark, path, version).runs
+    return runs[-1]["label"] if runs else None
+
+
+def _labels(spark: SparkSession, path: str, run: dict) -> DataFrame:
+    folder = f"{path}/topics/run={run['folder']}"
+    if run["buckets"]:
+        return buckets.read_bucketed(spark, folder, LABELS, "ID", run["buckets"])
+    return spark.read.schema(LABELS).parquet(folder)
+
 
+def read_labels(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """``(ID, Topic)`` of the latest topic run, without reading articles."""
+    runs = log.read(spark, path, version).runs
+    return _labels(spark, path, runs[-1]) if runs else None
 
-def read_run_metadata(spark: SparkSession, path: str) -> DataFrame | None:
-    run = latest_run(spark, path)
+
+def read_store(
+    spark: SparkSession, path: str, topics: bool = True, version: int | None = None
+) -> DataFrame:
+    """All articles, with ``Topic`` of the latest run unless not wanted.
+
+    Consolidated articles meet their labels bucket by bucket and stay where they are;
+    only the rows of batches that came later are moved to their labels.
+    """
+    state = log.read(spark, path, version)
+    columns = _schema(state).names
+    parts = _parts(spark, path, state)
+    if not topics or not state.runs:
+        return _together(parts, columns)
+    labels = _labels(spark, path, state.runs[-1])
+    # A hash table of one bucket's labels: the articles are not even sorted.
+    labelled = [part.drop("Topic").join(labels.hint("shuffle_hash"), "ID", "left") for part in parts]
+    rest = [name for name in columns if name not in ("ID", "Topic")]
+    return _together(labelled, ["ID", *rest, "Topic"])
+
+
+def read_run_metadata(
+    spark: SparkSession, path: str, version: int | None = None
+) -> DataFrame | None:
+    run = latest_run(spark, path, version)
     if run is None:
         return None
     return exports.read_topic_metadata(spark, f"{path}/metadata/run={run}")
 
 
-def largest_id(spark: SparkSession, path: str, but: str | None = None) -> int:
-    """Largest ID in the store, leaving out batch ``but``; 0 when empty.
+def largest_id(spark: SparkSession, path: str) -> int:
+    """Largest ID given away so far; 0 when none is.  Taken from the log alone."""
+    return log.read(spark, path).next_id
+
 
-    Taken from the records, not from the articles.
+# --- statistics and terms by parts ---------------------------------------------
+
+
+def read_statistics(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The parts of ``stats.section_parts`` of all live batches: no article is read."""
+    state = log.read(spark, path, version)
+    writes = sorted({b["write"] for b in state.batches.values()})
+    if state.base:
+        writes.append(state.base["write"])
+    if not writes:
+        return spark.createDataFrame([], stats.SECTION_PARTS)
+    schema = f"{stats.SECTION_PARTS}, {WRITE} string"
+    read = spark.read.schema(schema).option("basePath", f"{path}/statistics")
+    rows = read.parquet(*(f"{path}/statistics/{WRITE}={w}" for w in writes))
+    # Replaced batches of a write that has others still in use are left out.
+    live = [f"{b['write']}/{label}" for label, b in state.batches.items()]
+    place = F.concat_ws("/", WRITE, BATCH)
+    alive = place.isin(live) if live else F.lit(False)
+    if state.base:
+        alive |= F.col(WRITE) == state.base["write"]
+    return rows.filter(alive).drop(WRITE)
+
+
+def column_names(spark: SparkSession, path: str) -> list[str]:
+    return _schema(log.read(spark, path)).names
+
+
+def term_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``(term, df, tf)`` over the store, merged from counts kept for each batch.
+
+    Only texts of batches without counts are read, which are those written since the last
+    call; the counts of all others are there already.
     """
-    records = _records(spark, path)
-    if but is not None:
-        records = records.filter(F.col(BATCH) != but)
-    return records.agg(F.max("largest")).first()[0] or 0
+    state = log.read(spark, path)
+    if TERMS_OF not in _schema(state).names:
+        raise ValueError(f"no column {TERMS_OF}")
+    _count_terms(spark, path, state)
+    return _merged_terms(spark, path, state)
+
+
+def _count_terms(spark: SparkSession, path: str, state: log.State) -> None:
+    """Counts the terms of the batches that have no counts, in one pass; adds to ``state``."""
+    open_ = {k: b for k, b in state.batches.items() if b["write"] not in state.terms}
+    if not open_:
+        return
+    texts = _recent(spark, path, dataclasses.replace(state, batches=open_, base=None))
+    if TERMS_OF not in texts.columns:
+        texts = texts.withColumn(TERMS_OF, F.lit(None).cast("string"))
+    writes = F.create_map(*(F.lit(x) for k, b in open_.items() for x in (k, b["write"])))
+    texts = texts.withColumn(WRITE, F.element_at(writes, F.col(BATCH)))
+    counts = features.term_document_counts(texts, TERMS_OF, (WRITE, BATCH))
+    part = f"part={uuid.uuid4().hex}"
+    counts.write.partitionBy(WRITE, BATCH).parquet(f"{path}/terms/{part}")
+    found = [
+        {"do": "terms", "write": write, "folder": f"{part}/{WRITE}={write}"}
+        for write in sorted({b["write"] for b in open_.values()})
+    ]
+    log.commit(spark, path, lambda _: found)
+    for action in found:
+        state.apply(action)
 
 
-def write_batch(df: DataFrame, path: str, label: str) -> None:
-    """Write (or replace) one batch."""
-    write_batches(df.withColumn(BATCH, F.lit(label)), path)
+def _merged_terms(spark: SparkSession, path: str, state: log.State) -> DataFrame:
+    folders = [
+        f"{path}/terms/{state.terms[b['write']]}/{BATCH}={label}"
+        for label, b in state.batches.items()
+    ]
+    if state.base:
+        folders.append(f"{path}/terms/{state.terms[state.base['write']]}")
+    # A batch without any term has no folder.
+    there = [folder for folder in folders if files.exists(spark, folder)]
+    kind = "term string, df bigint, tf bigint"
+    if not there:
+        return spark.createDataFrame([], kind)
+    counts = spark.read.schema(kind).parquet(*there).groupBy("term")
+    return counts.agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+
+
+# --- writing -----------------------------------------------------------------
+
+
+def write_batch(df: DataFrame, path: str, label: str, alone: bool = False) -> None:
+    """Write (or replace) one batch.
+
+    ``alone``: it has IDs of its own choice, so there must be no other batch.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", label):
+        raise ValueError(f"not a batch label: {label}")
+
+    def check(state: log.State) -> None:
+        if alone and (state.base or state.batches.keys() - {label}):
+            raise log.Conflict("another batch was written first")
+
+    write_batches(df.withColumn(BATCH, F.lit(label)), path, check)
 
 
-def write_batches(df: DataFrame, path: str) -> None:
-    """Write (or replace) all batches that ``df`` has rows of, in one job each for the
-    articles and the records."""
+def write_batches(
+    df: DataFrame, path: str, check: Callable[[log.State], None] | None = None
+) -> None:
+    """Write (or replace) all batches that ``df`` has rows of, in one commit.
+
+    ``check`` sees the state that the commit follows and may raise ``log.Conflict``.
+    """
     spark = df.sparkSession
-    overwrite = {"mode": "overwrite", "partitionOverwriteMode": "dynamic"}
-    df.write.partitionBy(BATCH).options(**overwrite).mode("overwrite").parquet(f"{path}/articles")
+    write = uuid.uuid4().hex
+    folder = f"{path}/articles/{WRITE}={write}"
+    df.write.partitionBy(BATCH).parquet(folder)
     columns = df.drop(BATCH).schema
-    # only the IDs of what was just written are read
-    written = spark.read.schema(StructType([*columns.fields, StructField(BATCH, StringType())]))
-    labels = [r[BATCH] for r in df.select(BATCH).distinct().collect()]
-    rows = written.option("basePath", f"{path}/articles").parquet(
-        *(f"{path}/articles/{BATCH}={label}" for label in labels)
-    )
-    identity = F.max("ID").cast("bigint") if "ID" in columns.names else F.lit(0).cast("bigint")
-    records = rows.groupBy(BATCH).agg(identity.alias("largest"))
-    records = records.withColumn("columns", F.lit(columns.json()))
-    records.write.partitionBy(BATCH).options(**overwrite).mode("overwrite").json(f"{path}/records")
-    for label in labels:
-        files.touch(spark, f"{path}/records/{BATCH}={label}/{DONE}")
+    written = StructType([*columns.fields, StructField(BATCH, StringType())])
+    if not any(name.startswith(f"{BATCH}=") for name in files.child_names(spark, folder)):
+        return  # no rows
+    largest = _write_statistics(spark.read.schema(written).parquet(folder), path, write)
+
+    def change(state: log.State) -> list[log.Action]:
+        if check is not None:
+            check(state)
+        done = set(state.base["labels"]) & largest.keys() if state.base else ()
+        if done:
+            raise log.Conflict(f"already consolidated: {sorted(done)}")
+        return [
+            {"do": "batch", "label": k, "write": write, "schema": columns.json(), "largest": n}
+            for k, n in sorted(largest.items())
+        ]
+
+    log.commit(spark, path, change)
+
+
+def _write_statistics(rows: DataFrame, path: str, write: str) -> dict[str, int]:
+    """Keep the statistics of written rows; returns the largest ID of each batch."""
+    folder = f"{path}/statistics/{WRITE}={write}"
+    stats.section_parts(rows, BATCH).write.parquet(folder)
+    kept = rows.sparkSession.read.schema(stats.SECTION_PARTS).parquet(folder)
+    # One row a batch.
+    found = kept.groupBy(BATCH).agg(F.max("largest").alias("largest")).collect()
+    return {row[BATCH]: row["largest"] or 0 for row in found}
+
+
+def reserve(spark: SparkSession, path: str, label: str, count: int) -> int:
+    """The ID after which ``count`` rows of a batch are numbered; no other batch gets them.
+
+    A batch that is written again gets the IDs that it had, if they are enough.
+    """
 
+    def change(state: log.State) -> list[log.Action]:
+        if state.ranges.get(label, (0, -1))[1] >= count:
+            return []
+        others = state.base or (state.batches.keys() | state.ranges.keys()) - {label}
+        start = state.next_id if others or label not in state.batches else 0
+        return [{"do": "reserve", "label": label, "start": start, "count": count}]
 
-def number_new(df: DataFrame, start: int) -> DataFrame:
+    return log.commit(spark, path, change)[0].ranges[label][0]
+
+
+def number_new(df: DataFrame, start: int | Callable[[int], int]) -> DataFrame:
     """New rows with IDs ``start + 1 ...`` in their own order."""
     order = ["ID"] if "ID" in df.columns else list(df.columns)
     return assign_ids(df, start, order)
@@ -160,18 +336,125 @@ def append_articles(store: DataFrame | None, new: DataFrame) -> DataFrame:
 
 
 def write_topics(df: DataFrame, metadata: DataFrame, path: str) -> None:
-    """Publish one topic run; the metadata, written last, makes it current."""
+    """Publish one topic run; the commit, made last, makes it current.
+
+    Labels lie in the buckets of the consolidated articles, if there are any.
+    """
+    spark = df.sparkSession
     label = new_label()
-    df.select("ID", F.col("Topic").cast("int")).write.parquet(
-        f"{path}/topics/run={label}"
-    )
     exports.write_topic_metadata(metadata, f"{path}/metadata/run={label}")
+    labels = df.select("ID", F.col("Topic").cast("int").alias("Topic"))
+    state = log.read(spark, path)
+    count = state.base["buckets"] if state.base else 0
+    log.commit(spark, path, lambda _: [_write_run(labels, path, label, count)])
+
+
+def _write_run(labels: DataFrame, path: str, label: str, count: int) -> log.Action:
+    folder = uuid.uuid4().hex
+    if count:
+        buckets.write_bucketed(labels, f"{path}/topics/run={folder}", "ID", count)
+    else:
+        labels.write.parquet(f"{path}/topics/run={folder}")
+    return {"do": "run", "label": label, "folder": folder, "buckets": count}
+
+
+def consolidate(spark: SparkSession, path: str, count: int | None = None) -> None:
+    """Merge all batches into the base: one file for each of ``count`` buckets of IDs.
+
+    The statistics, the term counts and the labels of the latest run come along, so that
+    reading the store with topics moves no article.  Batches written meanwhile stay beside
+    the base; a batch or a base replaced meanwhile is a conflict.
+    """
+    state = log.read(spark, path)
+    if not state.batches:
+        return
+    if count is None:
+        articles = read_statistics(spark, path, state.version).agg(F.sum("articles")).first()[0]
+        count = -(-articles // BUCKET_ARTICLES)
+    rows = read_batches(spark, path, state.version)
+    write = uuid.uuid4().hex
+    _count_terms(spark, path, state)
+    terms = f"part={uuid.uuid4().hex}/{WRITE}={write}"
+    _merged_terms(spark, path, state).write.parquet(f"{path}/terms/{terms}")
+    _replace_base(rows, path, state, sorted(state.batches), write, count, terms)
+
+
+def rewrite_base(rows: DataFrame, path: str, state: log.State) -> None:
+    """The rows of the base as ``rows``, which have the same texts: the terms stay."""
+    terms = state.terms[state.base["write"]]
+    count = state.base["buckets"]
+    _replace_base(rows, path, state, [], uuid.uuid4().hex, count, terms)
+
+
+def _replace_base(
+    rows: DataFrame,
+    path: str,
+    state: log.State,
+    labels: list[str],
+    write: str,
+    count: int,
+    terms: str,
+) -> None:
+    spark = rows.sparkSession
+    columns = rows.drop(BATCH).schema
+    buckets.write_bucketed(rows, f"{path}/base/{WRITE}={write}", "ID", count)
+    written = buckets.read_bucketed(
+        spark, f"{path}/base/{WRITE}={write}", rows.schema, "ID", count
+    )
+    kept = stats.section_parts(written.withColumn(BATCH, F.lit("base")), BATCH)
+    kept.write.parquet(f"{path}/statistics/{WRITE}={write}")
+    base = {"do": "base", "write": write, "buckets": count, "schema": columns.json()}
+    actions = [{**base, "labels": labels}, {"do": "terms", "write": write, "folder": terms}]
+    if state.runs and state.runs[-1]["buckets"] != count:
+        run = state.runs[-1]
+        actions.append(_write_run(_labels(spark, path, run), path, run["label"], count))
+
+    def change(now: log.State) -> list[log.Action]:
+        same = all(now.batches.get(k) == state.batches[k] for k in labels)
+        if not same or now.base != state.base:
+            raise log.Conflict("the store was changed meanwhile")
+        newer = now.runs[len(state.runs) :]
+        return [a for a in actions if a["do"] != "run" or not newer]
+
+    log.commit(spark, path, change)
+
+
+def vacuum(spark: SparkSession, path: str, version: int) -> list[str]:
+    """Delete the folders that only versions before ``version`` use; returns them.
+
+    Folders that no commit names yet may belong to a writer at work and stay.
+    """
+    last = log.read(spark, path)
+    needed, known = set(), set()
+    for number in range(last.version + 1):
+        named = set(_named_folders(log.read(spark, path, number)))
+        known |= named
+        if number >= version:
+            needed |= named
+    gone = sorted(known - needed)
+    for folder in gone:
+        files.delete(spark, f"{path}/{folder}")
+    return gone
+
+
+def _named_folders(state: log.State) -> list[str]:
+    folders = [
+        f"articles/{WRITE}={b['write']}/{BATCH}={label}" for label, b in state.batches.items()
+    ]
+    writes = {b["write"] for b in state.batches.values()}
+    if state.base:
+        writes.add(state.base["write"])
+        folders.append(f"base/{WRITE}={state.base['write']}")
+    folders += [f"statistics/{WRITE}={write}" for write in writes]
+    folders += [f"terms/{state.terms[write]}" for write in writes if write in state.terms]
+    return folders + [f"topics/run={run['folder']}" for run in state.runs]
 
 
 def snapshot(spark: SparkSession, path: str) -> str | None:
     """Copy the articles to ``<path>.backup_<time>``; None without a store.
 
-    A full copy, so only made when asked for.
+    A full copy for use outside the store, so only made when asked for; inside it
+    ``current_version`` is enough.
     """
     if not store_exists(spark, path):
         return None

@@ -271,16 +271,16 @@ def test_ties_and_groups(spark):
 
 
 def test_checked_clustering_takes_all_restarts(spark, sf_dir, monkeypatch):
-    taken, cluster = [], topics.cluster
+    taken, clustered = [], topics.clustered
 
     def counted(*args, **kwargs):
-        bound = inspect.signature(cluster).bind(*args, **kwargs)
+        bound = inspect.signature(clustered).bind(*args, **kwargs)
         bound.apply_defaults()
         taken.append(bound.arguments["restarts"])
         bound.arguments["restarts"] = 1
-        return cluster(*bound.args, **bound.kwargs)
+        return clustered(*bound.args, **bound.kwargs)
 
-    monkeypatch.setattr(topics, "cluster", counted)
+    monkeypatch.setattr(topics, "clustered", counted)
     topic_queries.separated_topics(spark, sf_dir)
     topic_queries.best_k(spark, sf_dir)
     assert len(taken) > 1 and set(taken) == {topics.RESTARTS}
