@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from corpusflow.functions.expr import bind, sql_let, sql_runs, sql_sum
 from corpusflow.functions.sentences import max_sentences, split_sentences
 from corpusflow.functions.sentences import token_sets as sentence_sets
-from corpusflow.sources.scratch import cut_lineage
+from corpusflow.sources import buckets, files
+from corpusflow.sources.scratch import cut_lineage, scratch_path
 
 # --- fixed values: graph and ranking rules ---------------------------------
 MIN_SIMILARITY = 0.1  # an edge needs strictly more
@@ -34,6 +35,11 @@ TOLERANCE = 1.0e-6  # per node, on the L1 change of one round
 MAX_ROUNDS = 100
 # ---------------------------------------------------------------------------
 
+#: Sentences of one token that are one key of a join.
+BLOCK_SENTENCES = 1000
+#: Rounds of joins between two writes of the ranks.
+ROUNDS_A_WRITE = 5
+
 
 def sentences(df: DataFrame, text: str = "Content", key: str = "ID") -> DataFrame:
     """One row per sentence: ``(key, pos, sentence)``."""
@@ -205,21 +211,27 @@ def by_size(df: DataFrame, text: str, row: str, limits: Limits = LIMITS) -> BySi
 # --- long articles ---------------------------------------------------------
 
 
-def shared_ids(sets: Column) -> Column:
-    """Tokens as numbers, rarest first: ``array<struct<node, size, ids>>``.
+def shared_ids(sets: Column, block: int = BLOCK_SENTENCES) -> Column:
+    """Tokens as numbers, rarest first: ``array<struct<node, size, ids, at>>``.
 
     ``size`` counts all tokens of the sentence.  Only tokens of at least two
     sentences get a number, in order of how many sentences have them; a sentence
-    without such a token is left out.
+    without such a token is left out.  The sentences of a token are cut into blocks
+    of ``block`` in their order: ``at`` has, for each of ``ids``, the sentence's
+    ``block`` and how many ``blocks`` the token has.
     """
     runs = f"filter({sql_runs('es.token', 'a')}, r -> r.length > 1)"
     rarest_first = f"""sort_array(transform({runs}, r ->
         named_struct('length', r.length, 'start', r.start)))"""
     pairs = f"""sort_array(flatten(transform({rarest_first}, (r, id) ->
-        transform(slice(es, r.start + 1, r.length), e ->
-            named_struct('node', e.node, 'id', id)))))"""
+        transform(slice(es, r.start + 1, r.length), (e, i) ->
+            named_struct('node', e.node, 'id', id,
+                'block', cast(i div {block} as int),
+                'blocks', cast((r.length - 1) div {block} + 1 as int))))))"""
     sentence = """named_struct('node', ns[r.start], 'size', size(sets[ns[r.start]]),
-        'ids', slice(ids, r.start + 1, r.length))"""
+        'ids', slice(ids, r.start + 1, r.length),
+        'at', transform(slice(ps, r.start + 1, r.length),
+            p -> named_struct('block', p.block, 'blocks', p.blocks)))"""
     per_node = f"transform({sql_runs('ns', 'b')}, r -> {sentence})"
     listed = sql_let("ps.node", "ns", sql_let("ps.id", "ids", per_node))
     numbered = sql_let(_sql_entries("sets"), "es", sql_let(pairs, "ps", listed))
@@ -231,7 +243,35 @@ def sentence_nodes(df: DataFrame, text: str, key: str) -> DataFrame:
     return df.select(key, token_sets(F.col(text)).alias("sets"))
 
 
-def joined_edges(nodes: DataFrame, key: str) -> DataFrame:
+def pair_entries(nodes: DataFrame, key: str, block: int = BLOCK_SENTENCES) -> tuple:
+    """Both sides of ``joined_edges``: ``(key, node, size, ids, token, low, high)``.
+
+    A token's sentences meet as pairs of its blocks, ``low <= high``: a sentence of the
+    left side meets its own block and all later ones, one of the right side its own and
+    all earlier ones.  So a pair of blocks has at most ``block`` rows a side, however
+    many sentences share the token, and no pair of sentences meets twice.
+    """
+    ids = shared_ids(F.col("sets"), block)
+    listed = nodes.select(key, F.inline(ids).alias("node", "size", "ids", "at"))
+    # Tokens of one sentence only come first and match nothing: skip them.
+    prefix = F.size("ids") - F.floor(F.col("size") / 10).cast("int")
+    first = F.slice(F.arrays_zip("ids", "at"), F.lit(1), F.greatest(prefix, F.lit(0)))
+    entries = listed.select(key, "node", "size", "ids", F.explode(first).alias("entry"))
+    own, count = F.col("entry.at.block"), F.col("entry.at.blocks")
+
+    def side(low: Column, high: Column) -> DataFrame:
+        pair = F.explode(F.sequence(low, high)).alias("other")
+        return entries.select(
+            key, "node", "size", "ids", F.col("entry.ids").alias("token"), own.alias("own"), pair
+        )
+
+    columns = [key, "node", "size", "ids", "token"]
+    left = side(own, count - 1).select(*columns, F.col("own").alias("low"), F.col("other").alias("high"))
+    right = side(F.lit(0), own).select(*columns, F.col("other").alias("low"), F.col("own").alias("high"))
+    return left, right
+
+
+def joined_edges(nodes: DataFrame, key: str, block: int = BLOCK_SENTENCES) -> DataFrame:
     """``(key, src, dst, weight)``, each edge once with ``src < dst``.
 
     A prefix join.  Similarity above 0.1 means that more than a tenth of the
@@ -240,23 +280,20 @@ def joined_edges(nodes: DataFrame, key: str) -> DataFrame:
     tokens of both ends; with the rarest token first, the tokens most sentences
     have are the ones left out.  A pair is accepted only at its *first* shared
     token, so each edge is found exactly once, and the similarity test is part of
-    the join condition, so pairs that are not edges never leave the join.
+    the join condition, so pairs that are not edges never leave the join.  A token
+    of very many sentences is many keys of the join, see ``pair_entries``.
     """
-    ids = shared_ids(F.col("sets"))
-    listed = nodes.select(key, F.inline(ids).alias("node", "size", "ids"))
-    # Tokens of one sentence only come first and match nothing: skip them.
-    prefix = F.size("ids") - F.floor(F.col("size") / 10).cast("int")
-    entries = listed.withColumn(
-        "token", F.explode(F.slice("ids", F.lit(1), F.greatest(prefix, F.lit(0))))
-    )
+    left, right = pair_entries(nodes, key, block)
     # Never broadcast: the size of the exploded side is not known when planning.
-    a, b = entries.alias("a").hint("merge"), entries.alias("b")
+    a, b = left.alias("a").hint("merge"), right.alias("b")
     shared = F.array_intersect("a.ids", "b.ids")
     sizes = F.col("a.size") + F.col("b.size")
     # shared / (sizes - shared) > 0.1, in whole numbers
     condition = (
         (F.col(f"a.{key}") == F.col(f"b.{key}"))
         & (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.low") == F.col("b.low"))
+        & (F.col("a.high") == F.col("b.high"))
         & (F.col("a.node") < F.col("b.node"))
         & (F.get(shared, F.lit(0)) == F.col("a.token"))
         & (F.size(shared) * 11 > sizes)
@@ -311,13 +348,59 @@ _LINKED = "array<struct<node:int,near:array<struct<node:int,weight:double>>>>"
 # --- huge articles ---------------------------------------------------------
 
 
+def _round(state: DataFrame, shares: DataFrame, key: str) -> DataFrame:
+    """One round: the newest of ``xs`` and ``zs`` moved along the shares and appended.
+
+    Shares stay where they are, and one aggregation brings each node its inflow together
+    with its own row, dealt out as the next round needs it.
+    """
+    own = F.when(F.col("share").isNull(), F.struct("n", "alone", "xs", "zs"))
+    moved = shares.join(state.hint("shuffle_hash"), [key, "node"]).select(
+        key,
+        F.col("to").alias("node"),
+        (F.element_at("xs", -1) * F.col("share")).alias("flow"),
+        own.alias("own"),
+    )
+    met = moved.groupBy(key, "node").agg(F.sum("flow").alias("inflow"), F.max("own").alias("own"))
+    row = met.select(key, "node", "inflow", "own.*")
+    passed = F.col("alone") * F.element_at("zs", -1) * DAMPING
+    base = (F.lit(1.0 - DAMPING) + passed) / F.col("n")
+    return row.select(
+        key,
+        "node",
+        "n",
+        "alone",
+        F.array_append("xs", base + F.col("inflow") * DAMPING).alias("xs"),
+        F.array_append("zs", base).alias("zs"),
+    )
+
+
+def _last_rounds(state: DataFrame, key: str, rounds: int, end: bool) -> DataFrame:
+    """``(key, last)``: after which of the latest ``rounds`` an article stops; null: goes on."""
+    changes = [
+        F.sum(F.abs(F.get("xs", F.lit(r + 1)) - F.get("xs", F.lit(r))))
+        + F.max(F.col("alone") * F.abs(F.get("zs", F.lit(r + 1)) - F.get("zs", F.lit(r))))
+        for r in range(rounds)
+    ]
+    small = [F.when(c < F.max("n") * F.lit(TOLERANCE), r + 1) for r, c in enumerate(changes)]
+    at_end = F.lit(rounds if end else None).cast("int")
+    return state.groupBy(key).agg(F.coalesce(*small, at_end).alias("last"))
+
+
 def spread_ranks(nodes: DataFrame, key: str) -> DataFrame:
     """``(key, n, linked, rest)``: the rules of ``rank_nodes`` as rounds of joins.
 
     ``linked`` is ``array<struct<node, rank>>`` for the nodes with neighbours, and
     ``rest`` is the rank of each of the others.  Articles without any edge do not
     appear.  An article stops at its own last round.
+
+    The shares of rank that flow along the edges are written once, in buckets of their
+    source, and never move again.  ``ROUNDS_A_WRITE`` rounds are one plan; the ranks of
+    all its rounds are written, and one aggregation over them finds where each article
+    stops.  What later rounds do not read is deleted.
     """
+    spark = nodes.sparkSession
+    root = scratch_path(spark, "ranks")
     edges = cut_lineage(joined_edges(nodes, key))
     both = edges.select(
         key,
@@ -332,50 +415,65 @@ def spread_ranks(nodes: DataFrame, key: str) -> DataFrame:
     shares = both.join(strength, [key, "node"]).select(
         key, "node", "to", (F.col("weight") / F.col("strength")).alias("share")
     )
-    shares = cut_lineage(shares)
+    # A share of null to itself carries a node's own row along.
+    itself = strength.select(key, "node", F.col("node").alias("to"), F.lit(None).alias("share"))
+    shares = shares.unionByName(itself)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets.write_bucketed(shares, f"{root}/shares", [key, "node"], parts)
+    shares = buckets.read_bucketed(spark, f"{root}/shares", shares.schema, [key, "node"], parts)
+
+    connected = shares.filter("share IS NULL").select(key, "node")
+    known = connected.groupBy(key).agg(F.count("*").alias("connected"))
     # One row per article.
-    sizes = nodes.select(key, F.size("sets").cast("double").alias("n"))
-    known = strength.groupBy(key).agg(F.count("*").alias("connected"))
-    sizes = cut_lineage(
-        sizes.join(known, key).withColumn("alone", F.col("n") - F.col("connected"))
+    sizes = nodes.select(key, F.size("sets").cast("double").alias("n")).join(known, key)
+    start = F.array(1.0 / F.col("n"))
+    state = connected.join(sizes, key).select(
+        key,
+        "node",
+        "n",
+        (F.col("n") - F.col("connected")).alias("alone"),
+        start.alias("xs"),
+        start.alias("zs"),
     )
-    start = 1.0 / F.col("n")
-    state = strength.select(key, "node").join(sizes, key)
-    state = cut_lineage(state.withColumns({"x": start, "z": start}))
-    base = (F.lit(1.0 - DAMPING) + F.col("alone") * F.col("z") * DAMPING) / F.col("n")
-    finished = []
-    for left in reversed(range(MAX_ROUNDS)):
-        moved = state.join(shares, [key, "node"]).groupBy(key, "to")
-        inflow = moved.agg(F.sum(F.col("x") * F.col("share")).alias("inflow"))
-        inflow = inflow.withColumnRenamed("to", "node")
-        after = cut_lineage(
-            state.join(inflow, [key, "node"]).withColumns(
-                {"x2": base + F.col("inflow") * DAMPING, "z2": base}
+    state = _kept(state, f"{root}/0", None)
+    done, number, before = 0, 0, f"{root}/0"
+    ended = spark.createDataFrame([], state.drop("xs", "zs").schema.add("x", "double").add("z", "double"))
+    ended.write.parquet(f"{root}/ended")
+    while done < MAX_ROUNDS:
+        rounds = min(ROUNDS_A_WRITE, MAX_ROUNDS - done)
+        for _ in range(rounds):
+            state = _round(state, shares, key)
+        number, done = number + 1, done + rounds
+        state = _kept(state, f"{root}/{number}", before)
+        before = f"{root}/{number}"
+        last = cut_lineage(_last_rounds(state, key, rounds, done >= MAX_ROUNDS))
+        kinds = {r["on"] for r in last.select(F.isnull("last").alias("on")).distinct().collect()}
+        marked = state.join(last, key)
+        if False in kinds:
+            stopped = marked.filter("last IS NOT NULL").select(
+                key,
+                "node",
+                "n",
+                "alone",
+                F.get("xs", F.col("last")).alias("x"),
+                F.get("zs", F.col("last")).alias("z"),
             )
-        )
-        change = F.sum(F.abs(F.col("x2") - F.col("x"))) + F.max(
-            F.col("alone") * F.abs(F.col("z2") - F.col("z"))
-        )
-        done = (change < F.max("n") * F.lit(TOLERANCE)).alias("done")
-        flags = cut_lineage(after.groupBy(key).agg(done))
-        stopped = flags.filter(F.col("done") | F.lit(left == 0)).select(key)
-        going = flags.filter(~F.col("done")).select(key)
-        moved_on = after.drop("x", "z", "inflow").withColumnsRenamed(
-            {"x2": "x", "z2": "z"}
-        )
-        ends = {r["done"] for r in flags.select("done").distinct().collect()}
-        if left == 0 or True in ends:
-            finished.append(moved_on.join(stopped, key, "left_semi"))
-        if left == 0 or False not in ends:
+            stopped.write.mode("append").parquet(f"{root}/ended")
+        if True not in kinds:
             break
-        state = moved_on.join(going, key, "left_semi")
-    if not finished:
-        finished = [state]
-    ranked = finished[0]
-    for rows in finished[1:]:
-        ranked = ranked.unionByName(rows)
+        state = marked.filter("last IS NULL").select(
+            key,
+            "node",
+            "n",
+            "alone",
+            F.slice("xs", -1, 1).alias("xs"),
+            F.slice("zs", -1, 1).alias("zs"),
+        )
+    files.delete(spark, before)
+    files.delete(spark, f"{root}/shares")
     # Linear in the article's text, which is one row already.
     nodes_of = F.collect_list(F.struct("node", F.col("x").alias("rank")))
+    ranked = spark.read.schema(ended.schema).parquet(f"{root}/ended")
     return ranked.groupBy(key).agg(
         F.max("n").cast("int").alias("n"),
         F.sort_array(nodes_of).alias("linked"),
@@ -383,6 +481,14 @@ def spread_ranks(nodes: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _kept(state: DataFrame, path: str, before: str | None) -> DataFrame:
+    """``state`` written and read again; what it was made from goes."""
+    state.write.parquet(path)
+    if before is not None:
+        files.delete(state.sparkSession, before)
+    return state.sparkSession.read.schema(state.schema).parquet(path)
+
+
 def dense_ranks(n: Column, linked: Column, rest: Column) -> Column:
     """All ranks by node from the columns of ``spread_ranks``.
 

@@ -1,4 +1,4 @@
-"""Folders bucketed by a key: joins of two of them on that key move no rows.
+"""Folders bucketed by keys: joins of two of them on these keys move no rows.
 
 Spark keeps the buckets of a folder in the catalog.  An entry is made for as long as it
 takes to write the folder or to resolve a frame over it, and leaves no trace.
@@ -7,6 +7,7 @@ takes to write the folder or to resolve a frame over it, and leaves no trace.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -16,11 +17,11 @@ def _name() -> str:
     return f"corpusflow_{uuid.uuid4().hex}"
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    """One file for each bucket, its rows sorted by the key."""
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """One file for each bucket, its rows sorted by the keys."""
     name = _name()
-    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
-    writer = dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = dealt.write.format("parquet").bucketBy(buckets, list(keys)).sortBy(list(keys))
     try:
         writer.option("path", path).saveAsTable(name)
     finally:
@@ -28,7 +29,7 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
 
 
 def read_bucketed(
-    spark: SparkSession, path: str, schema: StructType, key: str, buckets: int
+    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int
 ) -> DataFrame:
     """The rows of such a folder, of which Spark knows how they lie."""
     name = _name()
@@ -37,9 +38,10 @@ def read_bucketed(
         return "`" + text.replace("`", "``") + "`"
 
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(map(quoted, keys))
     place = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({quoted(key)}) "
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) "
         f"INTO {buckets} BUCKETS LOCATION '{place}'"
     )
     try:

@@ -91,7 +91,7 @@ def _base(spark: SparkSession, path: str, state: log.State) -> DataFrame:
     own = StructType.fromJson(json.loads(state.schemas[state.base["schema"]]))
     own = StructType([*own.fields, StructField(BATCH, StringType())])
     folder = f"{path}/base/{WRITE}={state.base['write']}"
-    return buckets.read_bucketed(spark, folder, own, "ID", state.base["buckets"])
+    return buckets.read_bucketed(spark, folder, own, ["ID"], state.base["buckets"])
 
 
 def _parts(spark: SparkSession, path: str, state: log.State) -> list[DataFrame]:
@@ -120,7 +120,7 @@ def latest_run(spark: SparkSession, path: str, version: int | None = None) -> st
 def _labels(spark: SparkSession, path: str, run: dict) -> DataFrame:
     folder = f"{path}/topics/run={run['folder']}"
     if run["buckets"]:
-        return buckets.read_bucketed(spark, folder, LABELS, "ID", run["buckets"])
+        return buckets.read_bucketed(spark, folder, LABELS, ["ID"], run["buckets"])
     return spark.read.schema(LABELS).parquet(folder)
 
 
@@ -352,7 +352,7 @@ def write_topics(df: DataFrame, metadata: DataFrame, path: str) -> None:
 def _write_run(labels: DataFrame, path: str, label: str, count: int) -> log.Action:
     folder = uuid.uuid4().hex
     if count:
-        buckets.write_bucketed(labels, f"{path}/topics/run={folder}", "ID", count)
+        buckets.write_bucketed(labels, f"{path}/topics/run={folder}", ["ID"], count)
     else:
         labels.write.parquet(f"{path}/topics/run={folder}")
     return {"do": "run", "label": label, "folder": folder, "buckets": count}
@@ -397,9 +397,9 @@ def _replace_base(
 ) -> None:
     spark = rows.sparkSession
     columns = rows.drop(BATCH).schema
-    buckets.write_bucketed(rows, f"{path}/base/{WRITE}={write}", "ID", count)
+    buckets.write_bucketed(rows, f"{path}/base/{WRITE}={write}", ["ID"], count)
     written = buckets.read_bucketed(
-        spark, f"{path}/base/{WRITE}={write}", rows.schema, "ID", count
+        spark, f"{path}/base/{WRITE}={write}", rows.schema, ["ID"], count
     )
     kept = stats.section_parts(written.withColumn(BATCH, F.lit("base")), BATCH)
     kept.write.parquet(f"{path}/statistics/{WRITE}={write}")
