@@ -40,7 +40,10 @@ def dedup_by_title(df: DataFrame, title: str = "Title", key: str = "ID") -> Data
 
 
 def assign_ids(
-    df: DataFrame, start: int | Callable[[int], int], order: Sequence[str], key: str = "ID"
+    df: DataFrame,
+    start: int | Callable[[int], int],
+    order: Sequence[str | Column],
+    key: str = "ID",
 ) -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` in the given order.
 
@@ -50,10 +53,11 @@ def assign_ids(
     the same partitions, and numbered inside each partition; only the row count
     of each partition is collected.  Rows equal in ``order`` are ordered by their
     content; identical rows, which may be many, are spread by a random value.
+    A sample of the order columns comes to the driver: give it short ones.
     """
     tie = F.xxhash64(*(f"`{name}`" for name in df.columns))
     salted = df.withColumns({"_tie": tie, "_salt": F.rand(0)})
-    columns = [F.col(f"`{name}`") for name in (*order, "_tie", "_salt")]
+    columns = [F.col(f"`{c}`") if isinstance(c, str) else c for c in (*order, "_tie", "_salt")]
     ordered = salted.repartitionByRange(*columns).sortWithinPartitions(*columns)
     ordered = ordered.drop("_tie", "_salt", key)
     fixed = cut_lineage(ordered)

@@ -96,7 +96,7 @@ def read_article_json(spark, sf_dir):
 def csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     frame = articles(spark, sf_dir)
-    frame = frame.withColumn("tokens", T.tokenize(F.col("Title")))
+    frame = frame.withColumn("tokens", T.tokenize(F.col("Content")))
     exports.write_articles(frame, path, "csv")
     read = exports.read_articles(spark, path, "csv")
     return read.withColumn("tokens", F.array_join("tokens", " "))
@@ -332,6 +332,44 @@ def chart_tables(spark, sf_dir):
     return result
 
 
+def chart_numbers(spark, sf_dir):
+    """The numbers of the chart tables, written and read back: ``(chart, label, item, value)``.
+
+    Of the scatter, whose axes have no fixed sign, the points of each topic.
+    """
+    frame = topic_queries.processed(spark, sf_dir).join(
+        articles(spark, sf_dir).select("ID", "Section"), "ID"
+    )
+    keywords = topic_queries._keywords(spark, sf_dir)
+    tables = update.chart_tables(frame, keywords, topic_queries.TOPICS)
+    paths = update.write_chart_tables(tables, scratch_path(spark, "charts"))
+    columns = {
+        "topic_distribution": ("name", "Topic", "share"),
+        "top_keywords": ("topic", "term", "weight"),
+        "keywords_heatmap": ("topic", "keyword", "importance"),
+        "wordclouds": ("topic", "term", "frequency"),
+        "term_frequencies": ("label", "term", "n"),
+        "topic_summary": ("topic", "keywords", "articles"),
+        "sections": ("Section", "Section", "articles"),
+    }
+    points = spark.read.parquet(paths["topic_scatter"]).groupBy("Topic")
+    result = points.agg(F.count("*").cast("double").alias("value")).select(
+        F.lit("topic_scatter").alias("chart"),
+        F.col("Topic").cast("string").alias("label"),
+        F.lit("points").alias("item"),
+        "value",
+    )
+    for chart, (label, item, value) in columns.items():
+        rows = spark.read.parquet(paths[chart]).select(
+            F.lit(chart).alias("chart"),
+            F.col(label).cast("string").alias("label"),
+            F.col(item).cast("string").alias("item"),
+            F.round(F.col(value).cast("double"), 6).alias("value"),
+        )
+        result = result.unionByName(rows)
+    return result
+
+
 _FILLED = f"""{O.ARTICLES},
   base AS (
     SELECT a.*, CASE quality WHEN 1 THEN 'kept as it is' WHEN 0 THEN '  ' END AS summary,
@@ -372,7 +410,7 @@ SQL = {
     "flatten_response": _FLAT,
     "read_article_json": _FLAT,
     "csv_round_trip": f"""WITH {O.ARTICLES}
-        SELECT {_ALL}, {O.joined(O.tokens('"Title"'))} AS tokens FROM articles""",
+        SELECT {_ALL}, {O.joined(O.tokens('"Content"'))} AS tokens FROM articles""",
     "parquet_round_trip": f"WITH {O.ARTICLES} SELECT {_ALL} FROM articles",
     "export_stats_json": """SELECT sum(count(*)) OVER () AS total_articles,
         source AS section, count(*) AS articles FROM documents GROUP BY source""",
@@ -470,6 +508,34 @@ SQL = {
         UNION ALL SELECT 'term_frequencies', (SELECT sum(n) FROM words)
         UNION ALL SELECT 'topic_summary', (SELECT count(*) FROM size)
         UNION ALL SELECT 'sections', (SELECT count(DISTINCT source) FROM documents)""",
+    "chart_numbers": f"""WITH {topic_queries._KEYWORDS_AND_NAMES},
+        counts AS (SELECT name AS label, term, sum(tf) AS n, min(topic) AS topic
+                   FROM tf JOIN names USING (topic) GROUP BY ALL),
+        shown AS (SELECT label FROM counts GROUP BY label ORDER BY min(topic) LIMIT 6),
+        most AS (
+          SELECT label, term, n FROM counts WHERE label IN (SELECT label FROM shown)
+          QUALIFY row_number() OVER (PARTITION BY label ORDER BY n DESC, term) <= 50),
+        words AS (SELECT topic, string_agg(term, ', ' ORDER BY rank) AS keywords
+                  FROM keywords WHERE rank < 5 GROUP BY topic),
+        grid AS (SELECT topic, term FROM (SELECT DISTINCT term FROM keywords),
+                   (SELECT unnest(range({topic_queries.TOPICS})) AS topic)),
+        charts AS (
+          SELECT 'topic_scatter' AS chart, topic::VARCHAR AS label, 'points' AS item, n AS value
+          FROM size
+          UNION ALL SELECT 'topic_distribution', name, size.topic::VARCHAR,
+            n * 100.0::DOUBLE / (SELECT count(*) FROM documents) FROM size JOIN names USING (topic)
+          UNION ALL SELECT 'top_keywords', topic::VARCHAR, term,
+            least(10, count(*) OVER (PARTITION BY topic)) - rank FROM keywords
+          UNION ALL SELECT 'keywords_heatmap', topic::VARCHAR, term, coalesce(10 - rank, 0)
+            FROM grid LEFT JOIN keywords USING (topic, term)
+          UNION ALL SELECT 'wordclouds', topic::VARCHAR, term,
+            count(*) OVER (PARTITION BY topic) - rank FROM keywords
+          UNION ALL SELECT 'term_frequencies', label, term, n FROM most
+          UNION ALL SELECT 'topic_summary', topic::VARCHAR, keywords, n
+            FROM size LEFT JOIN words USING (topic)
+          UNION ALL SELECT 'sections', source, source, count(*) FROM documents
+            WHERE source IS NOT NULL GROUP BY source)
+        SELECT chart, label, item, round(value::DOUBLE, 6) AS value FROM charts""",
     "snapshot": f"WITH {O.ARTICLES} SELECT {_ALL} FROM articles",
     "stream_articles": f"""WITH RECURSIVE {O.ARTICLES},
         flat AS (SELECT "ID", "Title", "Url", coalesce("Author", 'Unknown') AS "Author",
@@ -515,5 +581,6 @@ QUERIES = {
         regenerate_topics,
         stored_metadata,
         chart_tables,
+        chart_numbers,
     )
 }

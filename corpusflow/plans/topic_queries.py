@@ -157,7 +157,11 @@ def term_frequencies(spark, sf_dir):
 
 
 def overview(spark, sf_dir):
-    return _rounded(stats.overview(articles(spark, sf_dir), TOPICS, 0.0))
+    """The overview of given topics, with their silhouette on the TF-IDF vectors."""
+    frame = processed(spark, sf_dir)
+    vectors = X.tfidf_vectors(frame, X.fit_vocabulary(frame)).select("Topic", "features")
+    score = topics.silhouette(vectors, "features", "Topic")
+    return _rounded(stats.overview(articles(spark, sf_dir), TOPICS, score))
 
 
 def topic_report(spark, sf_dir):
@@ -346,6 +350,27 @@ def _names_sql(k: int = TOPICS, source: str = "labelled") -> str:
 _KEYWORDS_AND_NAMES = f"""{_KEYWORDS},
   labelled AS (SELECT *, "ID" % {TOPICS} AS "Topic" FROM articles), {_names_sql()}"""
 
+_SILHOUETTES = f"""{_TFIDF},
+        sums AS (SELECT topic, term, sum(weight) AS s FROM tfidf GROUP BY ALL),
+        own AS (
+          SELECT proc."ID" AS "ID", proc.topic AS topic, coalesce(sum(weight * weight), 0) AS q
+          FROM proc LEFT JOIN tfidf USING ("ID") GROUP BY ALL),
+        sizes AS (SELECT topic AS other, count(*) AS n, sum(q) AS qs FROM own GROUP BY topic),
+        dots AS (
+          SELECT "ID", sums.topic AS other, sum(weight * s) AS d
+          FROM tfidf JOIN sums USING (term) GROUP BY ALL),
+        gaps AS (
+          SELECT "ID", topic, other, n, greatest(q * n + qs - 2 * coalesce(d, 0), 0) AS g
+          FROM own CROSS JOIN sizes LEFT JOIN dots USING ("ID", other)),
+        ab AS (
+          SELECT "ID", max(CASE WHEN topic = other AND n > 1 THEN g / (n - 1) END) AS a,
+                 min(CASE WHEN topic <> other THEN g / n END) AS b
+          FROM gaps GROUP BY "ID"),
+        scores AS (
+          SELECT "ID", CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0
+                            ELSE (b - a) / greatest(a, b) END AS score
+          FROM ab)"""
+
 SQL = {
     "idf": f"""WITH words AS (
           SELECT DISTINCT unnest({O.tokens('text')}) AS term FROM benchmark),
@@ -393,25 +418,8 @@ SQL = {
         SELECT vec_id, round(CASE WHEN a IS NULL OR b IS NULL THEN 0
                              ELSE (b - a) / greatest(a, b) END, 6) AS silhouette
         FROM ab""",
-    "tfidf_silhouette": f"""WITH {_TFIDF},
-        sums AS (SELECT topic, term, sum(weight) AS s FROM tfidf GROUP BY ALL),
-        own AS (
-          SELECT proc."ID" AS "ID", proc.topic AS topic, coalesce(sum(weight * weight), 0) AS q
-          FROM proc LEFT JOIN tfidf USING ("ID") GROUP BY ALL),
-        sizes AS (SELECT topic AS other, count(*) AS n, sum(q) AS qs FROM own GROUP BY topic),
-        dots AS (
-          SELECT "ID", sums.topic AS other, sum(weight * s) AS d
-          FROM tfidf JOIN sums USING (term) GROUP BY ALL),
-        gaps AS (
-          SELECT "ID", topic, other, n, greatest(q * n + qs - 2 * coalesce(d, 0), 0) AS g
-          FROM own CROSS JOIN sizes LEFT JOIN dots USING ("ID", other)),
-        ab AS (
-          SELECT "ID", max(CASE WHEN topic = other AND n > 1 THEN g / (n - 1) END) AS a,
-                 min(CASE WHEN topic <> other THEN g / n END) AS b
-          FROM gaps GROUP BY "ID")
-        SELECT "ID", round(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0
-                           ELSE (b - a) / greatest(a, b) END, 6) AS silhouette
-        FROM ab""",
+    "tfidf_silhouette": f"""WITH {_SILHOUETTES}
+        SELECT "ID", round(score, 6) AS silhouette FROM scores""",
     "topic_distribution": f"""WITH {_LABELLED}
         SELECT "Topic", count(*) AS articles,
                round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents), 6)
@@ -459,9 +467,10 @@ SQL = {
         shown AS (SELECT label FROM counts GROUP BY label ORDER BY min(topic) LIMIT 6)
         SELECT label, term, n FROM counts WHERE label IN (SELECT label FROM shown)
         QUALIFY row_number() OVER (PARTITION BY label ORDER BY n DESC, term) <= 50""",
-    "overview": f"""SELECT count(*) AS total_articles, {TOPICS} AS topics_discovered,
-        round(count(*) / {TOPICS}.0::DOUBLE, 6) AS avg_articles_per_topic,
-        0.0 AS silhouette_score FROM documents""",
+    "overview": f"""WITH {_SILHOUETTES}
+        SELECT count(*) AS total_articles, {TOPICS} AS topics_discovered,
+               round(count(*) / {TOPICS}.0::DOUBLE, 6) AS avg_articles_per_topic,
+               round(avg(score), 6) AS silhouette_score FROM scores""",
     "topic_report": f"""WITH {_KEYWORDS},
         words AS (SELECT topic, string_agg(term, ', ' ORDER BY rank) AS keywords
                   FROM keywords WHERE rank < 5 GROUP BY topic)

@@ -24,7 +24,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from corpusflow.operators import features, stats
 from corpusflow.operators.windows import assign_ids
@@ -34,6 +42,8 @@ BATCH = "batch"
 WRITE = "write"
 #: The text whose terms are counted.
 TERMS_OF = "processed_text"
+#: Characters of each text that order new rows.
+ORDER_CHARS = 64
 #: Articles of a bucket that consolidation aims at.
 BUCKET_ARTICLES = 1 << 20
 LABELS = StructType([StructField("ID", LongType()), StructField("Topic", IntegerType())])
@@ -318,8 +328,19 @@ def reserve(spark: SparkSession, path: str, label: str, count: int) -> int:
 
 
 def number_new(df: DataFrame, start: int | Callable[[int], int]) -> DataFrame:
-    """New rows with IDs ``start + 1 ...`` in their own order."""
-    order = ["ID"] if "ID" in df.columns else list(df.columns)
+    """New rows with IDs ``start + 1 ...`` in their own order.
+
+    Without IDs of their own they are ordered by how their columns begin, then by a hash
+    of all of them: whole texts are neither compared nor sampled.
+    """
+    if "ID" in df.columns:
+        return assign_ids(df, start, ["ID"])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    order = [
+        F.left(F.col(f"`{name}`"), F.lit(ORDER_CHARS)) if isinstance(kind, StringType) else F.col(f"`{name}`")
+        for name, kind in kinds.items()
+        if not isinstance(kind, (ArrayType, MapType))
+    ]
     return assign_ids(df, start, order)
 
 
