@@ -275,6 +275,8 @@ def encode(
         .saveAsTable(table)
     )
     cut = spark.table(table)
+    cut.schema  # resolves the frame, which needs no catalog from here on
+    spark.sql(f"DROP TABLE {table}")  # the entry; its files stay
     packets = (
         cut.filter(F.col("bucket").isNotNull())
         .select("bucket", "block", "data")

@@ -201,12 +201,15 @@ FROM firsts"""
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored ledger under the current policy."""
+    """The stored ledger under the current policy; what is beyond the contract comes last."""
     entries = common.stored(quality.ledger(documents(spark, sf_dir)), "ledger")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return entries.select(
-        "*",
+        "doc_id",
+        *base,
         (~quality.passes("failed_rules", "base")).alias("base_failed"),
         quality.passes("failed_rules").alias("kept"),
+        *(name for name in entries.columns if name not in ("doc_id", *base)),
     )
 
 
@@ -259,7 +262,7 @@ def list_entries(pages: DataFrame) -> DataFrame:
     host = url_filters.host_of("url")
     site = F.substring_index(host, ".", -3)
     action = F.get(F.array(*map(F.lit, ("block", "allow", "lift"))), (F.col("page_id") % 3).cast("int"))
-    return pages.filter("page_id % 4 = 0").select(
+    return pages.select(
         F.when(F.col("page_id") % 8 == 0, site).otherwise(host).alias("pattern"),
         action.alias("action"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("day"),
@@ -284,7 +287,7 @@ OP10_SQL = """WITH hosted AS (
                 THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE host END AS pattern,
             ['block', 'allow', 'lift'][page_id % 3 + 1] AS action,
             DATE '2024-01-01' + (page_id % 365)::INT AS day, page_id
-        FROM hosted WHERE page_id % 4 = 0 AND host IS NOT NULL),
+        FROM hosted WHERE host IS NOT NULL),
     daily AS (
         SELECT pattern, day, arg_max(action, page_id) AS action FROM reported GROUP BY ALL),
     valid AS (
