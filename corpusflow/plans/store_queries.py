@@ -289,6 +289,22 @@ def stream_articles(spark, sf_dir):
     )
 
 
+def stream_titles(spark, sf_dir):
+    """The titles of a store that a stream of several micro-batches fills once each."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    _response_texts(spark, sf_dir).repartition(4).write.text(landing)
+    stream_ingest(
+        spark,
+        landing,
+        path,
+        scratch_path(spark, "stream"),
+        multi_line=False,
+        unique_titles=True,
+        files_at_once=1,
+    ).awaitTermination()
+    return store.read_store(spark, path).select("Title")
+
+
 # --- topics over a store: no SQL equivalent --------------------------------
 
 
@@ -537,6 +553,7 @@ SQL = {
             WHERE source IS NOT NULL GROUP BY source)
         SELECT chart, label, item, round(value::DOUBLE, 6) AS value FROM charts""",
     "snapshot": f"WITH {O.ARTICLES} SELECT {_ALL} FROM articles",
+    "stream_titles": f"""WITH {O.ARTICLES} SELECT DISTINCT "Title" FROM articles""",
     "stream_articles": f"""WITH RECURSIVE {O.ARTICLES},
         flat AS (SELECT "ID", "Title", "Url", coalesce("Author", 'Unknown') AS "Author",
                         {O.strip_html('"Content"')} AS "Content" FROM articles),
@@ -578,6 +595,7 @@ QUERIES = {
         refresh_summaries,
         snapshot,
         stream_articles,
+        stream_titles,
         regenerate_topics,
         stored_metadata,
         chart_tables,

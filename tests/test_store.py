@@ -259,6 +259,43 @@ def test_stream(spark, tmp_path):
     assert rows_now[2]["processed_text"].startswith("market rose sharp")
 
 
+def test_a_stream_stores_each_title_once(spark, tmp_path):
+    """In one file, in a later file and after a restart; the first article stays."""
+    landing, path = tmp_path / "landing", str(tmp_path / "store")
+    landing.mkdir()
+
+    def ingest(**options):
+        checkpoint = str(tmp_path / "checkpoint")
+        stream_ingest(
+            spark, str(landing), path, checkpoint, unique_titles=True, **options
+        ).awaitTermination()
+        return sorted((r["Title"], r["Url"]) for r in store.read_store(spark, path).collect())
+
+    (landing / "a.json").write_text(
+        response(article(webUrl="u1"), article(webUrl="u2"), article(webTitle="Two", webUrl="u3"))
+    )
+    assert ingest() == [("Title", "u1"), ("Two", "u3")]
+    (landing / "b.json").write_text(response(article(webUrl="u4"), article(webTitle="title", webUrl="u5")))
+    (landing / "c.json").write_text(response(article(webTitle="Three", webUrl="u6")))
+    expected = [("Three", "u6"), ("Title", "u1"), ("Two", "u3"), ("title", "u5")]
+    assert ingest(files_at_once=1) == expected
+    assert ingest() == expected
+
+
+def test_titles_once_by_the_rule_of_a_batch(spark, tmp_path):
+    """One micro-batch with many rows of a title: the row that the batch rule keeps."""
+    landing, path = tmp_path / "landing", str(tmp_path / "store")
+    landing.mkdir()
+    many = [article(webTitle=f"T{i % 3}", webUrl=f"u{i:03d}") for i in range(200)]
+    (landing / "a.json").write_text(response(*many))
+    raw = responses.flatten_response(responses.read_article_json(spark, str(landing)))
+    wanted = sorted(r["Url"] for r in windows.dedup_by_title(raw).collect())
+    stream_ingest(
+        spark, str(landing), path, str(tmp_path / "checkpoint"), unique_titles=True
+    ).awaitTermination()
+    assert sorted(r["Url"] for r in store.read_store(spark, path).collect()) == wanted
+
+
 def test_streams_with_own_checkpoints_share_a_store(spark, tmp_path):
     path = str(tmp_path / "store")
     for name in ("one", "two"):
