@@ -94,6 +94,15 @@ def store_vocabulary(spark, sf_dir):
     return features.frequent_terms(counts, features.MIN_DOCUMENTS, most)
 
 
+def store_search(spark, sf_dir):
+    """A pattern in a merged store and a later batch, by the index of their files."""
+    path = scratch_path(spark, "store")
+    store.write_batch(articles(spark, sf_dir), path, "documents")
+    store.consolidate(spark, path, BUCKETS)
+    _append(_pages(spark, sf_dir), path, "pages")
+    return store.search_store(spark, path, store_queries.TERM).select("ID", "Title")
+
+
 def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose words tell their language alone: one topic each."""
     words = F.concat_ws(" ", *(F.concat("lang", F.lit(word)) for word in KNOWN_WORDS))
@@ -145,11 +154,6 @@ _KNOWN = f"""known AS (
            row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS topic
     FROM known GROUP BY lang)"""
 
-_PAGES = f"""{store_queries._MERGED},
-  dated AS (
-    SELECT m.*, a."Published Date", b.summary
-    FROM merged m LEFT JOIN articles a USING ("ID") LEFT JOIN base b USING ("ID"))"""
-
 SQL = {
     "store_versions": f"""WITH {store_queries._MERGED}
         SELECT 'old' AS version, "ID", "Title", "Section" FROM merged
@@ -158,6 +162,9 @@ SQL = {
         UNION ALL SELECT 'new', "ID", 'New: ' || "Title", "Section" FROM articles""",
     "store_topics": f"""WITH {store_queries._MERGED}
         SELECT "ID", "Title", "Content", ("ID" % 5)::INT AS "Topic" FROM merged""",
+    "store_search": f"""WITH {store_queries._MERGED}
+        SELECT "ID", "Title" FROM merged WHERE regexp_matches("Title", '{store_queries.TERM}', 'i')
+           OR regexp_matches("Content", '{store_queries.TERM}', 'i')""",
     "store_statistics": f"""WITH {store_queries._FILLED},
         merged AS (
           SELECT "ID", "Section", "Published Date", summary FROM base
@@ -216,6 +223,7 @@ QUERIES = {
         store_topics,
         store_statistics,
         store_vocabulary,
+        store_search,
         update_topics,
         run_metadata,
     )

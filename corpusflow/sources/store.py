@@ -3,6 +3,7 @@
 ``articles/write=<id>/batch=<label>/``    the article rows of one write, by batch
 ``statistics/write=<id>/``                that write's counts and bounds, by batch and section
 ``terms/part=<id>/write=<id>/batch=<label>/``  term counts, made when first needed
+``index/part=<id>/``                      trigrams of files, made when first searched
 ``base/write=<id>/``                      consolidated rows, bucketed by ``ID``
 ``topics/run=<label>/``                   ``(ID, Topic)`` of one topic run, bucketed as the base
 ``metadata/run=<label>/``                 that run's parameters and keywords
@@ -34,14 +35,16 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from corpusflow.operators import features, stats
+from corpusflow.operators import features, search, stats
 from corpusflow.operators.windows import assign_ids
-from corpusflow.sources import buckets, exports, files, log
+from corpusflow.sources import buckets, exports, files, log, text_index
 
 BATCH = "batch"
 WRITE = "write"
 #: The text whose terms are counted.
 TERMS_OF = "processed_text"
+#: The texts that a search reads.
+SEARCHED = ("Title", "Content")
 #: Characters of each text that order new rows.
 ORDER_CHARS = 64
 #: Articles of a bucket that consolidation aims at.
@@ -252,6 +255,69 @@ def _merged_terms(spark: SparkSession, path: str, state: log.State) -> DataFrame
     return counts.agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
 
 
+# --- search ------------------------------------------------------------------
+
+
+def _index_files(spark: SparkSession, path: str, state: log.State) -> None:
+    """Indexes the files of writes that have no index, in one pass; adds to ``state``."""
+    open_ = {k: b for k, b in state.batches.items() if b["write"] not in state.indexes}
+    base = state.base if state.base and state.base["write"] not in state.indexes else None
+    folders = _folders(path, "articles", dataclasses.replace(state, batches=open_))
+    folders += [f"{path}/base/{WRITE}={base['write']}"] if base else []
+    if not folders:
+        return
+    texts = [name for name in SEARCHED if name in _schema(state).names]
+    schema = StructType([StructField(name, StringType()) for name in texts])
+    folder = f"part={uuid.uuid4().hex}"
+    index = text_index.file_index(spark.read.schema(schema).parquet(*folders), texts)
+    index.write.parquet(f"{path}/index/{folder}")
+    writes = {b["write"] for b in open_.values()} | ({base["write"]} if base else set())
+    found = [{"do": "index", "write": write, "folder": folder} for write in sorted(writes)]
+    log.commit(spark, path, lambda _: found)
+    for action in found:
+        state.apply(action)
+
+
+def matching_files(spark: SparkSession, path: str, term: str) -> tuple[list[str], int]:
+    """Files of the store that may match a pattern, and how many files there are.
+
+    Texts are read once, when their files are first searched; after that the index of
+    8 KiB a file is.
+    """
+    state = log.read(spark, path)
+    _index_files(spark, path, state)
+    live = [f"{WRITE}={b['write']}/{BATCH}={label}" for label, b in state.batches.items()]
+    writes = {b["write"] for b in state.batches.values()}
+    if state.base:
+        writes.add(state.base["write"])
+        live.append(f"{WRITE}={state.base['write']}")
+    folders = sorted({state.indexes[write] for write in writes})
+    if not folders:
+        return [], 0
+    kind = "file string, part int, bits binary"
+    index = spark.read.schema(kind).parquet(*(f"{path}/index/{folder}" for folder in folders))
+    place = F.regexp_extract("file", rf"({WRITE}=[^/]*(?:/{BATCH}=[^/]*)?)/[^/]*$", 1)
+    index = index.filter(place.isin(live))
+    # As many names come to the driver as a scan of these files would list there.  Only
+    # the store's own part of a name is taken, in which nothing is encoded.
+    own = F.regexp_extract("file", rf"((?:articles|base)/{WRITE}=.*)$", 1)
+    found = text_index.candidate_files(index, term).select(own.alias("file")).collect()
+    names = sorted(f"{path}/{row['file']}" for row in found)
+    return names, index.select("file").distinct().count()
+
+
+def search_store(spark: SparkSession, path: str, term: str) -> DataFrame:
+    """``search.search_articles`` over the store, reading only files that may match."""
+    state = log.read(spark, path)
+    if not term or not text_index.required_trigrams(term):
+        return search.search_articles(read_store(spark, path, topics=False), term)
+    files_, _ = matching_files(spark, path, term)
+    columns = _schema(state)
+    if not files_:
+        return spark.createDataFrame([], columns)
+    return search.search_articles(spark.read.schema(columns).parquet(*files_), term)
+
+
 # --- writing -----------------------------------------------------------------
 
 
@@ -468,6 +534,7 @@ def _named_folders(state: log.State) -> list[str]:
         folders.append(f"base/{WRITE}={state.base['write']}")
     folders += [f"statistics/{WRITE}={write}" for write in writes]
     folders += [f"terms/{state.terms[write]}" for write in writes if write in state.terms]
+    folders += [f"index/{state.indexes[write]}" for write in writes if write in state.indexes]
     return folders + [f"topics/run={run['folder']}" for run in state.runs]
 
 
