@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from corpusflow import schema
 from corpusflow.operators import stats
+from corpusflow.sources import csv_records
 
 # Quotes and line breaks inside article texts stay inside their field, and
 # nothing is trimmed.
@@ -33,8 +34,15 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def read_articles_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read articles from CSV; the known columns get their types by name."""
-    raw = spark.read.options(**_CSV, multiLine=True).csv(path)
+    """Read articles from CSV; the known columns get their types by name.
+
+    Large files are read by many tasks, although fields may hold line breaks.
+    """
+    names = spark.read.options(**_CSV, multiLine=True).csv(path).columns
+    listed = ", ".join("`" + name.replace("`", "``") + "` string" for name in names)
+    options = {k: str(v) for k, v in _CSV.items() if k not in ("header", "lineSep")}
+    rows = csv_records.csv_records(spark, path).filter("not header and record <> ''")
+    raw = rows.select(F.from_csv("record", listed, options).alias("r")).select("r.*")
 
     def typed(name: str):
         column = F.col(f"`{name}`")
