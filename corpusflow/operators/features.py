@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.expr import let, sql_strings, total
 from corpusflow.functions.text import tokenize
 from corpusflow.functions.words import TOPIC_STOP_WORDS
+from corpusflow.sources.scratch import cut_lineage
 
 # --- fixed values: which terms become features -----------------------------
 MIN_DOCUMENTS = 3
@@ -298,8 +299,9 @@ def pca_projection_2d(df: DataFrame, key: str = "ID") -> tuple[DataFrame, DataFr
 
     Returns ``(key, x, y)`` (with ``Topic`` if present) and one row
     ``(pc1, pc2, total)``.  The ML projection is not centred, so the column means
-    are subtracted.
+    are subtracted.  The features are read several times and so written first.
     """
+    df = cut_lineage(df)
     model = fit_pca(df, 2)
     points = model.transform(df).withColumn("_p", vector_to_array("components"))
     x, y = F.get("_p", F.lit(0)), F.get("_p", F.lit(1))

@@ -149,7 +149,7 @@ def chart_tables(
     names = stats.topic_names(df, k)
     vocabulary = X.fit_vocabulary(df)
     vectors = X.tfidf_vectors(df, vocabulary).select("ID", "Topic", "features")
-    points, variance = X.pca_projection_2d(cut_lineage(vectors))
+    points, variance = X.pca_projection_2d(vectors)
     return {
         "topic_distribution": _named_distribution(df, names),
         "top_keywords": stats.keyword_rank_weights(keywords, n),
