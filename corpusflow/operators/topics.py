@@ -160,7 +160,8 @@ def assign_topics(
         raise ValueError(f"not one label for article {known}: {counts}")
     named = labels.select(F.col(key).alias("_key"), F.col(topic).cast("int").alias("_topic"))
     base = df.drop("Topic")
-    joined = base.join(named, base[key].eqNullSafe(named["_key"]), "left")
+    # Labels compress so well that Spark would take many of them for a small table.
+    joined = base.join(named.hint("merge"), base[key].eqNullSafe(named["_key"]), "left")
     return joined.select(*(base[c] for c in base.columns), F.col("_topic").alias("Topic"))
 
 

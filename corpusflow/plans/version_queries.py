@@ -62,7 +62,8 @@ def store_topics(spark, sf_dir):
 def store_statistics(spark, sf_dir):
     """Statistics of a store from those of its batches: ``(what, name, value)``."""
     path = scratch_path(spark, "store")
-    store.write_batch(_summarized(spark, sf_dir), path, "documents")
+    summary = F.when(F.col("Author").isNotNull(), F.lit("given"))
+    store.write_batch(articles(spark, sf_dir).withColumn("summary", summary), path, "documents")
     _append(_pages(spark, sf_dir), path, "pages")
     _publish(spark, path, F.pmod("ID", F.lit(4)))
 
@@ -77,10 +78,6 @@ def store_statistics(spark, sf_dir):
     return shown.unionByName(long(update.stored_status(spark, path), "status")).unionByName(counts)
 
 
-def _summarized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store_queries._partly_summarized(articles(spark, sf_dir), spark, sf_dir)
-
-
 def store_vocabulary(spark, sf_dir):
     """The vocabulary of a growing store, from term counts kept for each batch."""
     path = scratch_path(spark, "store")
@@ -165,9 +162,10 @@ SQL = {
     "store_search": f"""WITH {store_queries._MERGED}
         SELECT "ID", "Title" FROM merged WHERE regexp_matches("Title", '{store_queries.TERM}', 'i')
            OR regexp_matches("Content", '{store_queries.TERM}', 'i')""",
-    "store_statistics": f"""WITH {store_queries._FILLED},
+    "store_statistics": f"""WITH {O.ARTICLES},
         merged AS (
-          SELECT "ID", "Section", "Published Date", summary FROM base
+          SELECT "ID", "Section", "Published Date",
+                 CASE WHEN "Author" IS NOT NULL THEN 'given' END AS summary FROM articles
           UNION ALL SELECT max_id + row_number() OVER (ORDER BY url, 'Page ' || page_id),
                  NULL, NULL, NULL
           FROM pages, (SELECT max("ID") AS max_id FROM articles)),

@@ -333,7 +333,10 @@ def write_batch(df: DataFrame, path: str, label: str, alone: bool = False) -> No
         if alone and (state.base or state.batches.keys() - {label}):
             raise log.Conflict("another batch was written first")
 
-    write_batches(df.withColumn(BATCH, F.lit(label)), path, check)
+    # One folder of one batch: its rows need not be sorted by batch.
+    df, write = df.drop(BATCH), uuid.uuid4().hex
+    df.write.parquet(f"{path}/articles/{WRITE}={write}/{BATCH}={label}")
+    _commit_write(df, path, write, check)
 
 
 def write_batches(
@@ -343,14 +346,19 @@ def write_batches(
 
     ``check`` sees the state that the commit follows and may raise ``log.Conflict``.
     """
-    spark = df.sparkSession
     write = uuid.uuid4().hex
+    df.write.partitionBy(BATCH).parquet(f"{path}/articles/{WRITE}={write}")
+    _commit_write(df.drop(BATCH), path, write, check)
+
+
+def _commit_write(
+    df: DataFrame, path: str, write: str, check: Callable[[log.State], None] | None
+) -> None:
+    spark, columns = df.sparkSession, df.schema
     folder = f"{path}/articles/{WRITE}={write}"
-    df.write.partitionBy(BATCH).parquet(folder)
-    columns = df.drop(BATCH).schema
-    written = StructType([*columns.fields, StructField(BATCH, StringType())])
     if not any(name.startswith(f"{BATCH}=") for name in files.child_names(spark, folder)):
         return  # no rows
+    written = StructType([*columns.fields, StructField(BATCH, StringType())])
     largest = _write_statistics(spark.read.schema(written).parquet(folder), path, write)
 
     def change(state: log.State) -> list[log.Action]:

@@ -48,8 +48,9 @@ def file_index(files: DataFrame, texts: Sequence[str]) -> DataFrame:
     parts = rows.select(
         "file", (F.bitmap_bucket_number(position) - 1).cast("int").alias("part"), bit.alias("bit")
     )
-    # Without any trigram a file still has a row, with an empty bitmap.
-    return parts.groupBy("file", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    # Without any trigram a file still has a row, with an empty bitmap.  Equal bits of a
+    # file are combined first, by hash: bitmaps are built from sorted rows.
+    return parts.distinct().groupBy("file", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def required_trigrams(pattern: str) -> set[str]:
