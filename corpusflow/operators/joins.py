@@ -22,6 +22,13 @@ def update_by_key(
     """
     values = F.struct(*(F.col(name) for name in columns))
     last = updates.groupBy(key).agg(F.max_by(values, order).alias("_update"))
+    return replace_by_key(df, last, columns, key)
+
+
+def replace_by_key(
+    df: DataFrame, last: DataFrame, columns: Sequence[str], key: str = "ID"
+) -> DataFrame:
+    """Replace ``columns`` by those in the struct ``_update`` of ``last``, unique by key."""
     joined = df.join(last, key, "left")
 
     def value(name: str):

@@ -9,7 +9,7 @@ from corpusflow.functions import text as T
 from corpusflow.operators import features, topics
 from corpusflow.plans import oracle_parts as O
 from corpusflow.plans import store_queries, update
-from corpusflow.sources import exports, store
+from corpusflow.sources import exports, store, updates
 from corpusflow.sources.scratch import scratch_path
 from corpusflow.sources.tables import articles, spread_articles
 
@@ -100,6 +100,25 @@ def store_search(spark, sf_dir):
     return store.search_store(spark, path, store_queries.TERM).select("ID", "Title")
 
 
+def store_updates(spark, sf_dir):
+    """Merged articles and a later batch, changed twice by writing the files concerned again.
+
+    Articles get the last text of the conversation with their ID, if there is one; then
+    the pages with a number that ends in 0 or 5 get a new title.
+    """
+    path = scratch_path(spark, "store")
+    store.write_batch(articles(spark, sf_dir), path, "documents")
+    store.consolidate(spark, path, BUCKETS)
+    _append(_pages(spark, sf_dir), path, "pages")
+    said = store_queries.table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("ID"))
+    said = said.agg(F.max_by("text", "turn").alias("Content"))
+    known = store.read_store(spark, path, topics=False)
+    updates.update_articles(said.join(known.select("ID"), "ID", "left_semi"), path)
+    pages = known.filter(F.col("Title").rlike("^Page .*[05]$"))
+    updates.update_articles(pages.select("ID", F.concat(F.lit("New: "), "Title").alias("Title")), path)
+    return store.read_store(spark, path).select("ID", "Title", "Content")
+
+
 def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose words tell their language alone: one topic each."""
     words = F.concat_ws(" ", *(F.concat("lang", F.lit(word)) for word in KNOWN_WORDS))
@@ -162,6 +181,12 @@ SQL = {
     "store_search": f"""WITH {store_queries._MERGED}
         SELECT "ID", "Title" FROM merged WHERE regexp_matches("Title", '{store_queries.TERM}', 'i')
            OR regexp_matches("Content", '{store_queries.TERM}', 'i')""",
+    "store_updates": f"""WITH {store_queries._MERGED},
+        said AS (SELECT conv_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id)
+        SELECT "ID", CASE WHEN regexp_matches("Title", '^Page .*[05]$') THEN 'New: ' || "Title"
+                 ELSE "Title" END AS "Title",
+               CASE WHEN conv_id IS NULL THEN "Content" ELSE text END AS "Content"
+        FROM merged LEFT JOIN said ON conv_id = "ID" """,
     "store_statistics": f"""WITH {O.ARTICLES},
         merged AS (
           SELECT "ID", "Section", "Published Date",
@@ -222,6 +247,7 @@ QUERIES = {
         store_statistics,
         store_vocabulary,
         store_search,
+        store_updates,
         update_topics,
         run_metadata,
     )

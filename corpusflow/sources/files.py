@@ -69,6 +69,18 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
         system.delete(beside, False)
 
 
+def data_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly under ``path``, sorted."""
+    return [name for name in child_names(spark, path) if not name.startswith(("_", "."))]
+
+
+def move_into(spark: SparkSession, path: str, name: str, folder: str) -> None:
+    """Move the file ``name`` from ``path`` to ``folder``, where no file has its name."""
+    system, source = _resolve(spark, f"{path}/{name}")
+    if not system.rename(source, _resolve(spark, f"{folder}/{name}")[1]):
+        raise OSError(f"{name} was not moved to {folder}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder and what is in it, or a file."""
     system, hadoop_path = _resolve(spark, path)

@@ -4,6 +4,7 @@
 ``statistics/write=<id>/``                that write's counts and bounds, by batch and section
 ``terms/part=<id>/write=<id>/batch=<label>/``  term counts, made when first needed
 ``index/part=<id>/``                      trigrams of files, made when first searched
+``keys/part=<id>/``                       least and largest ID of files, made when first updated
 ``base/write=<id>/``                      consolidated rows, bucketed by ``ID``
 ``topics/run=<label>/``                   ``(ID, Topic)`` of one topic run, bucketed as the base
 ``metadata/run=<label>/``                 that run's parameters and keywords
@@ -23,7 +24,7 @@ import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -71,7 +72,7 @@ def current_version(spark: SparkSession, path: str) -> int:
 # --- reading -----------------------------------------------------------------
 
 
-def _schema(state: log.State) -> StructType:
+def store_schema(state: log.State) -> StructType:
     """All columns of all parts, in order of first appearance."""
     numbers = [b["schema"] for b in state.batches.values()]
     numbers = ([state.base["schema"]] if state.base else []) + numbers
@@ -82,34 +83,63 @@ def _schema(state: log.State) -> StructType:
     return StructType(list(fields.values()))
 
 
-def _folders(path: str, kind: str, state: log.State) -> list[str]:
-    return [
-        f"{path}/{kind}/{WRITE}={b['write']}/{BATCH}={label}" for label, b in state.batches.items()
-    ]
+def batch_places(state: log.State) -> dict[str, list[str]]:
+    """Where the rows of batches lie under ``articles``, and the files there that have none."""
+    return {
+        f"{WRITE}={write}/{BATCH}={label}": gone
+        for label, b in state.batches.items()
+        for write, gone in b["parts"]
+    }
+
+
+def batch_paths(spark: SparkSession, path: str, state: log.State) -> list[str]:
+    """Folders of the batches; the single files of a folder that has replaced ones."""
+    found = []
+    for place, gone in batch_places(state).items():
+        folder = f"{path}/articles/{place}"
+        names = set(files.data_names(spark, folder)) - set(gone) if gone else None
+        found += [folder] if names is None else [f"{folder}/{name}" for name in sorted(names)]
+    return found
+
+
+def base_folder(path: str, state: log.State) -> str:
+    return f"{path}/base/{WRITE}={state.base['folder']}"
 
 
-def _recent(spark: SparkSession, path: str, state: log.State) -> DataFrame:
+def base_names(state: log.State) -> list[str]:
+    """The files of the base's folder that this version reads."""
+    return sorted(name for names in state.base["files"].values() for name in names)
+
+
+def recent_rows(spark: SparkSession, path: str, state: log.State) -> DataFrame:
     """Rows of the batches that are not consolidated, with their ``batch``."""
-    columns = StructType([*_schema(state).fields, StructField(BATCH, StringType())])
+    columns = StructType([*store_schema(state).fields, StructField(BATCH, StringType())])
     read = spark.read.schema(StructType([*columns.fields, StructField(WRITE, StringType())]))
-    folders = _folders(path, "articles", state)
+    folders = batch_paths(spark, path, state)
     rows = read.option("basePath", f"{path}/articles").parquet(*folders) if folders else None
     if rows is None:
         return spark.createDataFrame([], columns)
     return rows.select(*(F.col(f"`{name}`") for name in columns.names))
 
 
-def _base(spark: SparkSession, path: str, state: log.State) -> DataFrame:
-    """Rows of the consolidated part, bucketed, with their ``batch``."""
+def base_schema(state: log.State) -> StructType:
     own = StructType.fromJson(json.loads(state.schemas[state.base["schema"]]))
-    own = StructType([*own.fields, StructField(BATCH, StringType())])
-    folder = f"{path}/base/{WRITE}={state.base['write']}"
-    return buckets.read_bucketed(spark, folder, own, ["ID"], state.base["buckets"])
+    return StructType([*own.fields, StructField(BATCH, StringType())])
+
+
+def base_rows(spark: SparkSession, path: str, state: log.State) -> DataFrame:
+    """Rows of the consolidated part, bucketed, with their ``batch``."""
+    folder, names = base_folder(path, state), base_names(state)
+    rows = buckets.read_bucketed(spark, folder, base_schema(state), ["ID"], state.base["buckets"])
+    if files.data_names(spark, folder) == names:
+        return rows
+    # Other versions have other files there.
+    return rows.filter(F.col("_metadata.file_name").isin(names)).select(*rows.columns)
 
 
 def _parts(spark: SparkSession, path: str, state: log.State) -> list[DataFrame]:
-    parts = [_base(spark, path, state)] if state.base else []
-    return parts + ([_recent(spark, path, state)] if state.batches or not parts else [])
+    parts = [base_rows(spark, path, state)] if state.base else []
+    return parts + ([recent_rows(spark, path, state)] if state.batches or not parts else [])
 
 
 def _together(parts: list[DataFrame], columns: list[str]) -> DataFrame:
@@ -122,7 +152,7 @@ def _together(parts: list[DataFrame], columns: list[str]) -> DataFrame:
 def read_batches(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """Article rows with their ``batch``; columns that a batch lacks are null."""
     state = log.read(spark, path, version)
-    return _together(_parts(spark, path, state), [*_schema(state).names, BATCH])
+    return _together(_parts(spark, path, state), [*store_schema(state).names, BATCH])
 
 
 def latest_run(spark: SparkSession, path: str, version: int | None = None) -> str | None:
@@ -152,7 +182,7 @@ def read_store(
     only the rows of batches that came later are moved to their labels.
     """
     state = log.read(spark, path, version)
-    columns = _schema(state).names
+    columns = store_schema(state).names
     parts = _parts(spark, path, state)
     if not topics or not state.runs:
         return _together(parts, columns)
@@ -201,7 +231,7 @@ def read_statistics(spark: SparkSession, path: str, version: int | None = None)
 
 
 def column_names(spark: SparkSession, path: str) -> list[str]:
-    return _schema(log.read(spark, path)).names
+    return store_schema(log.read(spark, path)).names
 
 
 def term_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -211,7 +241,7 @@ def term_counts(spark: SparkSession, path: str) -> DataFrame:
     call; the counts of all others are there already.
     """
     state = log.read(spark, path)
-    if TERMS_OF not in _schema(state).names:
+    if TERMS_OF not in store_schema(state).names:
         raise ValueError(f"no column {TERMS_OF}")
     _count_terms(spark, path, state)
     return _merged_terms(spark, path, state)
@@ -219,20 +249,20 @@ def term_counts(spark: SparkSession, path: str) -> DataFrame:
 
 def _count_terms(spark: SparkSession, path: str, state: log.State) -> None:
     """Counts the terms of the batches that have no counts, in one pass; adds to ``state``."""
-    open_ = {k: b for k, b in state.batches.items() if b["write"] not in state.terms}
+    open_ = {k: b for k, b in state.batches.items() if b["texts"] not in state.terms}
     if not open_:
         return
-    texts = _recent(spark, path, dataclasses.replace(state, batches=open_, base=None))
+    texts = recent_rows(spark, path, dataclasses.replace(state, batches=open_, base=None))
     if TERMS_OF not in texts.columns:
         texts = texts.withColumn(TERMS_OF, F.lit(None).cast("string"))
-    writes = F.create_map(*(F.lit(x) for k, b in open_.items() for x in (k, b["write"])))
+    writes = F.create_map(*(F.lit(x) for k, b in open_.items() for x in (k, b["texts"])))
     texts = texts.withColumn(WRITE, F.element_at(writes, F.col(BATCH)))
     counts = features.term_document_counts(texts, TERMS_OF, (WRITE, BATCH))
     part = f"part={uuid.uuid4().hex}"
     counts.write.partitionBy(WRITE, BATCH).parquet(f"{path}/terms/{part}")
     found = [
         {"do": "terms", "write": write, "folder": f"{part}/{WRITE}={write}"}
-        for write in sorted({b["write"] for b in open_.values()})
+        for write in sorted({b["texts"] for b in open_.values()})
     ]
     log.commit(spark, path, lambda _: found)
     for action in found:
@@ -241,11 +271,11 @@ def _count_terms(spark: SparkSession, path: str, state: log.State) -> None:
 
 def _merged_terms(spark: SparkSession, path: str, state: log.State) -> DataFrame:
     folders = [
-        f"{path}/terms/{state.terms[b['write']]}/{BATCH}={label}"
+        f"{path}/terms/{state.terms[b['texts']]}/{BATCH}={label}"
         for label, b in state.batches.items()
     ]
     if state.base:
-        folders.append(f"{path}/terms/{state.terms[state.base['write']]}")
+        folders.append(f"{path}/terms/{state.terms[state.base['texts']]}")
     # A batch without any term has no folder.
     there = [folder for folder in folders if files.exists(spark, folder)]
     kind = "term string, df bigint, tf bigint"
@@ -260,24 +290,43 @@ def _merged_terms(spark: SparkSession, path: str, state: log.State) -> DataFrame
 
 def _index_files(spark: SparkSession, path: str, state: log.State) -> None:
     """Indexes the files of writes that have no index, in one pass; adds to ``state``."""
-    open_ = {k: b for k, b in state.batches.items() if b["write"] not in state.indexes}
-    base = state.base if state.base and state.base["write"] not in state.indexes else None
-    folders = _folders(path, "articles", dataclasses.replace(state, batches=open_))
-    folders += [f"{path}/base/{WRITE}={base['write']}"] if base else []
+    known = state.indexes
+    parts = {w for b in state.batches.values() for w, _ in b["parts"]} - known.keys()
+    open_ = {k: {**b, "parts": [p for p in b["parts"] if p[0] in parts]} for k, b in state.batches.items()}
+    folders = batch_paths(spark, path, dataclasses.replace(state, batches=open_))
+    base = {w: n for w, n in state.base["files"].items() if w not in known} if state.base else {}
+    folders += [f"{base_folder(path, state)}/{name}" for names in base.values() for name in names]
     if not folders:
         return
-    texts = [name for name in SEARCHED if name in _schema(state).names]
+    texts = [name for name in SEARCHED if name in store_schema(state).names]
     schema = StructType([StructField(name, StringType()) for name in texts])
     folder = f"part={uuid.uuid4().hex}"
     index = text_index.file_index(spark.read.schema(schema).parquet(*folders), texts)
     index.write.parquet(f"{path}/index/{folder}")
-    writes = {b["write"] for b in open_.values()} | ({base["write"]} if base else set())
-    found = [{"do": "index", "write": write, "folder": folder} for write in sorted(writes)]
+    writes = sorted(parts | base.keys())
+    found = [{"do": "index", "write": write, "folder": folder} for write in writes]
     log.commit(spark, path, lambda _: found)
     for action in found:
         state.apply(action)
 
 
+def own_name(file: Column | str) -> Column:
+    """The part of a file's name that the store gave it."""
+    return F.regexp_extract(file, rf"((?:articles|base)/{WRITE}=.*)$", 1)
+
+
+def is_live(state: log.State) -> Column:
+    """Whether this version reads the file named in column ``file``."""
+    places = batch_places(state)
+    place = F.regexp_extract("file", rf"articles/({WRITE}=[^/]*/{BATCH}=[^/]*)/[^/]*$", 1)
+    gone = [f"articles/{place}/{name}" for place, names in places.items() for name in names]
+    live = place.isin(list(places)) & ~own_name("file").isin(gone)
+    if state.base:
+        merged = f"base/{WRITE}={state.base['folder']}"
+        live |= own_name("file").isin([f"{merged}/{name}" for name in base_names(state)])
+    return live
+
+
 def matching_files(spark: SparkSession, path: str, term: str) -> tuple[list[str], int]:
     """Files of the store that may match a pattern, and how many files there are.
 
@@ -286,22 +335,17 @@ def matching_files(spark: SparkSession, path: str, term: str) -> tuple[list[str]
     """
     state = log.read(spark, path)
     _index_files(spark, path, state)
-    live = [f"{WRITE}={b['write']}/{BATCH}={label}" for label, b in state.batches.items()]
-    writes = {b["write"] for b in state.batches.values()}
-    if state.base:
-        writes.add(state.base["write"])
-        live.append(f"{WRITE}={state.base['write']}")
+    writes = {write for b in state.batches.values() for write, _ in b["parts"]}
+    writes |= state.base["files"].keys() if state.base else set()
     folders = sorted({state.indexes[write] for write in writes})
     if not folders:
         return [], 0
     kind = "file string, part int, bits binary"
     index = spark.read.schema(kind).parquet(*(f"{path}/index/{folder}" for folder in folders))
-    place = F.regexp_extract("file", rf"({WRITE}=[^/]*(?:/{BATCH}=[^/]*)?)/[^/]*$", 1)
-    index = index.filter(place.isin(live))
+    index = index.filter(is_live(state))
     # As many names come to the driver as a scan of these files would list there.  Only
     # the store's own part of a name is taken, in which nothing is encoded.
-    own = F.regexp_extract("file", rf"((?:articles|base)/{WRITE}=.*)$", 1)
-    found = text_index.candidate_files(index, term).select(own.alias("file")).collect()
+    found = text_index.candidate_files(index, term).select(own_name("file").alias("file")).collect()
     names = sorted(f"{path}/{row['file']}" for row in found)
     return names, index.select("file").distinct().count()
 
@@ -312,7 +356,7 @@ def search_store(spark: SparkSession, path: str, term: str) -> DataFrame:
     if not term or not text_index.required_trigrams(term):
         return search.search_articles(read_store(spark, path, topics=False), term)
     files_, _ = matching_files(spark, path, term)
-    columns = _schema(state)
+    columns = store_schema(state)
     if not files_:
         return spark.createDataFrame([], columns)
     return search.search_articles(spark.read.schema(columns).parquet(*files_), term)
@@ -359,7 +403,7 @@ def _commit_write(
     if not any(name.startswith(f"{BATCH}=") for name in files.child_names(spark, folder)):
         return  # no rows
     written = StructType([*columns.fields, StructField(BATCH, StringType())])
-    largest = _write_statistics(spark.read.schema(written).parquet(folder), path, write)
+    largest = write_statistics(spark.read.schema(written).parquet(folder), path, write)
 
     def change(state: log.State) -> list[log.Action]:
         if check is not None:
@@ -375,7 +419,7 @@ def _commit_write(
     log.commit(spark, path, change)
 
 
-def _write_statistics(rows: DataFrame, path: str, write: str) -> dict[str, int]:
+def write_statistics(rows: DataFrame, path: str, write: str) -> dict[str, int]:
     """Keep the statistics of written rows; returns the largest ID of each batch."""
     folder = f"{path}/statistics/{WRITE}={write}"
     stats.section_parts(rows, BATCH).write.parquet(folder)
@@ -476,7 +520,7 @@ def consolidate(spark: SparkSession, path: str, count: int | None = None) -> Non
 
 def rewrite_base(rows: DataFrame, path: str, state: log.State) -> None:
     """The rows of the base as ``rows``, which have the same texts: the terms stay."""
-    terms = state.terms[state.base["write"]]
+    terms = state.terms[state.base["texts"]]
     count = state.base["buckets"]
     _replace_base(rows, path, state, [], uuid.uuid4().hex, count, terms)
 
@@ -498,8 +542,10 @@ def _replace_base(
     )
     kept = stats.section_parts(written.withColumn(BATCH, F.lit("base")), BATCH)
     kept.write.parquet(f"{path}/statistics/{WRITE}={write}")
-    base = {"do": "base", "write": write, "buckets": count, "schema": columns.json()}
-    actions = [{**base, "labels": labels}, {"do": "terms", "write": write, "folder": terms}]
+    base = {"do": "base", "write": write, "buckets": count, "schema": columns.json(), "labels": labels}
+    names = files.data_names(spark, f"{path}/base/{WRITE}={write}")
+    place = {"folder": write, "files": {write: names}, "texts": write}
+    actions = [{**base, **place}, {"do": "terms", "write": write, "folder": terms}]
     if state.runs and state.runs[-1]["buckets"] != count:
         run = state.runs[-1]
         actions.append(_write_run(_labels(spark, path, run), path, run["label"], count))
@@ -520,30 +566,39 @@ def vacuum(spark: SparkSession, path: str, version: int) -> list[str]:
     Folders that no commit names yet may belong to a writer at work and stay.
     """
     last = log.read(spark, path)
-    needed, known = set(), set()
+    needed, known, replaced = set(), set(), {}
     for number in range(last.version + 1):
-        named = set(_named_folders(log.read(spark, path, number)))
+        state = log.read(spark, path, number)
+        named = set(_named_places(state))
         known |= named
         if number >= version:
             needed |= named
-    gone = sorted(known - needed)
-    for folder in gone:
-        files.delete(spark, f"{path}/{folder}")
-    return gone
-
-
-def _named_folders(state: log.State) -> list[str]:
-    folders = [
-        f"articles/{WRITE}={b['write']}/{BATCH}={label}" for label, b in state.batches.items()
-    ]
+            # Of a folder in use, the files that no kept version reads.
+            for place, names in batch_places(state).items():
+                replaced[place] = replaced.get(place, set(names)) & set(names)
+    gone = known - needed
+    gone |= {f"articles/{place}/{name}" for place, names in replaced.items() for name in names}
+    for name in sorted(gone):
+        files.delete(spark, f"{path}/{name}")
+    return sorted(gone)
+
+
+def _named_places(state: log.State) -> list[str]:
+    places = [f"articles/{place}" for place in batch_places(state)]
+    parts = {write for b in state.batches.values() for write, _ in b["parts"]}
     writes = {b["write"] for b in state.batches.values()}
+    texts = {b["texts"] for b in state.batches.values()}
     if state.base:
         writes.add(state.base["write"])
-        folders.append(f"base/{WRITE}={state.base['write']}")
-    folders += [f"statistics/{WRITE}={write}" for write in writes]
-    folders += [f"terms/{state.terms[write]}" for write in writes if write in state.terms]
-    folders += [f"index/{state.indexes[write]}" for write in writes if write in state.indexes]
-    return folders + [f"topics/run={run['folder']}" for run in state.runs]
+        texts.add(state.base["texts"])
+        parts |= state.base["files"].keys()
+        merged = f"base/{WRITE}={state.base['folder']}"
+        places += [merged, *(f"{merged}/{name}" for name in base_names(state))]
+    places += [f"statistics/{WRITE}={write}" for write in writes]
+    places += [f"terms/{state.terms[write]}" for write in texts if write in state.terms]
+    places += [f"index/{state.indexes[write]}" for write in parts if write in state.indexes]
+    places += [f"keys/{state.keys[write]}" for write in parts if write in state.keys]
+    return places + [f"topics/run={run['folder']}" for run in state.runs]
 
 
 def snapshot(spark: SparkSession, path: str) -> str | None:
