@@ -17,10 +17,16 @@ def _name() -> str:
     return f"corpusflow_{uuid.uuid4().hex}"
 
 
-def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """One file for each bucket, its rows sorted by the keys."""
+def write_bucketed(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int, in_buckets: bool = False
+) -> None:
+    """One file for each bucket, its rows sorted by the keys.
+
+    ``in_buckets``: each partition of ``df`` is a bucket already, so no row is moved.
+    """
     name = _name()
-    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    dealt = df if in_buckets else df.repartition(buckets, *keys)
+    dealt = dealt.sortWithinPartitions(*keys)
     writer = dealt.write.format("parquet").bucketBy(buckets, list(keys)).sortBy(list(keys))
     try:
         writer.option("path", path).saveAsTable(name)

@@ -67,7 +67,6 @@ def _update(changes: DataFrame, names: list[str], path: str, state: log.State) -
     size = changes.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
     last = changes.select("ID", F.struct(*(F.col(f"`{c}`") for c in names)).alias("_update"))
     small = size <= SENT_CHARS
-    last = F.broadcast(last) if small else last
     merged = [name for name in held if name.startswith("base/")]
     recent = [name for name in held if not name.startswith("base/")]
     actions = _rewrite_batches(last, names, path, state, recent, small) if recent else []
@@ -186,7 +185,7 @@ def _rewrite_batches(
     kinds = StructType([*columns.fields, StructField(store.BATCH, StringType())])
     read = spark.read.schema(StructType([*kinds.fields, StructField(store.WRITE, StringType())]))
     rows = read.option("basePath", f"{path}/articles").parquet(*(f"{path}/{name}" for name in held))
-    rows = replace_by_key(rows.drop(store.WRITE), last, names)
+    rows = replace_by_key(rows.drop(store.WRITE), F.broadcast(last) if small else last, names)
     if not small:
         # The join dealt the rows out by hash: files get narrow ranges of IDs again.
         rows = rows.repartitionByRange(len(held), store.BATCH, "ID")
@@ -214,13 +213,20 @@ def _rewrite_batches(
 def _rewrite_buckets(
     last: DataFrame, names: list[str], path: str, state: log.State, held: list[str]
 ) -> list[log.Action]:
-    """New files of the same buckets of the consolidated part."""
+    """New files of the same buckets of the consolidated part.
+
+    Articles stay in their buckets: only changes are moved, to where their articles are.
+    """
     spark, write = last.sparkSession, uuid.uuid4().hex
-    own, folder = store.base_schema(state), store.base_folder(path, state)
-    rows = spark.read.schema(own).parquet(*(f"{path}/{name}" for name in held))
-    rows = replace_by_key(rows, last, names)
+    folder, count = store.base_folder(path, state), state.base["buckets"]
+    rows = buckets.read_bucketed(spark, folder, store.base_schema(state), ["ID"], count)
+    columns = rows.columns
+    # Files of other buckets are not opened.
+    held_here = F.col("_metadata.file_name").isin([name.rsplit("/", 1)[1] for name in held])
+    rows = rows.filter(held_here).select(*columns)
+    rows = replace_by_key(rows, last.repartition(count, "ID").hint("shuffle_hash"), names)
     beside = f"{path}/base/{store.WRITE}={write}"
-    buckets.write_bucketed(rows, beside, ["ID"], state.base["buckets"])
+    buckets.write_bucketed(rows, beside, ["ID"], count, in_buckets=True)
     new = files.data_names(spark, beside)
     # No version names these files yet, so none sees them in the folder.
     for name in new:
