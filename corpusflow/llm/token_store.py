@@ -22,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpusflow.llm import common
+from corpusflow.llm import byte_bpe, common
 
 END_ID = 1
 SHARD_TOKENS = 1 << 21
@@ -36,38 +37,69 @@ MIN_SHARE, MIN_COUNT = 1 / 16384, 4
 #: Rounds end when one shortens the sequence by less than this.
 MIN_GAIN = 0.01
 COUNT_BITS = 20
-#: Words whose ids a worker keeps at hand, and words encoded at a time.
-KNOWN_WORDS, WORDS_AT_ONCE = 400_000, 2048
+#: Words of a generation that a worker keeps with their ids, and words encoded at a time.
+KNOWN_WORDS, WORDS_AT_ONCE = 600_000, 2048
+#: Text whose words are numbered together.
+TEXT_BYTES = 8 << 20
 SHARD_SCHEMA = (
     "part int, part_before long, ids array<{id}>, lengths array<long>, n_tokens long, first_rule long, "
     "rules binary, rule_lengths binary, symbols binary"
 )
 
-_tokenizers: dict[str, tuple[Tokenizer, dict[bytes, bytes]]] = {}
+_tokenizers: dict[str, "Words"] = {}
 
 
-def frequent_pairs(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys found ``least`` times or more, ascending, and their counts."""
-    slots = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNT_BITS)
-    slots = slots.astype(np.int64)
-    often = np.bincount(slots, minlength=1 << COUNT_BITS) >= least
-    found, counts = np.unique(keys[often[slots]], return_counts=True)
-    return found[counts >= least], counts[counts >= least]
+def _slots(keys: np.ndarray, turn: int) -> np.ndarray:
+    """A hash of each key; another one each turn."""
+    factor = (0x9E3779B97F4A7C15 + turn * 0xD1342543DE82EF96) % (1 << 64) | 1
+    return ((keys.astype(np.uint64) * np.uint64(factor)) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
 
+def frequent_pairs(
+    keys: np.ndarray, least: int, turn: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of keys found ``least`` times or more, their ranks, and the keys by rank.
 
-def chosen_pairs(rank: np.ndarray) -> np.ndarray:
-    """Places of pairs to replace, none overlapping; ``rank``: lower goes first, -1 never."""
-    most = np.iinfo(np.int64).max
-    order = np.where(rank < 0, most, rank)
-    edge = np.empty(len(order), bool)  # where a run of one pair starts
-    edge[:1] = True
-    edge[1:] = order[1:] != order[:-1]
-    start = np.maximum.accumulate(np.where(edge, np.arange(len(order)), 0))
-    offset = np.arange(len(order)) - start
-    left = np.concatenate([[most], order[:-1]])
-    right = np.concatenate([order[1:], [most]])
-    first = (offset > 0) | (left > order) | (np.arange(len(order)) == 0)
-    return np.flatnonzero((order < most) & (offset % 2 == 0) & first & (right >= order))
+    The most frequent key has rank 0. Keys are counted by slots of a hash: where none
+    reaches ``least``, no key does. Of several keys in a slot one is counted exactly and
+    the others wait for the next turn, which has another hash; only if that leaves
+    nothing are the keys sorted.
+    """
+    slots = _slots(keys, turn)
+    often = np.bincount(slots, minlength=1 << COUNT_BITS) >= least
+    places = np.flatnonzero(often[slots])
+    held, slots = keys[places], slots[places]
+    holder = np.zeros(1 << COUNT_BITS, np.int64)
+    holder[slots] = held
+    own = holder[slots] == held
+    counts = np.bincount(slots[own], minlength=1 << COUNT_BITS)
+    found = np.flatnonzero(counts >= least)
+    if not len(found) and len(places):
+        holder, slots, counts = np.unique(held, return_inverse=True, return_counts=True)
+        own = np.ones(len(held), bool)
+        found = np.flatnonzero(counts >= least)
+    found = found[np.argsort(-counts[found], kind="stable")]
+    rank_of = np.full(len(counts), -1, np.int64)
+    rank_of[found] = np.arange(len(found))
+    rank = np.where(own, rank_of[slots], -1)
+    return places[rank >= 0], rank[rank >= 0], holder[found]
+
+
+def chosen_pairs(places: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the pairs at ascending ``places`` to replace, none overlapping.
+
+    Of two that overlap, the lower ``rank`` goes first; a run of one pair is taken from
+    its left end.
+    """
+    follows = np.zeros(len(places) + 1, bool)  # overlaps the pair before it
+    follows[1:-1] = places[1:] == places[:-1] + 1
+    left, right = follows[:-1], follows[1:]
+    before, after = np.roll(rank, 1), np.roll(rank, -1)
+    edge = ~left | (before != rank)  # where a run of one pair starts
+    number = np.arange(len(places))
+    offset = number - np.maximum.accumulate(np.where(edge, number, 0))
+    first = ~edge | ~left | (before > rank)
+    return np.flatnonzero((offset % 2 == 0) & first & (~right | (after >= rank)))
 
 
 def compress(
@@ -86,21 +118,18 @@ def compress(
         before = len(symbols)
         least = max(min_count, int(len(symbols) * min_share))
         keys = symbols[:-1] * bound + symbols[1:]
-        found, counts = frequent_pairs(keys, least)
+        places, rank, found = frequent_pairs(keys, least, len(rules))
         if not len(found):
             break
-        rank_of = np.empty(len(found), np.int64)
-        rank_of[np.argsort(-counts, kind="stable")] = np.arange(len(found))
-        at = np.minimum(np.searchsorted(found, keys), len(found) - 1)
-        rank = np.where(found[at] == keys, rank_of[at], -1)
-        places = chosen_pairs(rank)
-        used, rule = np.unique(keys[places], return_inverse=True)
-        rules.append(np.stack([used // bound, used % bound], axis=1))
+        chosen = chosen_pairs(places, rank)
+        places, rank = places[chosen], rank[chosen]
+        used = np.bincount(rank, minlength=len(found)) > 0
+        rules.append(np.stack([found[used] // bound, found[used] % bound], axis=1))
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
-        symbols[places] = bound + rule
+        symbols[places] = bound + (np.cumsum(used) - 1)[rank]
         symbols = symbols[keep]
-        bound += len(used)
+        bound += int(used.sum())
     every = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return first, every, symbols
 
@@ -145,47 +174,86 @@ def read_range(shard: dict, start: int, count: int) -> np.ndarray:
     return ids[start - before : start - before + count]
 
 
-def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    """A worker's tokenizer and the words it has seen."""
+class Words:
+    """A worker's tokenizer and the ids of words it has met, in two generations.
+
+    When the newer generation is full it becomes the older one; words met again move to
+    the newer one, so that those which recur stay and memory is bounded.
+    """
+
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS):
+        self.tokenizer, self.limit = Tokenizer.from_file(path), known_words
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words as little-endian 32-bit integers; unmet ones are encoded."""
+        if len(self.newer) > self.limit:
+            self.newer, self.older = {}, self.newer
+        newer, older = self.newer, self.older
+        found = [newer.get(word) for word in words]
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        unmet = []
+        for k in missing:
+            ids = older.get(words[k])
+            if ids is None:
+                unmet.append(k)
+            else:
+                found[k] = newer[words[k]] = ids
+        for start in range(0, len(unmet), WORDS_AT_ONCE):
+            some = unmet[start : start + WORDS_AT_ONCE]
+            coded = self.tokenizer.encode_batch_fast([words[k] for k in some], add_special_tokens=False)
+            for k, one in zip(some, coded):
+                found[k] = newer[words[k]] = np.array(one.ids, "<u4").tobytes()
+        return found
+
+
+def _words(path: str) -> Words:
     if path not in _tokenizers:
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        _tokenizers[path] = Words(path)
     return _tokenizers[path]
 
 
-def encode_texts(tokenizer: Tokenizer, known: dict[bytes, bytes], texts: list[bytes]) -> list[bytes]:
-    """Ids of texts as little-endian 32-bit integers; each new word is encoded once.
+def encode_texts(words: Words, texts: pa.Array, end_id: int | None = None) -> list[np.ndarray]:
+    """The ids of each text, with ``end_id`` behind them.
 
     The tokenizer never merges across white space, so a text's ids are its words' ids in
-    order. New words are encoded many at a time, between marks that have an id of their
-    own; a word that holds a mark's text goes alone.
+    order. The texts' words are numbered by Arrow and each of them is looked up once.
     """
-    mark = "<|startoftext|>"
-    mark_id = tokenizer.token_to_id(mark)
-    split = [text.split() for text in texts]
-    new = list({word for words in split for word in words if word not in known})
-    plain = [w for w in new if b"<|" not in w and b"|>" not in w] if mark_id is not None else []
-    groups = [plain[k : k + WORDS_AT_ONCE] for k in range(0, len(plain), WORDS_AT_ONCE)]
-    joined = [mark.join(w.decode() for w in group) for group in groups]
-    for group, found in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-        ids = np.array(found.ids, "<u4")
-        cuts = np.flatnonzero(ids == mark_id)
-        if len(cuts) != len(group) - 1:
-            raise ValueError("a word's ids hold the mark")
-        starts = np.concatenate([[0], cuts + 1]).tolist()
-        data = ids.tobytes()
-        for word, a, b in zip(group, starts, [*cuts.tolist(), len(ids)]):
-            known[word] = data[4 * a : 4 * b]
-    alone = [w for w in new if w not in known]
-    for word, found in zip(
-        alone, tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
-    ):
-        known[word] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join([known[word] for word in words]) for words in split]
-
-
-def _shard_row(part: int, before: int, ids: list, id_type, tokens: list[bytes]) -> pa.RecordBatch:
-    lengths = [len(t) // 4 for t in tokens]
-    every = np.frombuffer(b"".join(tokens), "<u4")
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    numbers = split.flatten().dictionary_encode()
+    coded = words.ids(numbers.dictionary.to_pylist())
+    codes = numbers.indices.to_numpy()
+    ends = np.cumsum(pc.list_value_length(split).to_numpy())
+    if end_id is not None:
+        codes = np.insert(codes, ends, len(coded))
+        ends = ends + np.arange(1, len(ends) + 1)
+        coded = [*coded, np.array([end_id], "<u4").tobytes()]
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+    wide = sizes[codes]
+    flat = np.frombuffer(b"".join(coded), "<u4")
+    ids = flat[byte_bpe.ragged((np.cumsum(sizes) - sizes)[codes], wide)]
+    cuts = np.concatenate([[0], np.cumsum(wide)])[np.concatenate([[0], ends]).astype(np.int64)]
+    return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
+def _some_texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``TEXT_BYTES`` of text, or one row."""
+    sizes = pc.binary_length(batch.column("text")).to_numpy()
+    start, held = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if held and held + size > TEXT_BYTES:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += size
+    yield batch.slice(start)
+
+
+def _shard_row(
+    part: int, before: int, ids: list, id_type, tokens: list[np.ndarray]
+) -> pa.RecordBatch:
+    lengths = [len(t) for t in tokens]
+    every = np.concatenate(tokens)
     first, rules, symbols = compress(every)
     columns = {
         "part": pa.array([part], pa.int32()),
@@ -214,23 +282,19 @@ def write_tokens(
     source = common.id_and_text(docs, id_col, text_col)
     id_type = source.schema["id"].dataType.simpleString()
     ordered = source.repartitionByRange("id").sortWithinPartitions("id", "text")
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        tokenizer, known = _tokenizer(tokenizer_path)
+        words = _words(tokenizer_path)
         ids, tokens, held, kind = [], [], 0, pa.null()
         for batch in batches:
             kind = batch.schema.field("id").type
-            for k in range(0, batch.num_rows, 256):
-                some = batch.slice(k, 256)
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
-                coded = encode_texts(tokenizer, known, common.column_bytes(some, "text"))
+            for some in _some_texts(batch) if batch.num_rows else ():
+                coded = encode_texts(words, some.column("text"), end_id)
                 for key, data in zip(some.column("id").to_pylist(), coded):
                     ids.append(key)
-                    tokens.append(data + end)
-                    held += len(tokens[-1]) // 4
+                    tokens.append(data)
+                    held += len(data)
                     if held >= shard_tokens:
                         yield _shard_row(part, before, ids, kind, tokens)
                         before, ids, tokens, held = before + held, [], [], 0

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import ODD_TEXTS
 from hypothesis import given, settings
@@ -22,6 +23,11 @@ def library():
     return Tokenizer.from_file(WORDS)
 
 
+@pytest.fixture(scope="module")
+def few_words():
+    return token_store.Words(WORDS, known_words=5)
+
+
 def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids + [1]
 
@@ -65,10 +71,51 @@ def test_any_range(ids, data):
 
 @settings(max_examples=100)
 @given(st.lists(st.text(max_size=60), max_size=8))
-def test_words_encode_as_texts_do(library, texts):
+def test_words_encode_as_texts_do(library, few_words, texts):
     texts.append("<|endoftext|>x <|startoftext|> IT'S Ünïcode İ é")
-    found = token_store.encode_texts(library, {}, [t.encode() for t in texts])
-    assert [np.frombuffer(f, "<u4").tolist() + [1] for f in found] == [ids_of(library, t) for t in texts]
+    found = token_store.encode_texts(few_words, pa.array(texts), end_id=1)
+    assert [f.tolist() for f in found] == [ids_of(library, t) for t in texts]
+    found = token_store.encode_texts(few_words, pa.array(texts))
+    assert [f.tolist() + [1] for f in found] == [ids_of(library, t) for t in texts]
+
+
+def test_words_that_recur_stay_known(few_words):
+    few_words.newer, few_words.older = {}, {}
+    for turn in range(50):
+        few_words.ids(["often", f"once{turn}", f"twice{turn // 2}"])
+        assert "often" in few_words.newer
+        assert len(few_words.newer) + len(few_words.older) <= 2 * (few_words.limit + 3)
+
+
+def test_slices_hold_every_row(monkeypatch):
+    monkeypatch.setattr(token_store, "TEXT_BYTES", 10)
+    texts = ["", "x" * 30, "a b", "c d e", "", "f" * 9, "g"]
+    batch = pa.record_batch({"text": texts})
+    slices = [s.column("text").to_pylist() for s in token_store._some_texts(batch)]
+    assert slices == [["", "x" * 30], ["a b", "c d e", ""], ["f" * 9, "g"]]
+
+
+@settings(max_examples=100)
+@given(st.lists(st.integers(0, 30), min_size=2, max_size=400))
+def test_frequent_pairs_are_exact(numbers):
+    keys = np.array(numbers, np.int64)
+    places, rank, found = token_store.frequent_pairs(keys, 2)
+    counts = {k: numbers.count(k) for k in set(numbers)}
+    assert all(counts[k] >= 2 for k in found.tolist())
+    assert bool(len(found)) == (max(counts.values()) >= 2)
+    assert keys[places].tolist() == found[rank].tolist()
+    assert len(places) == sum(counts[k] for k in found.tolist())
+    assert [counts[k] for k in found.tolist()] == sorted((counts[k] for k in found.tolist()), reverse=True)
+
+
+def test_no_pair_is_left_when_rounds_go_to_the_end():
+    ids = np.random.default_rng(3).zipf(1.3, 20000).clip(max=500).astype(np.int64)
+    first, rules, symbols = token_store.compress(ids, min_share=0, min_count=2, min_gain=0)
+    bound = first + len(rules)
+    pairs, counts = np.unique(symbols[:-1] * bound + symbols[1:], return_counts=True)
+    alike = pairs // bound == pairs % bound  # a run of three holds its pair twice
+    assert counts[~alike].max(initial=0) < 2
+    assert token_store.expand(symbols, first, rules).tolist() == ids.tolist()
 
 
 @pytest.mark.parametrize("shard_tokens", [1, 40, 1 << 20])
@@ -115,12 +162,7 @@ def test_token_counts(spark, odd, none):
     assert token_counts.count_tokens(none, RANKS).count() == 0
     expected = []
     for doc, text in ODD_TEXTS:
-        counts = [greedy(tokens, b" " + w) for w in (text or "").encode()[:300].split()]
+        counts = [greedy(tokens, b" " + w) for w in (text or "").encode().split()]
         expected.append((doc, len(counts), sum(counts), max(counts, default=0)))
-    docs = spark.createDataFrame(
-        [(i, t if t is None else t.encode()[:300].decode("utf-8", "ignore"), 0) for i, t in ODD_TEXTS],
-        "doc_id long, text string, n_words long",
-    )
-    found = [tuple(r) for r in token_counts.count_tokens(docs, RANKS).collect()]
+    found = [tuple(r) for r in token_counts.count_tokens(odd, RANKS).collect()]
     assert sorted(found, key=repr) == sorted(expected, key=repr)
-    assert token_counts.count_tokens(odd, RANKS).count() == len(ODD_TEXTS)
