@@ -38,9 +38,9 @@ MIN_SHARE, MIN_COUNT = 1 / 16384, 4
 MIN_GAIN = 0.01
 COUNT_BITS = 20
 #: Words of a generation that a worker keeps with their ids, and words encoded at a time.
-KNOWN_WORDS, WORDS_AT_ONCE = 600_000, 2048
+KNOWN_WORDS, WORDS_AT_ONCE = 200_000, 1024
 #: Text whose words are numbered together.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 SHARD_SCHEMA = (
     "part int, part_before long, ids array<{id}>, lengths array<long>, n_tokens long, first_rule long, "
     "rules binary, rule_lengths binary, symbols binary"
