@@ -17,6 +17,7 @@ equal ids are in the order of their texts. Other columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -31,14 +32,16 @@ from tokenizers import Tokenizer
 from corpusflow.llm import byte_bpe, common
 
 END_ID = 1
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 #: A pair is frequent with this share of a shard's symbols, and at least this often.
 MIN_SHARE, MIN_COUNT = 1 / 16384, 4
 #: Rounds end when one shortens the sequence by less than this.
 MIN_GAIN = 0.01
 COUNT_BITS = 20
 #: Words of a generation that a worker keeps with their ids, and words encoded at a time.
-KNOWN_WORDS, WORDS_AT_ONCE = 200_000, 1024
+KNOWN_WORDS, WORDS_AT_ONCE = 300_000, 256
+#: A special token that separates words which are encoded together.
+MARK = "<|startoftext|>"
 #: Text whose words are numbered together.
 TEXT_BYTES = 4 << 20
 SHARD_SCHEMA = (
@@ -52,7 +55,9 @@ _tokenizers: dict[str, "Words"] = {}
 def _slots(keys: np.ndarray, turn: int) -> np.ndarray:
     """A hash of each key; another one each turn."""
     factor = (0x9E3779B97F4A7C15 + turn * 0xD1342543DE82EF96) % (1 << 64) | 1
-    return ((keys.astype(np.uint64) * np.uint64(factor)) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+    slots = keys.view(np.uint64) * np.uint64(factor)
+    slots >>= np.uint64(64 - COUNT_BITS)
+    return slots.view(np.int64)
 
 
 def frequent_pairs(
@@ -182,7 +187,9 @@ class Words:
     """
 
     def __init__(self, path: str, known_words: int = KNOWN_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks take the cores
         self.tokenizer, self.limit = Tokenizer.from_file(path), known_words
+        self.mark = self.tokenizer.token_to_id(MARK)
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -202,11 +209,32 @@ class Words:
                 found[k] = newer[words[k]] = ids
         for start in range(0, len(unmet), WORDS_AT_ONCE):
             some = unmet[start : start + WORDS_AT_ONCE]
-            coded = self.tokenizer.encode_batch_fast([words[k] for k in some], add_special_tokens=False)
-            for k, one in zip(some, coded):
-                found[k] = newer[words[k]] = np.array(one.ids, "<u4").tobytes()
+            for k, ids in zip(some, self._encoded([words[k] for k in some])):
+                found[k] = newer[words[k]] = ids
         return found
 
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Words as one text, between marks that have an id of their own.
+
+        Words that hold a part of the mark, or all if there is no mark, go alone.
+        """
+        plain = [w for w in words if "<|" not in w and "|>" not in w] if self.mark is not None else []
+        ids = {}
+        if plain:
+            one = self.tokenizer.encode_batch_fast([MARK.join(plain)], add_special_tokens=False)[0]
+            every = np.array(one.ids, "<u4")
+            cuts = np.flatnonzero(every == self.mark).tolist()
+            if len(cuts) != len(plain) - 1:
+                raise ValueError("a word's ids hold the mark")
+            data = every.tobytes()
+            for word, a, b in zip(plain, [-1, *cuts], [*cuts, len(every)]):
+                ids[word] = data[4 * a + 4 : 4 * b]
+        for word in words:
+            if word not in ids:
+                one = self.tokenizer.encode(word, add_special_tokens=False)
+                ids[word] = np.array(one.ids, "<u4").tobytes()
+        return [ids[word] for word in words]
+
 
 def _words(path: str) -> Words:
     if path not in _tokenizers:
@@ -298,6 +326,7 @@ def write_tokens(
                     if held >= shard_tokens:
                         yield _shard_row(part, before, ids, kind, tokens)
                         before, ids, tokens, held = before + held, [], [], 0
+                pa.default_memory_pool().release_unused()
         if ids:
             yield _shard_row(part, before, ids, kind, tokens)
 
