@@ -140,7 +140,11 @@ FROM documents JOIN kept USING (doc_id)"""
 
 
 def archive_records(pages: DataFrame) -> DataFrame:
-    """A WARC record per page; a repeated payload refers to the smallest page that has it."""
+    """A WARC record per page; a repeated payload refers to the smallest page that has it.
+
+    A null ``html`` is an empty payload; pages without an id, and rows that repeat an id, are
+    responses of their own. No pages give no records; other columns are not read.
+    """
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
         "page_id",
@@ -175,7 +179,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = scratch_path(spark, "warc")
     archive_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
-    records = spark.read.format("warc").load(path)
+    archive = spark.read.format("warc")
+    responses = archive.load(path).filter("record_type = 'response'")
+    revisits = archive.option("payload", "false").load(path).filter("record_type = 'revisit'")
+    records = responses.unionByName(revisits)
     held = F.col("payload").isNotNull()
     stated = F.substring_index("payload_digest", ":", -1)
     return records.select(

@@ -4,7 +4,8 @@ Writing: each task writes ``.warc.gz`` files with one compressed member per reco
 starts a new file at a size limit; the files of a write count once its manifest is there.
 A member's extra field holds its compressed and plain sizes.
 
-Reading: the driver packs the files of all manifests into partitions by size. Equality
+Reading: the driver packs the files of all manifests into partitions by size; in a folder
+without a manifest, all its ``.warc.gz`` files, and none at all are an error. Equality
 tests on the record type and on other header columns are pushed down. A record's headers
 are inflated first; if a pushed test fails, or payloads are not asked for
 (``option("payload", "false")``), the rest of the member is skipped by its size, or, in
@@ -13,12 +14,14 @@ foreign files without that field, inflated and forgotten.
 Columns: ``record_id, record_type, target_uri, date, refers_to, payload_digest,
 payload_length, payload``. A null column gives no header. Line breaks in header values
 become spaces. A response's block is an HTTP response; a revisit holds its HTTP headers
-only, where the length of the payload stands. Paths can be any that ``pyarrow.fs`` opens.
+only, where the length of the payload stands. The whole block of a record that is not
+HTTP is its payload. An archive of no records reads as no rows. Paths can be any that ``pyarrow.fs`` opens.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -38,6 +41,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from corpusflow.llm import common
+
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, refers_to string, "
     "payload_digest string, payload_length long, payload binary"
@@ -79,7 +84,7 @@ def record_bytes(row: dict) -> bytes:
     lines = ["WARC/1.1"]
     for column, header in HEADERS.items():
         if row[column] is not None:
-            value = " ".join(str(row[column]).split())
+            value = re.sub(r"[\r\n]+", " ", str(row[column]))
             lines.append(f"{header}: {value}")
     if revisit:
         lines.append(f"WARC-Profile: {REVISIT_PROFILE}")
@@ -97,6 +102,12 @@ def member(plain: bytes) -> bytes:
     return head + body + struct.pack("<II", zlib.crc32(plain), len(plain) & 0xFFFFFFFF)
 
 
+def batch_rows(batch: pa.RecordBatch, at_once: int = 64) -> Iterator[dict]:
+    """The rows of a batch, a few of them as Python values at a time."""
+    for k in range(0, batch.num_rows, at_once):
+        yield from batch.slice(k, at_once).to_pylist()
+
+
 @dataclass
 class WrittenFiles(WriterCommitMessage):
     files: list[tuple[str, int]]
@@ -115,11 +126,10 @@ class WarcWriter(DataSourceArrowWriter):
         files: list[tuple[str, int]] = []
         out, size = None, 0
         for batch in iterator:
-            for k in range(batch.num_rows):
+            for row in batch_rows(batch):
                 if out is None:
                     name = f"{self.write_id[:8]}-{uuid.uuid4().hex}.warc.gz"
                     out, size = system.open_output_stream(f"{folder}/{name}", compression=None), 0
-                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 size += out.write(member(record_bytes(row)))
                 if size >= FILE_BYTES:
                     out.close()
@@ -149,13 +159,29 @@ class FileSet(InputPartition):
     names: list[str]
 
 
+class _Ahead:
+    """A stream with what was read last, so that small members share a read."""
+
+    def __init__(self, stream):
+        self.stream, self.start, self.held = stream, 0, b""
+
+    def at(self, offset: int, least: int = 1) -> bytes:
+        """Bytes from ``offset`` on, ``least`` of them unless the stream ends before."""
+        inside = offset - self.start
+        rest = self.held[inside:] if 0 <= inside < len(self.held) else b""
+        if len(rest) < least:
+            self.stream.seek(offset + len(rest))
+            self.start, self.held = offset, rest + self.stream.read(CHUNK)
+            rest = self.held
+        return rest
+
+
 class _Member:
     """A gzip member at ``offset``: inflates on demand, and knows where the next one is."""
 
-    def __init__(self, stream, offset: int):
-        self.stream, self.offset = stream, offset
-        stream.seek(offset)
-        self.pending = stream.read(CHUNK)
+    def __init__(self, ahead: _Ahead, offset: int):
+        self.ahead, self.offset = ahead, offset
+        self.pending = ahead.at(offset, 24)
         self.given, self.start = len(self.pending), self.pending[:24]
         self.inflate = zlib.decompressobj(31)
 
@@ -163,7 +189,7 @@ class _Member:
         """The next plain bytes; none at the member's end."""
         while not self.inflate.eof:
             if not self.pending:
-                self.pending = self.stream.read(CHUNK)
+                self.pending = self.ahead.at(self.offset + self.given)
                 self.given += len(self.pending)
                 if not self.pending:
                     raise EOFError("the archive ends inside a record")
@@ -199,21 +225,25 @@ def parse_headers(head: bytes) -> dict[str, str]:
 
 def read_records(stream, wanted: dict[str, str], payload: bool) -> Iterator[tuple]:
     """The rows of one file whose columns equal ``wanted``."""
-    offset, length = 0, stream.size()
+    offset, length, ahead = 0, stream.size(), _Ahead(stream)
     while offset < length:
-        one = _Member(stream, offset)
+        one = _Member(ahead, offset)
         head, block = one.until(b"\r\n\r\n")
         headers = parse_headers(head)
         row = {column: headers.get(name.lower()) for column, name in HEADERS.items()}
         if all(row.get(column) == value for column, value in wanted.items()):
-            http, body = one.until(b"\r\n\r\n", block)
-            size = int(parse_headers(http).get("content-length", 0))
+            whole = int(headers["content-length"])
+            if headers.get("content-type", "application/http").startswith("application/http"):
+                http, body = one.until(b"\r\n\r\n", block)
+                inside = max(0, whole - len(http) - 4)
+                size = int(parse_headers(http).get("content-length", inside))
+            else:
+                body, size, inside = block, whole, whole
             if payload and row["record_type"] != "revisit":
                 parts = [body]
                 while piece := one.more():  # to the end, so that the check sum is tested
                     parts.append(piece)
-                body = b"".join(parts)[: int(headers["content-length"]) - len(http) - 4]
-                yield (*row.values(), size, body)
+                yield (*row.values(), size, b"".join(parts)[:inside])
             else:
                 yield (*row.values(), size, None)
         offset = one.end()
@@ -236,10 +266,15 @@ class WarcReader(DataSourceReader):
         """Files packed by size: a partition has about PARTITION_BYTES, or one larger file."""
         system, folder = file_system(self.path)
         files: list[tuple[str, int]] = []
-        for info in system.get_file_info(fs.FileSelector(folder)):
-            if info.base_name.startswith("manifest-"):
-                with system.open_input_stream(info.path) as manifest:
-                    files += [tuple(f) for f in json.loads(manifest.read())]
+        listed = system.get_file_info(fs.FileSelector(folder))
+        manifests = [f for f in listed if f.base_name.startswith("manifest-")]
+        for info in manifests:
+            with system.open_input_stream(info.path) as manifest:
+                files += [tuple(f) for f in json.loads(manifest.read())]
+        if not manifests:
+            files = [(f.base_name, f.size) for f in listed if f.base_name.endswith(".warc.gz")]
+            if not files:
+                raise FileNotFoundError(f"no manifest and no .warc.gz file in {self.path}")
         packed, size = [], PARTITION_BYTES
         for name, length in sorted(files):
             if size + length > PARTITION_BYTES:
@@ -291,5 +326,6 @@ class WarcDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Makes ``format("warc")`` known to the session, with push-down of filters."""
+    common.workers_find_package(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

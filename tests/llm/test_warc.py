@@ -90,6 +90,43 @@ def test_files_without_a_manifest_are_not_read(spark, archive, tmp_path):
     assert rows(spark, archive).count() == 0
 
 
+def test_a_folder_of_foreign_archives(spark, tmp_path):
+    warc.register(spark)
+    folder = tmp_path / "foreign"
+    folder.mkdir()
+    with pytest.raises(Exception, match="no manifest"):
+        rows(spark, str(folder)).count()
+    info = b"software: other/1.0\r\n"
+    head = f"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(info)}"
+    chunked = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nbody"
+    other = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:c>\r\nContent-Length: {len(chunked)}"
+    for k in range(3):
+        parts = [head.encode() + b"\r\n\r\n" + info, other.encode() + b"\r\n\r\n" + chunked]
+        data = b"".join(gzip.compress(part + b"\r\n\r\n") for part in parts)
+        (folder / f"{k}.warc.gz").write_bytes(data + gzip.compress(record(k, 3000)))
+    found = rows(spark, str(folder))
+    assert found.count() == 9
+    assert {(r["payload"], r["payload_length"]) for r in found.filter("record_type = 'warcinfo'").collect()} == {
+        (info, len(info))
+    }
+    assert {(r["payload"], r["payload_length"]) for r in found.filter("record_id = '<urn:c>'").collect()} == {
+        (b"body", 4)
+    }
+    assert found.filter("payload_length = 3000").count() == 3
+
+
+def test_extra_columns_do_not_clash(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", "y" * 100, "a", 5), (2, "v", "y" * 100, "b", 6)],
+        "page_id long, url string, html string, payload string, n long",
+    )
+    found = queries.archive_records(pages).orderBy("record_id").collect()
+    assert [(r["record_type"], r["refers_to"]) for r in found] == [
+        ("response", None),
+        ("revisit", "<urn:page:1>"),
+    ]
+
+
 def test_no_pages(spark, tmp_path):
     warc.register(spark)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
@@ -143,6 +180,13 @@ def test_unwanted_payloads_are_not_read():
     assert stream.taken <= 5 * warc.CHUNK < stream.size() / 5
 
 
+@pytest.mark.parametrize("pack", [warc.member, gzip.compress])
+def test_small_records_share_reads(pack):
+    stream = Counted(b"".join(pack(record(k, 2000)) for k in range(500)))
+    assert len(list(warc.read_records(stream, {}, True))) == 500
+    assert stream.taken <= 1.1 * stream.size()
+
+
 def test_a_broken_payload_is_noticed():
     data = bytearray(warc.member(record(1)))
     data[-6] ^= 1  # in the check sum
