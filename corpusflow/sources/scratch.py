@@ -12,14 +12,18 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster, else one in the session's warehouse.
 
-    The warehouse is a Hadoop path, so executors on other machines see it too.
+    A warehouse on a machine's own disk serves a local session only: on a cluster the
+    executors would each write to their own, so that is an error.
     """
     context = spark.sparkContext
     configured = context.getConf().get(CHECKPOINT_CONF)
     configured = configured or spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        configured = context.getCheckpointDir() or f"{warehouse}/corpusflow-scratch"
+        configured = context.getCheckpointDir()
+        if not configured and warehouse.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a shared folder; {warehouse} is a local one")
+        configured = configured or f"{warehouse}/corpusflow-scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
