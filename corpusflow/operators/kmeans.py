@@ -2,19 +2,21 @@
 
 A round is one pass over the points for all runs that still move: a task assigns its
 points to the centres of every run and returns a count and a vector sum for each centre,
-which combine in the shuffle.  Fifty restarts cost the jobs of the longest one, and only
+which are added up.  Fifty restarts cost the jobs of the longest one, and only
 centres and costs are on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import itertools
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from corpusflow.sources import workers
@@ -24,6 +26,8 @@ MAX_ROUNDS = 1000
 TOLERANCE = 1e-4
 #: Points of a pack, whose distances to all centres are in memory at once.
 PACK = 4096
+#: Up to so many tasks send their sums to the driver; the sums of more meet in tasks first.
+DIRECT = 32
 
 
 @dataclass
@@ -52,8 +56,11 @@ def _squares(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(lengths - 2 * points @ centres.T, 0.0)
 
 
-def _packed(points: DataFrame) -> DataFrame:
-    """``points(row, v)`` in packs, which Python workers read without converting them."""
+def _packed(points: DataFrame) -> RDD:
+    """``points(row, v)`` as packs of arrays ``(vectors, rows)``.
+
+    An RDD: a round is one small job, which needs no plan of its own.
+    """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -64,16 +71,19 @@ def _packed(points: DataFrame) -> DataFrame:
                 packed = (len(part), vectors.tobytes(), rows.tobytes())
                 yield pd.DataFrame([packed], columns=["n", "vectors", "rows"])
 
-    return points.mapInPandas(pack, "n int, vectors binary, rows binary")
+    def unpack(row: Row) -> tuple[np.ndarray, np.ndarray]:
+        vectors = np.frombuffer(row["vectors"]).reshape(row["n"], -1)
+        return vectors, np.frombuffer(row["rows"], dtype=np.int64)
 
+    return points.mapInPandas(pack, "n int, vectors binary, rows binary").rdd.map(unpack)
 
-def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for n, vectors, rows in zip(batch["n"], batch["vectors"], batch["rows"]):
-            yield np.frombuffer(vectors).reshape(n, -1), np.frombuffer(rows, dtype=np.int64)
 
+def _merged(parts: RDD, merge: Callable):
+    """What the tasks found, put together; beyond ``DIRECT`` tasks not by the driver alone."""
+    return parts.treeReduce(merge, depth=1 if parts.getNumPartitions() <= DIRECT else 2)
 
-def _first_centres(points: DataFrame, runs: list[Run]) -> None:
+
+def _first_centres(points: RDD, runs: list[Run]) -> None:
     """Chooses the centres of all runs by k-means++, one for each run in a pass.
 
     A point is drawn with a chance in proportion to its squared distance from the centres
@@ -81,66 +91,74 @@ def _first_centres(points: DataFrame, runs: list[Run]) -> None:
     """
     for step in range(max(run.k for run in runs)):
         open_ = [(i, run) for i, run in enumerate(runs) if len(run.centres) == step < run.k]
+        if not open_:
+            break
+        centres = np.vstack([run.centres for _, run in open_]) if step else None
+        seeds = [(i, run.seed) for i, run in open_]
 
-        def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def draw(packs: Iterator) -> Iterator[dict[int, tuple[float, list[float]]]]:
             best: dict[int, tuple[float, list[float]]] = {}
-            for v, row in _unpacked(batches):
-                for i, run in open_:
-                    weight = _squares(v, run.centres).min(axis=1) if step else np.ones(len(v))
+            for v, row in packs:
+                if step:
+                    weights = _squares(v, centres).reshape(len(v), -1, step).min(axis=2)
+                for place, (i, seed) in enumerate(seeds):
+                    weight = weights[:, place] if step else np.ones(len(v))
                     with np.errstate(divide="ignore"):
-                        wait = -np.log(_uniform(row, run.seed, step)) / weight
+                        wait = -np.log(_uniform(row, seed, step)) / weight
                     wait[weight <= 0] = np.inf
                     at = int(wait.argmin())
                     if wait[at] < best.get(i, (np.inf,))[0]:
                         best[i] = float(wait[at]), v[at].tolist()
-            if best:
-                rows = [(i, wait, v) for i, (wait, v) in best.items()]
-                yield pd.DataFrame(rows, columns=["run", "wait", "v"])
+            yield best
+
+        def sooner(one: dict, other: dict) -> dict:
+            # Equal waiting times: the smaller vector.
+            return one | {i: min(one.get(i, found), found) for i, found in other.items()}
 
-        drawn = points.mapInPandas(draw, "run int, wait double, v array<double>")
-        # One row a run; equal waiting times: the smaller vector.
-        first = drawn.groupBy("run").agg(F.min(F.struct("wait", "v")).alias("first"))
-        for found in first.select("run", "first.v").collect():
-            run = runs[found["run"]]
-            centre = np.array([found["v"]])
-            run.centres = np.vstack([run.centres, centre]) if step else centre
+        for i, (_, v) in _merged(points.mapPartitions(draw), sooner).items():
+            centre = np.array([v])
+            runs[i].centres = np.vstack([runs[i].centres, centre]) if step else centre
 
 
-def _pass(points: DataFrame, runs: list[Run]) -> list[tuple[np.ndarray, float, float]]:
+def _pass(points: RDD, runs: list[Run]) -> list[tuple[np.ndarray, float, float]]:
     """New centres, cost and the farthest move of each run."""
     centres = np.vstack([run.centres for run in runs])
     starts = np.cumsum([0, *(len(run.centres) for run in runs)])
-    width = centres.shape[1]
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Neighbouring runs of as many centres are worked on as one block.
+    blocks, at = [], 0
+    for size, group in itertools.groupby(len(run.centres) for run in runs):
+        count = len(list(group))
+        blocks.append((at, at + count, int(starts[at]), int(starts[at + count]), size))
+        at += count
+
+    def sums(packs: Iterator) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         counts = np.zeros(len(centres))
         totals = np.zeros(centres.shape)
-        costs = np.zeros(len(centres))
-        for v, _ in _unpacked(batches):
+        costs = np.zeros(len(starts) - 1)
+        for v, _ in packs:
             gaps = _squares(v, centres)
             own = np.zeros(gaps.shape)
-            rows = np.arange(len(v))
-            for a, b in zip(starts[:-1], starts[1:]):
-                own[rows, a + gaps[:, a:b].argmin(axis=1)] = 1.0
+            for first, last, a, b, size in blocks:
+                near = gaps[:, a:b].reshape(len(v), -1, size)
+                nearest = near.argmin(axis=2)[:, :, None]
+                costs[first:last] += np.take_along_axis(near, nearest, 2)[:, :, 0].sum(axis=0)
+                columns = np.arange(a, b, size) + nearest[:, :, 0]
+                own[np.arange(len(v))[:, None], columns] = 1.0
             counts += own.sum(axis=0)
-            costs += (own * gaps).sum(axis=0)
             totals += own.T @ v
-        met = np.nonzero(counts)[0]
-        if len(met):
-            yield pd.DataFrame(
-                {"centre": met, "n": counts[met], "cost": costs[met], "sums": list(totals[met])}
-            )
-
-    found = points.mapInPandas(sums, "centre int, n double, cost double, sums array<double>")
-    means = [F.sum(F.get("sums", F.lit(d))) / F.sum("n") for d in range(width)]
-    merged = found.groupBy("centre").agg(F.sum("cost").alias("cost"), F.array(*means).alias("mean"))
-    moved, costs = centres.copy(), np.zeros(len(centres))
-    for row in merged.collect():  # one row a centre
-        moved[row["centre"]], costs[row["centre"]] = row["mean"], row["cost"]
+        yield counts, totals, costs
+
+    def add(one: tuple, other: tuple) -> tuple:
+        return tuple(x + y for x, y in zip(one, other))
+
+    counts, totals, costs = _merged(points.mapPartitions(sums), add)
+    met = counts > 0
+    moved = centres.copy()
+    moved[met] = totals[met] / counts[met, None]
     steps = np.sqrt(((moved - centres) ** 2).sum(axis=1))
     return [
-        (moved[a:b], float(costs[a:b].sum()), float(steps[a:b].max()))
-        for a, b in zip(starts[:-1], starts[1:])
+        (moved[a:b], float(cost), float(steps[a:b].max()))
+        for a, b, cost in zip(starts[:-1], starts[1:], costs)
     ]
 
 
@@ -153,7 +171,7 @@ def fit(
     """
     workers.find_package(df.sparkSession)
     rows = df.select(F.xxhash64(key).alias("row"), vector_to_array(features).alias("v"))
-    points = _packed(rows).persist()  # read in every pass
+    points = _packed(rows).persist(StorageLevel.MEMORY_AND_DISK)  # read in every pass
     runs = [
         Run(k, seed + number, np.empty((0, 0))) for k in k_values for number in range(restarts)
     ]
