@@ -33,7 +33,8 @@ def filter_topic_group(df: DataFrame, names: DataFrame, group: str = ALL) -> Dat
     if group == ALL:
         return df
     wanted = names.filter(F.col("name") == group).select(F.col("topic").alias("Topic"))
-    return df.join(wanted, "Topic", "left_semi").select(*df.columns)
+    # One row a topic: articles are not dealt out by their few topics.
+    return df.join(F.broadcast(wanted), "Topic", "left_semi").select(*df.columns)
 
 
 def filter_min_words(df: DataFrame, words: int = 0) -> DataFrame:
@@ -104,9 +105,9 @@ def article_cards(df: DataFrame, limit: int = CARD_PREVIEW) -> DataFrame:
 def search_cards(df: DataFrame, names: DataFrame) -> DataFrame:
     """A search hit: the whole summary, or a short preview, and the topic's name."""
     content = preview_text(F.col("Content"), SEARCH_PREVIEW)
-    named = df.join(
-        names.withColumnRenamed("topic", "Topic"), "Topic", "left"
-    )
+    # One row a topic: articles are not dealt out by their few topics.
+    labels = F.broadcast(names.withColumnRenamed("topic", "Topic"))
+    named = df.join(labels, "Topic", "left")
     label = F.coalesce("name", F.concat(F.lit("Topic "), F.col("Topic")))
     return named.select(
         "ID",

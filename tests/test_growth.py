@@ -35,3 +35,17 @@ def test_a_round_of_kmeans_is_one_stage(spark):
         assert np.allclose(centres, wanted)
         assert cost == pytest.approx(gaps.min(axis=1).sum())
         assert step == pytest.approx(np.sqrt(((wanted - run.centres) ** 2).sum(axis=1)).max())
+
+
+def test_cards_are_not_dealt_out_by_topic(spark, plan):
+    df = spark.range(100).selectExpr(
+        "id AS ID", "'t' AS Title", "cast(id % 2 AS int) AS Topic", "'c' AS Content", "'s' AS summary"
+    )
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "topic int, name string").repartition(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (search.search_cards(df, names), search.filter_topic_group(df, names, "a")):
+            assert "BroadcastHashJoin" in plan(found)
+            assert "hashpartitioning(Topic" not in plan(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
