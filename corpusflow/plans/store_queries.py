@@ -310,7 +310,7 @@ def stream_titles(spark, sf_dir):
 
 def _stored(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "store")
-    frame = topic_queries.processed(spark, sf_dir).drop("Topic")
+    frame = topic_queries.texts(spark, sf_dir).drop("Topic")
     sections = articles(spark, sf_dir).select("ID", "Title", "Section")
     store.write_batch(frame.join(sections, "ID"), path, "first")
     return path
@@ -330,10 +330,9 @@ def stored_metadata(spark, sf_dir):
 
 def chart_tables(spark, sf_dir):
     """The chart tables, written and read back: ``(chart, rows)``."""
-    frame = topic_queries.processed(spark, sf_dir).join(
-        articles(spark, sf_dir).select("ID", "Section"), "ID"
-    )
-    keywords = topic_queries._keywords(spark, sf_dir)
+    texts = topic_queries.processed(spark, sf_dir)
+    frame = texts.join(articles(spark, sf_dir).select("ID", "Section"), "ID")
+    keywords = topic_queries.keywords_of(texts)
     tables = update.chart_tables(frame, keywords, topic_queries.TOPICS)
     paths = update.write_chart_tables(tables, scratch_path(spark, "charts"))
     counts = [
@@ -353,10 +352,9 @@ def chart_numbers(spark, sf_dir):
 
     Of the scatter, whose axes have no fixed sign, the points of each topic.
     """
-    frame = topic_queries.processed(spark, sf_dir).join(
-        articles(spark, sf_dir).select("ID", "Section"), "ID"
-    )
-    keywords = topic_queries._keywords(spark, sf_dir)
+    texts = topic_queries.processed(spark, sf_dir)
+    frame = texts.join(articles(spark, sf_dir).select("ID", "Section"), "ID")
+    keywords = topic_queries.keywords_of(texts)
     tables = update.chart_tables(frame, keywords, topic_queries.TOPICS)
     paths = update.write_chart_tables(tables, scratch_path(spark, "charts"))
     columns = {

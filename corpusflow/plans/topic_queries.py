@@ -13,6 +13,7 @@ from corpusflow.functions import text as T
 from corpusflow.operators import features as X
 from corpusflow.operators import stats, topics
 from corpusflow.plans import oracle_parts as O
+from corpusflow.sources.scratch import kept
 from corpusflow.sources.tables import articles, spread, spread_articles, table
 
 TOPICS = 4
@@ -28,6 +29,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``texts``, worked out once for queries that read them several times."""
+    return kept(texts(spark, sf_dir), "texts")
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ID, Topic, processed_text)`` of all articles."""
     text = T.processed_text(T.clean_text(F.col("Content")))
     frame = spread_articles(spark, sf_dir).withColumn("processed_text", text)
@@ -35,7 +41,10 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = processed(spark, sf_dir)
+    return keywords_of(processed(spark, sf_dir))
+
+
+def keywords_of(frame: DataFrame) -> DataFrame:
     vocabulary = X.fit_vocabulary(frame)
     rows = X.tfidf_rows(frame, vocabulary).withColumnRenamed("Topic", "topic")
     return topics.top_keywords(topics.cluster_centers(rows, vocabulary, TOPICS))
@@ -153,7 +162,7 @@ def keyword_matrix(spark, sf_dir):
 
 
 def term_frequencies(spark, sf_dir):
-    return stats.term_frequencies(processed(spark, sf_dir), _names(spark, sf_dir))
+    return stats.term_frequencies(texts(spark, sf_dir), _names(spark, sf_dir))
 
 
 def overview(spark, sf_dir):

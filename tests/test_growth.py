@@ -49,3 +49,22 @@ def test_cards_are_not_dealt_out_by_topic(spark, plan):
             assert "hashpartitioning(Topic" not in plan(found)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def counted(spark, df):
+    """``df`` whose text is made by a function that counts its calls."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        calls.add(1)
+        return f"First words of article number{i} here. " * 3 + f"theme{i % 3} " * 4
+
+    return df.withColumn("processed_text", text("ID")), calls
+
+
+def test_queries_of_terms_read_the_documents_once(spark, sf_dir):
+    found = topic_queries.processed(spark, sf_dir)
+    assert not any("documents" in name for name in found.inputFiles())
+    same = topic_queries.texts(spark, sf_dir)
+    assert sorted(found.collect()) == sorted(same.collect())
