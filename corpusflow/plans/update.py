@@ -12,7 +12,7 @@ from corpusflow.operators import clean, stats, summarize, topics
 from corpusflow.operators import features as X
 from corpusflow.sources import exports, log, store
 from corpusflow.sources.log import Conflict
-from corpusflow.sources.scratch import cut_lineage
+from corpusflow.sources.scratch import cut_lineage, kept
 
 REGENERATED = "topics found anew"
 
@@ -144,8 +144,10 @@ def chart_tables(
 ) -> dict[str, DataFrame]:
     """The numbers behind each chart, by chart name.
 
-    ``df`` holds ``ID``, ``Section``, ``Topic`` and ``processed_text``.
+    ``df`` holds ``ID``, ``Section``, ``Topic`` and ``processed_text``.  It and the
+    keywords are written first, as most of the charts read one of them.
     """
+    df, keywords = kept(df, "chart-texts"), kept(keywords, "chart-keywords")
     names = stats.topic_names(df, k)
     vocabulary = X.fit_vocabulary(df)
     vectors = X.tfidf_vectors(df, vocabulary).select("ID", "Topic", "features")

@@ -63,6 +63,15 @@ def counted(spark, df):
     return df.withColumn("processed_text", text("ID")), calls
 
 
+def test_texts_of_charts_are_worked_out_once(spark, tmp_path):
+    df = spark.range(30).selectExpr("id AS ID", "cast(id % 2 AS int) AS Topic", "'s' AS Section")
+    df, calls = counted(spark, df)
+    keywords = spark.createDataFrame([(0, 0, "a", 1.0)], "topic int, rank int, term string, weight double")
+    paths = update.write_chart_tables(update.chart_tables(df, keywords, 2), str(tmp_path / "charts"))
+    assert spark.read.parquet(paths["topic_scatter"]).count() == 30
+    assert calls.value == 30
+
+
 def test_queries_of_terms_read_the_documents_once(spark, sf_dir):
     found = topic_queries.processed(spark, sf_dir)
     assert not any("documents" in name for name in found.inputFiles())
