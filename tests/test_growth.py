@@ -77,3 +77,23 @@ def test_queries_of_terms_read_the_documents_once(spark, sf_dir):
     assert not any("documents" in name for name in found.inputFiles())
     same = topic_queries.texts(spark, sf_dir)
     assert sorted(found.collect()) == sorted(same.collect())
+
+
+def test_a_micro_batch_is_worked_out_once(spark, tmp_path, monkeypatch, plan):
+    article = {
+        "id": "1", "webTitle": "t", "webUrl": "u", "sectionName": "s",
+        "webPublicationDate": "2024-01-01T00:00:00Z", "fields": {"byline": "b", "body": "c d"},
+    }
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    response = {"response": {"status": "ok", "total": 2, "results": [article, article]}}
+    (landing / "one.json").write_text(json.dumps(response))
+    seen = []
+    monkeypatch.setattr(
+        ingest, "append_batch", lambda spark, rows, *_, **__: seen.append((plan(rows), rows.count()))
+    )
+    paths = (str(landing), str(tmp_path / "store"), str(tmp_path / "check"))
+    ingest.stream_ingest(spark, *paths, multi_line=False, unique_titles=True).awaitTermination()
+    [(read, count)] = seen
+    assert count == 1
+    assert "State" not in read and "json" not in read
