@@ -67,7 +67,7 @@ def update_store(
     """
     if backup:
         store.snapshot(spark, path)
-    append_batch(spark, new, path)
+    append_batch(spark, kept(new, "new"), path)  # read to be numbered and by length
     return reprocess_topics and _topic_run(spark, path, k_values)
 
 

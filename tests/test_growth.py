@@ -97,3 +97,12 @@ def test_a_micro_batch_is_worked_out_once(spark, tmp_path, monkeypatch, plan):
     [(read, count)] = seen
     assert count == 1
     assert "State" not in read and "json" not in read
+
+
+def test_new_articles_of_a_store_are_worked_out_once(spark, tmp_path):
+    df, calls = counted(spark, spark.range(20).selectExpr("id AS ID", "'t' AS Title"))
+    df = df.withColumn("Content", F.col("processed_text"))
+    path = str(tmp_path / "store")
+    for made in (20, 40):
+        update.update_store(spark, df, path, reprocess_topics=False)
+        assert calls.value == made
