@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import kmeans, search
+from corpusflow.operators import graph, kmeans, search
 from corpusflow.plans import topic_queries, update
 from corpusflow.streaming import ingest
 
@@ -106,3 +106,18 @@ def test_new_articles_of_a_store_are_worked_out_once(spark, tmp_path):
     for made in (20, 40):
         update.update_store(spark, df, path, reprocess_topics=False)
         assert calls.value == made
+
+
+def test_a_round_of_spread_ranks_sorts_nothing(spark, plan):
+    state = spark.createDataFrame(
+        [(1, 0, 2.0, 0.0, [0.4, 0.5], [0.1, 0.2])],
+        "ID long, node int, n double, alone double, xs array<double>, zs array<double>",
+    )
+    links = [(1, 0, 0, 1.0), (1, 0, 0, None)]
+    shares = spark.createDataFrame(links, "ID long, node int, to int, share double")
+    found = graph._round(state, shares, "ID")
+    assert "SortAggregate" not in plan(found)
+    base = (1 - graph.DAMPING) / 2
+    [row] = found.collect()
+    assert row["xs"] == pytest.approx([0.4, 0.5, base + 0.5 * graph.DAMPING])
+    assert row["zs"] == pytest.approx([0.1, 0.2, base])
