@@ -9,7 +9,7 @@ centres and costs are on the driver.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +24,9 @@ from corpusflow.sources import workers
 MAX_ROUNDS = 1000
 #: A run ends when none of its centres moves farther than this.
 TOLERANCE = 1e-4
-#: Points of a pack, whose distances to all centres are in memory at once.
-PACK = 4096
+#: Points of a pack, and how many of them meet all centres at once: few, as the distances
+#: then stay in a core's cache.
+PACK, TILE = 4096, 256
 #: Up to so many tasks send their sums to the driver; the sums of more meet in tasks first.
 DIRECT = 32
 
@@ -78,6 +79,13 @@ def _packed(points: DataFrame) -> RDD:
     return points.mapInPandas(pack, "n int, vectors binary, rows binary").rdd.map(unpack)
 
 
+def _tiles(packs: Iterable[tuple]) -> Iterator[tuple]:
+    """The same arrays in runs of at most ``TILE`` points."""
+    for pack in packs:
+        for at in range(0, len(pack[0]), TILE):
+            yield tuple(array[at : at + TILE] for array in pack)
+
+
 def _merged(parts: RDD, merge: Callable):
     """What the tasks found, put together; beyond ``DIRECT`` tasks not by the driver alone."""
     return parts.treeReduce(merge, depth=1 if parts.getNumPartitions() <= DIRECT else 2)
@@ -98,7 +106,7 @@ def _first_centres(points: RDD, runs: list[Run]) -> None:
 
         def draw(packs: Iterator) -> Iterator[dict[int, tuple[float, list[float]]]]:
             best: dict[int, tuple[float, list[float]]] = {}
-            for v, row in packs:
+            for v, row in _tiles(packs):
                 if step:
                     weights = _squares(v, centres).reshape(len(v), -1, step).min(axis=2)
                 for place, (i, seed) in enumerate(seeds):
@@ -120,33 +128,51 @@ def _first_centres(points: RDD, runs: list[Run]) -> None:
             runs[i].centres = np.vstack([runs[i].centres, centre]) if step else centre
 
 
+def _sums(
+    packs: Iterable[tuple], centres: np.ndarray, blocks: Sequence[tuple[int, int]]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points and vector sums of each centre, and the cost of each run.
+
+    ``blocks`` are ``(size, count)``: so many neighbouring runs with as many centres.  Each
+    run gives a point to its nearest centre, the first one on ties.
+    """
+    counts, totals = np.zeros(len(centres)), np.zeros(centres.shape)
+    costs = np.zeros(sum(count for _, count in blocks))
+    lengths = (centres**2).sum(axis=1)[:, None]
+    for v, *_ in _tiles(packs):
+        own = (v**2).sum(axis=1)
+        counted = np.column_stack([v, np.ones(len(v))])
+        a = first = 0
+        for size, count in blocks:
+            b = a + size * count
+            gaps = own + lengths[a:b]
+            gaps -= 2 * (centres[a:b] @ v.T)
+            np.maximum(gaps, 0.0, out=gaps)
+            near = gaps.reshape(count, size, len(v))
+            least = near.min(axis=1)
+            costs[first : first + count] += least.sum(axis=1)
+            mine = near == least[:, None]
+            taken = mine[:, 0].copy()
+            for place in range(1, size):
+                mine[:, place] &= ~taken
+                taken |= mine[:, place]
+            sums = mine.reshape(b - a, len(v)).astype(float) @ counted
+            totals[a:b] += sums[:, :-1]
+            counts[a:b] += sums[:, -1]
+            a, first = b, first + count
+    return counts, totals, costs
+
+
 def _pass(points: RDD, runs: list[Run]) -> list[tuple[np.ndarray, float, float]]:
     """New centres, cost and the farthest move of each run."""
     centres = np.vstack([run.centres for run in runs])
     starts = np.cumsum([0, *(len(run.centres) for run in runs)])
     # Neighbouring runs of as many centres are worked on as one block.
-    blocks, at = [], 0
-    for size, group in itertools.groupby(len(run.centres) for run in runs):
-        count = len(list(group))
-        blocks.append((at, at + count, int(starts[at]), int(starts[at + count]), size))
-        at += count
+    groups = itertools.groupby(len(run.centres) for run in runs)
+    blocks = [(size, len(list(group))) for size, group in groups]
 
     def sums(packs: Iterator) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        counts = np.zeros(len(centres))
-        totals = np.zeros(centres.shape)
-        costs = np.zeros(len(starts) - 1)
-        for v, _ in packs:
-            gaps = _squares(v, centres)
-            own = np.zeros(gaps.shape)
-            for first, last, a, b, size in blocks:
-                near = gaps[:, a:b].reshape(len(v), -1, size)
-                nearest = near.argmin(axis=2)[:, :, None]
-                costs[first:last] += np.take_along_axis(near, nearest, 2)[:, :, 0].sum(axis=0)
-                columns = np.arange(a, b, size) + nearest[:, :, 0]
-                own[np.arange(len(v))[:, None], columns] = 1.0
-            counts += own.sum(axis=0)
-            totals += own.T @ v
-        yield counts, totals, costs
+        yield _sums(packs, centres, blocks)
 
     def add(one: tuple, other: tuple) -> tuple:
         return tuple(x + y for x, y in zip(one, other))

@@ -1,6 +1,7 @@
 """How much work jobs do as their input grows."""
 
 import json
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -37,6 +38,28 @@ def test_a_round_of_kmeans_is_one_stage(spark):
         assert step == pytest.approx(np.sqrt(((wanted - run.centres) ** 2).sum(axis=1)).max())
 
 
+def test_a_pass_of_kmeans_holds_few_distances():
+    rng = np.random.default_rng(5)
+    points, centres = rng.normal(size=(kmeans.PACK, 10)), rng.normal(size=(4 * 3 + 30 * 7, 10))
+    points[100:110] = points[0]
+    centres[13] = centres[12]  # the first of two equal centres takes the points of both
+    blocks = [(3, 4), (7, 30)]
+    tracemalloc.start()
+    counts, totals, costs = kmeans._sums([(points,)], centres, blocks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < points.shape[0] * len(centres) * 8 / 2  # not one distance of each pair
+    gaps = ((points[:, None] - centres) ** 2).sum(axis=2)
+    at = 0
+    for run, size in enumerate([3] * 4 + [7] * 30):
+        near = gaps[:, at : at + size].argmin(axis=1)
+        assert counts[at : at + size].tolist() == np.bincount(near, minlength=size).tolist()
+        wanted = [points[near == c].sum(axis=0) for c in range(size)]
+        assert np.allclose(totals[at : at + size], wanted)
+        assert costs[run] == pytest.approx(gaps[:, at : at + size].min(axis=1).sum())
+        at += size
+
+
 def test_cards_are_not_dealt_out_by_topic(spark, plan):
     df = spark.range(100).selectExpr(
         "id AS ID", "'t' AS Title", "cast(id % 2 AS int) AS Topic", "'c' AS Content", "'s' AS summary"
