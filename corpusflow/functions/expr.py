@@ -39,11 +39,6 @@ def sql_strings(words: Iterable[str]) -> str:
     return ", ".join(f"'{word}'" for word in escaped)
 
 
-def sql_sum(array: str) -> str:
-    """Sum of an ``array<double>``; 0.0 when empty."""
-    return f"aggregate({array}, 0.0D, (acc, x) -> acc + x)"
-
-
 def sql_runs(keys: str, p: str) -> str:
     """Runs of equal values in a sorted array: ``array<struct<start, length>>``.
 
