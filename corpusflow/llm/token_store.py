@@ -17,7 +17,9 @@ equal ids are in the order of their texts. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from corpusflow.llm import byte_bpe, common
 
@@ -42,6 +44,37 @@ COUNT_BITS = 20
 KNOWN_WORDS, WORDS_AT_ONCE = 300_000, 256
 #: A special token that separates words which are encoded together.
 MARK = "<|startoftext|>"
+#: Kinds of bytes. A word with an odd byte, or the first of two that are no letter, is not cut.
+SPACE, LETTER, DIGIT, SYMBOL, ODD, LEAD = range(6)
+SPACES = b" \t\n\v\f\r"
+#: How a tokenizer cuts that encodes runs of letters, digits, and runs of symbols apart.
+APART_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+APART_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+BYTE_LEVEL = {
+    "type": "ByteLevel",
+    "add_prefix_space": False,
+    "trim_offsets": True,
+    "use_regex": False,
+}
+APART_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": APART_PATTERN},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        BYTE_LEVEL,
+    ],
+}
 #: Text whose words are numbered together.
 TEXT_BYTES = 4 << 20
 SHARD_SCHEMA = (
@@ -73,11 +106,14 @@ def frequent_pairs(
     slots = _slots(keys, turn)
     often = np.bincount(slots, minlength=1 << COUNT_BITS) >= least
     places = np.flatnonzero(often[slots])
-    held, slots = keys[places], slots[places]
-    holder = np.zeros(1 << COUNT_BITS, np.int64)
+    used = np.flatnonzero(often)  # few slots from here on, by their numbers
+    number = np.empty(1 << COUNT_BITS, np.int32)
+    number[used] = np.arange(len(used))
+    held, slots = keys[places], number[slots[places]]
+    holder = np.zeros(len(used), np.int64)
     holder[slots] = held
     own = holder[slots] == held
-    counts = np.bincount(slots[own], minlength=1 << COUNT_BITS)
+    counts = np.bincount(slots[own], minlength=len(used))
     found = np.flatnonzero(counts >= least)
     if not len(found) and len(places):
         holder, slots, counts = np.unique(held, return_inverse=True, return_counts=True)
@@ -149,8 +185,7 @@ def rule_lengths(first: int, rules: np.ndarray) -> np.ndarray:
     return lengths
 
 
-def expand(symbols: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
-    """Symbols back to ids."""
+def _expanded_by_levels(symbols: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
     while True:
         ruled = symbols >= first
         if not ruled.any():
@@ -163,6 +198,23 @@ def expand(symbols: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
         symbols = wide
 
 
+def expand(
+    symbols: np.ndarray, first: int, rules: np.ndarray, lengths: np.ndarray | None = None
+) -> np.ndarray:
+    """Symbols back to ids; ``lengths`` are those of the rules, if known.
+
+    Where the rules stand for no more ids than the symbols, each rule is expanded once.
+    """
+    if first + len(rules) <= len(symbols):
+        lengths = rule_lengths(first, rules) if lengths is None else lengths
+        sizes = np.concatenate([np.ones(first, np.int64), lengths])
+        wide = sizes[symbols]
+        if first + int(lengths.sum()) <= int(wide.sum()):
+            every = _expanded_by_levels(np.arange(first + len(rules)), first, rules)
+            return every[byte_bpe.ragged((np.cumsum(sizes) - sizes)[symbols], wide)]
+    return _expanded_by_levels(symbols, first, rules)
+
+
 def read_range(shard: dict, start: int, count: int) -> np.ndarray:
     """Ids ``start`` to ``start + count`` of a shard, expanding only the symbols they are in."""
     first = shard["first_rule"]
@@ -175,15 +227,124 @@ def read_range(shard: dict, start: int, count: int) -> np.ndarray:
     low = int(np.searchsorted(ends, start, "right"))
     high = int(np.searchsorted(ends, start + count, "left")) + 1
     before = int(ends[low - 1]) if low else 0
-    ids = expand(symbols[low:high], first, rules)
+    ids = expand(symbols[low:high], first, rules, lengths)
     return ids[start - before : start - before + count]
 
 
+class Cuts:
+    """Cuts texts into parts whose ids are the text's ids, in order.
+
+    A part is a word, or if the tokenizer allows it, a run of letters in lower case, a
+    digit or a run of symbols in a word: many words share them. Words with other
+    characters, apostrophes or parts of special tokens stay whole, as they are.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.kinds = np.full(256, LETTER, np.uint8)
+        self.kinds[list(SPACES)] = SPACE
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.points = np.zeros(0x800, np.uint16)
+        #: The letters that parts hold, as a pattern; none if words stay whole.
+        self.letters: re.Pattern | None = None
+        if self._apart(tokenizer):
+            self._ask(tokenizer)
+
+    @staticmethod
+    def _apart(tokenizer: Tokenizer) -> bool:
+        def state(part) -> dict | None:
+            return part and json.loads(part.__getstate__())
+
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        return (
+            state(tokenizer.normalizer) == APART_NORMALIZER
+            and state(tokenizer.pre_tokenizer) == APART_PRE_TOKENIZER
+            and getattr(tokenizer.model, "dropout", None) is None
+            and all("|" in content for content in special)
+        )
+
+    def _ask(self, tokenizer: Tokenizer) -> None:
+        """The letters of one or two bytes whose lower case is as long, as the library has it."""
+        self.kinds[self.kinds == LETTER] = ODD
+        for code in range(0x21, 0x7F):
+            self.kinds[code] = SYMBOL
+        self.kinds[[ord("'"), ord("|")]] = ODD
+        self.kinds[ord("0") : ord("9") + 1] = DIGIT
+        self.kinds[0xC0:0xE0] = LEAD
+        found = set()
+        for code in [*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x800)]:
+            lower = tokenizer.normalizer.normalize_str(f"a{chr(code)}a")[1:-1]
+            whole = f"a{lower}a"
+            if (
+                len(lower) == 1
+                and (ord(lower) < 0x80) == (code < 0x80)
+                and ord(lower) < 0x800
+                and lower.isalpha()
+                and tokenizer.normalizer.normalize_str(whole) == whole
+                and len(tokenizer.pre_tokenizer.pre_tokenize_str(whole)) == 1
+            ):
+                found.add(lower)
+                if code < 0x80:
+                    self.kinds[code], self.lower[code] = LETTER, ord(lower)
+                else:
+                    self.points[code] = ord(lower)
+        self.letters = re.compile(f"[{''.join(sorted(found))}]+")
+
+    def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The parts of all texts, and how many there are up to the end of each text."""
+        texts = texts.cast(pa.large_string())
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        raw = data.tobytes()  # translate is much faster than an index
+        kinds = np.frombuffer(bytearray(raw.translate(self.kinds.tobytes())), np.uint8)
+        lower = np.frombuffer(bytearray(raw.translate(self.lower.tobytes())), np.uint8)
+        leads = np.flatnonzero(kinds == LEAD)
+        nexts = data[np.minimum(leads + 1, len(data) - 1)]
+        points = self.points[(data[leads] & 0x1F).astype(np.int64) << 6 | nexts & 0x3F]
+        known = (points > 0) & (nexts & 0xC0 == 0x80)
+        leads, points = leads[known], points[known]
+        kinds[leads] = kinds[leads + 1] = LETTER
+        lower[leads], lower[leads + 1] = 0xC0 | points >> 6, 0x80 | points & 0x3F
+
+        # Runs of one kind, those of spaces too; no run goes on in the next text.
+        opens = kinds == DIGIT
+        opens[1:] |= kinds[1:] != kinds[:-1]
+        opens[ends[:-1][ends[:-1] < len(data)]] = True
+        firsts = np.flatnonzero(opens)
+        stops = np.append(firsts, len(data))[1:]
+        kind = kinds[firsts]
+        if (kind >= ODD).any():
+            opens = kind != SPACE  # a word
+            new = np.searchsorted(firsts, ends[:-1])
+            follows = np.append(False, opens[:-1])
+            follows[new[new < len(firsts)]] = False
+            opens &= ~follows
+            word = np.cumsum(opens)
+            whole = np.zeros(len(firsts) + 1, bool)
+            whole[word[kind >= ODD]] = True
+            whole = whole[word] & (kind != SPACE)
+            inside = byte_bpe.ragged(firsts[whole], (stops - firsts)[whole])
+            lower[inside] = data[inside]
+            first = np.flatnonzero((kind != SPACE) & (opens | ~whole))
+            # A whole word goes on to the run before the next part or spaces.
+            last = np.flatnonzero((kind != SPACE) & np.append((opens | ~whole | (kind == SPACE))[1:], True))
+            firsts, stops = firsts[first], stops[last]
+        else:
+            firsts, stops = firsts[kind != SPACE], stops[kind != SPACE]
+        values = lower.tobytes().translate(None, SPACES)
+        places = np.concatenate([[0], np.cumsum(stops - firsts)])
+        counts = np.searchsorted(firsts, ends[1:])
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(values)]
+        return pa.Array.from_buffers(pa.large_string(), len(firsts), buffers), counts
+
+
 class Words:
     """A worker's tokenizer and the ids of words it has met, in two generations.
 
     When the newer generation is full it becomes the older one; words met again move to
-    the newer one, so that those which recur stay and memory is bounded.
+    the newer one, so that those which recur stay and memory is bounded. A word is a part
+    as ``Cuts`` makes them.
     """
 
     def __init__(self, path: str, known_words: int = KNOWN_WORDS):
@@ -192,13 +353,30 @@ class Words:
         self.mark = self.tokenizer.token_to_id(MARK)
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.cuts = Cuts(self.tokenizer)
+        # Letters in lower case need no normalizer, and no pattern to find them between spaces.
+        model = self.tokenizer.model
+        self.bare = Tokenizer(model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.Split(" ", "removed"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        #: Which ids end a run of letters, if the model tells.
+        self.last: np.ndarray | None = None
+        suffix = getattr(model, "end_of_word_suffix", None)
+        if self.cuts.letters and suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
 
     def ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words as little-endian 32-bit integers; unmet ones are encoded."""
         if len(self.newer) > self.limit:
             self.newer, self.older = {}, self.newer
         newer, older = self.newer, self.older
-        found = [newer.get(word) for word in words]
+        found = list(map(newer.get, words))
         missing = [k for k, ids in enumerate(found) if ids is None]
         unmet = []
         for k in missing:
@@ -207,12 +385,33 @@ class Words:
                 unmet.append(k)
             else:
                 found[k] = newer[words[k]] = ids
+        if self.last is not None:
+            runs = [k for k in unmet if self.cuts.letters.fullmatch(words[k])]
+            for start in range(0, len(runs), WORDS_AT_ONCE):
+                some = runs[start : start + WORDS_AT_ONCE]
+                for k, ids in zip(some, self._encoded_runs([words[k] for k in some])):
+                    found[k] = newer[words[k]] = ids
+            unmet = [k for k in unmet if found[k] is None]
         for start in range(0, len(unmet), WORDS_AT_ONCE):
             some = unmet[start : start + WORDS_AT_ONCE]
             for k, ids in zip(some, self._encoded([words[k] for k in some])):
                 found[k] = newer[words[k]] = ids
         return found
 
+    def _encoded_runs(self, words: list[str]) -> list[bytes]:
+        """Runs of letters as one text, between spaces.
+
+        The ids that end a run tell them apart; if there are not as many, they go as other
+        words do.
+        """
+        one = self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        every = np.array(one.ids, "<u4")
+        stops = (4 * np.flatnonzero(self.last[every]) + 4).tolist()
+        data = every.tobytes()
+        if len(stops) != len(words) or stops[-1] != len(data):
+            return self._encoded(words)
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
     def _encoded(self, words: list[str]) -> list[bytes]:
         """Words as one text, between marks that have an id of their own.
 
@@ -245,14 +444,14 @@ def _words(path: str) -> Words:
 def encode_texts(words: Words, texts: pa.Array, end_id: int | None = None) -> list[np.ndarray]:
     """The ids of each text, with ``end_id`` behind them.
 
-    The tokenizer never merges across white space, so a text's ids are its words' ids in
-    order. The texts' words are numbered by Arrow and each of them is looked up once.
+    The tokenizer never merges across white space, so a text's ids are those of its words
+    in order, and those of their parts. The texts' parts are numbered by Arrow and each of
+    them is looked up once.
     """
-    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-    numbers = split.flatten().dictionary_encode()
-    coded = words.ids(numbers.dictionary.to_pylist())
+    parts, ends = words.cuts.parts(texts)
+    numbers = parts.dictionary_encode()
+    coded = words.ids(numbers.dictionary.to_numpy(zero_copy_only=False).tolist())
     codes = numbers.indices.to_numpy()
-    ends = np.cumsum(pc.list_value_length(split).to_numpy())
     if end_id is not None:
         codes = np.insert(codes, ends, len(coded))
         ends = ends + np.arange(1, len(ends) + 1)

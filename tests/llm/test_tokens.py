@@ -79,6 +79,47 @@ def test_words_encode_as_texts_do(library, few_words, texts):
     assert [f.tolist() + [1] for f in found] == [ids_of(library, t) for t in texts]
 
 
+def test_each_run_of_letters_is_encoded_once(library):
+    words = token_store.Words(WORDS)
+    texts = ["Tree, tree. (TREE) tree!", "été tree2024; Été... ÉTÉ", "tree's İtree"]
+    found = token_store.encode_texts(words, pa.array(texts), end_id=1)
+    assert [f.tolist() for f in found] == [ids_of(library, t) for t in texts]
+    parts = ["tree", ",", ".", "(", ")", "!", "été", "2", "0", "4", ";", "...", "tree's", "İtree"]
+    assert sorted(words.newer) == sorted(parts)
+
+
+def test_every_character_is_cut_as_the_library_does(library):
+    words = token_store.Words(WORDS)
+    odd = [0x1E9E, 0x2019, 0x2028, 0x212A, 0x3000, 0x4E00, 0xAC00, 0xF900, 0xFB01, 0x1D400, 0x1F600]
+    marks = ["\u0301", "'s", "'S", "|>", "<|endoftext|>", "7", "-"]
+    for code in [*range(0x900), *odd]:
+        c = chr(code)
+        text = f"aB{c}Cd {c} x{c} {c}y{c}{c} " + " ".join(f"{c}{m} {m}{c}" for m in marks)
+        found = token_store.encode_texts(words, pa.array([text, c]), end_id=1)
+        assert [f.tolist() for f in found] == [ids_of(library, text), ids_of(library, c)], code
+
+
+@pytest.mark.parametrize("texts", [[""], ["", " \n"], ["a", "b", "", "é1", "1", "", " c", "d "]])
+def test_parts_end_with_their_text(library, few_words, texts):
+    for some in (pa.array(texts), pa.array(["x y", *texts, "z"]).slice(1, len(texts))):
+        found = token_store.encode_texts(few_words, some, end_id=1)
+        assert [f.tolist() for f in found] == [ids_of(library, t) for t in texts]
+
+
+def test_words_stay_whole_for_other_tokenizers(tmp_path):
+    other = Tokenizer.from_file(WORDS)
+    other.normalizer = None
+    path = str(tmp_path / "other.json")
+    other.save(path)
+    words = token_store.Words(path)
+    texts = ["Tree, tree. É1é", "日本語 x"]
+    found = token_store.encode_texts(words, pa.array(texts))
+    assert [f.tolist() for f in found] == [
+        [i for w in t.split() for i in other.encode(w, add_special_tokens=False).ids] for t in texts
+    ]
+    assert sorted(words.newer) == sorted("Tree, tree. É1é 日本語 x".split())
+
+
 def test_words_that_recur_stay_known(few_words):
     few_words.newer, few_words.older = {}, {}
     for turn in range(50):
