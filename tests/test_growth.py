@@ -1,17 +1,29 @@
 """How much work jobs do as their input grows."""
 
 import json
+import os
+import time
 import tracemalloc
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import graph, kmeans, search
-from corpusflow.plans import topic_queries, update
+from corpusflow.operators import graph, kmeans, search, windows
+from corpusflow.plans import store_queries, topic_queries, update
+from corpusflow.sources import scratch, store
 from corpusflow.streaming import ingest
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files on disk."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = manager.getAllFiles()
+    names = {found.apply(i).getName() for i in range(found.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
 def test_a_round_of_kmeans_is_one_stage(spark):
     vectors = np.random.default_rng(3).normal(size=(300, 3))
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
@@ -144,3 +156,111 @@ def test_a_round_of_spread_ranks_sorts_nothing(spark, plan):
     [row] = found.collect()
     assert row["xs"] == pytest.approx([0.4, 0.5, base + 0.5 * graph.DAMPING])
     assert row["zs"] == pytest.approx([0.1, 0.2, base])
+
+
+def test_kept_rows_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = scratch.kept(spark.range(1000).repartition(7, "id"), "rows")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert rows.agg(F.sum("id")).first()[0] == 499500
+
+
+def test_rows_of_any_columns_are_fixed(spark):
+    rows = spark.range(3).select("id", F.lit(None).alias("nothing"), F.array(F.lit(None)).alias("none"))
+    assert rows.schema["nothing"].dataType.typeName() == "void"
+    assert sorted(scratch.fixed(rows, "rows").collect()) == sorted(rows.collect())
+
+
+def test_numbered_rows_move_once(spark, plan):
+    """They do not move again to meet the first number of their partition."""
+    rows = spark.range(500).select(F.col("id").alias("k"), F.lit("text").alias("text"))
+    numbered = windows.assign_ids(rows, 0, ["k"])
+    assert "Exchange hashpartitioning" not in plan(numbered)
+    assert [tuple(r) for r in numbered.orderBy("ID").collect()] == [(i + 1, i, "text") for i in range(500)]
+
+
+def _landed(folder, files):
+    """JSON files of three articles each, modified one after another."""
+    folder.mkdir()
+    body = "Markets rose sharply today after the central bank cut its main interest rate. "
+    for k in range(files):
+        results = [
+            {
+                "webTitle": f"Title {k}",
+                "webUrl": f"u{k}-{i}",
+                "sectionName": "Business",
+                "webPublicationDate": "2024-01-15T10:30:00Z",
+                "fields": {"body": body * 20},
+            }
+            for i in range(3)
+        ]
+        file = folder / f"{k}.json"
+        file.write_text(json.dumps({"response": {"results": results}}))
+        os.utime(file, (k, k))
+    return file.stat().st_size
+
+
+def test_a_stream_holds_raw_rows_of_one_micro_batch(spark, tmp_path, monkeypatch):
+    landing, path = tmp_path / "landing", str(tmp_path / "store")
+    size = _landed(landing, 4)
+    seen, folders = [], []
+    append, scratch_path = ingest.append_batch, scratch.scratch_path
+
+    def spy(session, rows, *args, **options):
+        seen.append((rows.columns, [f for f in folders if os.path.exists(f)]))
+        return append(session, rows, *args, **options)
+
+    def made(session, name):
+        folders.append(scratch_path(session, name).removeprefix("file:"))
+        return folders[-1]
+
+    monkeypatch.setattr(ingest, "append_batch", spy)
+    monkeypatch.setattr(scratch, "scratch_path", made)
+    ingest.stream_ingest(
+        spark, str(landing), path, str(tmp_path / "state"), bytes_at_once=2 * size, delete_read=True
+    ).awaitTermination()
+    # Two micro-batches, each with its own rows alone and no texts or tokens made of them.
+    assert [len(there) for _, there in seen] == [1, 1]
+    assert all("cleaned_text" not in columns for columns, _ in seen)
+    assert folders and not any(os.path.exists(folder) for folder in folders)
+    until = time.time() + 20
+    while len(list(landing.glob("*.json"))) > 2 and time.time() < until:
+        time.sleep(0.1)
+    assert len(list(landing.glob("*.json"))) <= 2  # the first micro-batch's went
+    rows = store.read_store(spark, path)
+    assert rows.columns[-3:] == ["summary", "summary_length", "compression_ratio"]
+    assert sorted(r["ID"] for r in rows.collect()) == list(range(1, 13))
+    assert rows.filter("size(tokens) > 50 AND summary <> ''").count() == 12
+
+
+def test_a_stored_batch_is_packed(spark, tmp_path):
+    """Words of an array are written once a file, also if they take more than 1 MB."""
+    words = spark.range(200_000).select((F.col("id") % 120_000).cast("string").alias("w"))
+    words = words.groupBy().agg(F.collect_list(F.concat(F.lit("word number "), "w")).alias("tokens"))
+    store.write_batch(words.withColumn("ID", F.lit(1)), str(tmp_path / "store"), "one")
+    (file,) = (tmp_path / "store").glob("articles/*/*/*.parquet")
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    column = next(group.column(i) for i in range(2) if "tokens" in group.column(i).path_in_schema)
+    assert column.compression == "ZSTD"
+    assert "PLAIN" not in column.encodings
+
+
+def test_landed_responses_of_a_query_are_packed(spark, sf_dir, monkeypatch):
+    found = []
+
+    class Stop(Exception):
+        pass
+
+    def ingest_(spark, landing, *_, **options):
+        found.append((os.listdir(landing.removeprefix("file:")), options))
+        raise Stop
+
+    monkeypatch.setattr(store_queries, "stream_ingest", ingest_)
+    with pytest.raises(Stop):
+        store_queries.stream_articles(spark, sf_dir)
+    names, options = found[0]
+    assert all(name.endswith(".txt.gz") for name in names if name.startswith("part-"))
+    assert options["bytes_at_once"] and options["delete_read"]
