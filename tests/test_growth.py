@@ -264,3 +264,51 @@ def test_landed_responses_of_a_query_are_packed(spark, sf_dir, monkeypatch):
     names, options = found[0]
     assert all(name.endswith(".txt.gz") for name in names if name.startswith("part-"))
     assert options["bytes_at_once"] and options["delete_read"]
+
+
+def _sentence_nodes(spark):
+    sets = [[f"w{(i * j) % 17}" for j in range(1, 5)] for i in range(40)]
+    return spark.createDataFrame([(1, sets), (2, sets[:9])], "ID long, sets array<array<string>>")
+
+
+def test_both_sides_of_the_edge_join_move_once(spark, plan):
+    edges = graph.joined_edges(_sentence_nodes(spark), "ID")
+    rows = {tuple(r) for r in edges.collect()}
+    assert "ReusedExchange" in plan(edges)  # of tokens that are one block
+    blocks = {tuple(r) for r in graph.joined_edges(_sentence_nodes(spark), "ID", 4).collect()}
+    assert rows and rows == blocks
+
+
+def test_edges_move_once_to_be_shares(spark, plan):
+    links = [(1, 0, 1, 0.5), (1, 0, 2, 0.25), (2, 0, 1, 0.2)]
+    edges = spark.createDataFrame(links, "ID long, src int, dst int, weight double")
+    shares = graph._shares(edges, "ID", 3)
+    assert plan(shares).count("Exchange") == 1
+    found = sorted((r[:3], r["share"]) for r in shares.collect() if r["share"] is not None)
+    third = pytest.approx(1 / 3)
+    assert found == [
+        ((1, 0, 1), pytest.approx(2 / 3)),
+        ((1, 0, 2), third),
+        ((1, 1, 0), 1.0),
+        ((1, 2, 0), 1.0),
+        ((2, 0, 1), 1.0),
+        ((2, 1, 0), 1.0),
+    ]
+    own = sorted(r[:3] for r in shares.collect() if r["share"] is None)
+    assert own == [(1, 0, 0), (1, 1, 1), (1, 2, 2), (2, 0, 0), (2, 1, 1)]
+
+
+def test_rounds_of_spread_ranks_leave_no_shuffle_files(spark, monkeypatch):
+    before, made = shuffle_files(spark), []
+    scratch_path = scratch.scratch_path
+    monkeypatch.setattr(
+        scratch, "scratch_path", lambda *a: made.append(scratch_path(*a).removeprefix("file:")) or made[-1]
+    )
+    ranked = graph.spread_ranks(_sentence_nodes(spark), "ID")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    there = [os.path.basename(path).split("-")[0] for path in made if os.path.exists(path)]
+    assert set(there) <= {"last"}  # neither the edges nor what they were found by
+    assert ranked.count() == 2
