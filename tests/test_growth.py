@@ -248,7 +248,8 @@ def test_a_stored_batch_is_packed(spark, tmp_path):
     assert "PLAIN" not in column.encodings
 
 
-def test_landed_responses_of_a_query_are_packed(spark, sf_dir, monkeypatch):
+@pytest.mark.parametrize("query", ["stream_articles", "stream_titles"])
+def test_landed_responses_of_a_query_are_packed(spark, sf_dir, monkeypatch, query):
     found = []
 
     class Stop(Exception):
@@ -260,10 +261,23 @@ def test_landed_responses_of_a_query_are_packed(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(store_queries, "stream_ingest", ingest_)
     with pytest.raises(Stop):
-        store_queries.stream_articles(spark, sf_dir)
+        store_queries.QUERIES[query](spark, sf_dir)
     names, options = found[0]
-    assert all(name.endswith(".txt.gz") for name in names if name.startswith("part-"))
-    assert options["bytes_at_once"] and options["delete_read"]
+    names = [name for name in names if name.startswith("part-")]
+    assert all(name.endswith(".txt.gz") for name in names)
+    assert options["delete_read"]
+    if query == "stream_titles":  # several micro-batches of several files each
+        assert 1 < options["files_at_once"] < len(names)
+    else:
+        assert options["bytes_at_once"]
+
+
+def test_responses_move_once_to_their_files(spark, sf_dir, plan):
+    texts = store_queries._response_texts(spark, sf_dir, 3)
+    assert plan(texts).count("Exchange") == 1
+    assert texts.rdd.getNumPartitions() == 3
+    alike = store_queries._response_texts(spark, sf_dir)
+    assert sorted(texts.collect()) == sorted(alike.collect())
 
 
 def _sentence_nodes(spark):
