@@ -8,7 +8,7 @@ Three physical forms give the same ranks:
   an equi-join, so that one long text is never one long task.
 
 * *Spread*: beyond ``Limits.row_ranked`` the rounds of PageRank are joins too, on
-  checkpointed edges, so that the edges of one article never have to fit a task.
+  stored edges, so that the edges of one article never have to fit a task.
 
 The split is made on a bound that is cheap to compute and proven:
 ``max_sentences`` (sentence-ending marks plus one) is never below the real

@@ -18,7 +18,7 @@ from corpusflow.streaming.ingest import stream_ingest
 TERM = "tion(s|al)? the"
 PAGE_SIZE = 10
 #: Compressed bytes of landed files that a stream takes at once.
-MICRO_BATCH_BYTES = 64 << 20
+MICRO_BATCH_BYTES = 32 << 20
 #: The least micro-batches of the stream that stores each title once.
 TITLE_BATCHES = 4
 COLUMNS = ["ID", "Title", "Url", "Section", "Published Date", "Author", "Content"]
